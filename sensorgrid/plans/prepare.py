@@ -72,8 +72,11 @@ def _scope(df: DataFrame, cfg: PrepareConfig) -> Column:
     return F.year(q(cfg.ts)).isin(list(cfg.fit_years))
 
 
-def feature_pack(cleaned: DataFrame, cfg: PrepareConfig) -> DataFrame:
-    """key, ts, split, base features, lags, rolling mean/std, calendar, target_reg, target_cls."""
+def feature_pack(cleaned: DataFrame, cfg: PrepareConfig, label_tasks=()) -> DataFrame:
+    """key, ts, split, base features, lags, rolling mean/std, calendar, target_reg, target_cls.
+
+    ``label_tasks`` = [(target, h), ...] adds ``y__<target>__h<h>`` = target h rows ahead,
+    computed in the same window pass (no second sort, no join)."""
     key, ts = cfg.key, cfg.ts
     sensors = cfg.sensors or [c for c in numeric_columns(cleaned, exclude=[key, ts])
                               if not c.endswith(MISSING_SUFFIX) and c != grid.GAP_COL]
@@ -92,6 +95,7 @@ def feature_pack(cleaned: DataFrame, cfg: PrepareConfig) -> DataFrame:
     exprs += fx.calendar_exprs(ts, grid.GAP_COL)
     exprs += [nxt.alias("target_reg"), threshold_class(nxt, *cfg.thresholds).alias("target_cls"),
               F.row_number().over(w).alias("__rn")]
+    exprs += [F.lead(q(t), int(h)).over(w).cast("double").alias(f"y__{t}__h{int(h)}") for t, h in label_tasks]
     wide = with_split.select(*exprs)
     return wide.where(F.col("__rn") > max(cfg.lags)).drop("__rn")
 
