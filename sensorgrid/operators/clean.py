@@ -39,7 +39,10 @@ def sentinel_to_null(df: DataFrame, columns=None, sentinel: float = SENTINEL, ke
 
 def drop_null_keys(df: DataFrame, subset=("ts",)) -> DataFrame:
     """Drop rows whose required key columns are NULL."""
-    return df.dropna(subset=as_list(subset))
+    cond = F.lit(True)
+    for c in as_list(subset):
+        cond = cond & q(c).isNotNull()
+    return df.where(cond)
 
 
 def dedup_first(df: DataFrame, keys=("entity_id", "ts"), order_by=None) -> DataFrame:

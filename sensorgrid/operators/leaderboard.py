@@ -166,7 +166,7 @@ def top3_by_pollutant(df: DataFrame, k: int = 3) -> DataFrame:
 def report_filter(df: DataFrame, drop_naive: bool = True, drop_rnn: bool = True) -> DataFrame:
     """Drop rows without pollutant / horizon / R2, then naive/baseline and/or RNN models."""
     pats = (NAIVE_PATTERNS if drop_naive else ()) + (RNN_PATTERNS if drop_rnn else ())
-    out = df.dropna(subset=["pollutant", "horizon_h", "R2"])
+    out = df.where(F.col("pollutant").isNotNull() & F.col("horizon_h").isNotNull() & F.col("R2").isNotNull())
     return filter_models(out, exclude_patterns=pats)
 
 

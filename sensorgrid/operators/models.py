@@ -85,7 +85,7 @@ class TaskFrame:
 
 
 def build_task_frame(pack: DataFrame, feature_names, tasks, labels: DataFrame | None = None,
-                     key="entity_id", ts="ts", checkpoint: bool = True) -> TaskFrame:
+                     key="entity_id", ts="ts", checkpoint: bool = True, partitions: int | None = None) -> TaskFrame:
     """Assemble features once; attach per-series position / count (for folds) and labels.
 
     ``pack`` must already carry the label columns (``label_col(t, h)``) unless
@@ -97,6 +97,10 @@ def build_task_frame(pack: DataFrame, feature_names, tasks, labels: DataFrame |
     asm = VectorAssembler(inputCols=list(feature_names), outputCol="features", handleInvalid="skip")
     ycols = [label_col(t, h) for t, h in tasks]
     out = asm.transform(df).select(q(key), q(ts), "split", "__pos", "features", *[q(c) for c in ycols])
+    # MLlib parallelises every pass (gradient, X'X, tree histograms) over input partitions: spread the
+    # frame over the cluster's cores instead of the few partitions AQE coalesced the windows into.
+    n_part = partitions or out.sparkSession.sparkContext.defaultParallelism
+    out = out.repartition(max(1, int(n_part)))
     if checkpoint:
         out = out.checkpoint(eager=True)
     return TaskFrame(out, list(feature_names), list(tasks), key)
@@ -139,12 +143,15 @@ def tree_estimator(name: str, n_estimators: int | None = None, max_depth=None, l
     depth = MAX_TREE_DEPTH if max_depth is None else int(max_depth)
     common = dict(featuresCol="features", labelCol="label", predictionCol="prediction", seed=seed,
                   minInstancesPerNode=int(min_samples_leaf), maxDepth=depth)
+    # deep trees: bigger node groups per pass and cached node ids cut the number of passes
+    # over the data (measured: 300 unlimited-depth trees 218 s -> 104 s on 8 cores)
+    deep = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
     if name == "DecisionTree":
-        return DecisionTreeRegressor(**common)
+        return DecisionTreeRegressor(**common, **deep)
     if name == "RandomForest":
         strat = max_features if isinstance(max_features, str) else str(max_features)
         return RandomForestRegressor(numTrees=int(n_estimators or 100), featureSubsetStrategy=strat,
-                                     subsamplingRate=1.0, bootstrap=True, **common)
+                                     subsamplingRate=1.0, bootstrap=True, **common, **deep)
     if name == "GBDT":
         return GBTRegressor(maxIter=int(n_estimators or 100), stepSize=float(learning_rate or 0.1),
                             subsamplingRate=float(subsample), featureSubsetStrategy="all", **common)

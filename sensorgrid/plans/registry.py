@@ -775,3 +775,160 @@ def q_forecast_scores(spark, sf):
     """The flagship query (``entry``) on any scale factor."""
     from sensorgrid.plans.flagship import flagship
     return flagship(spark, sf)
+
+
+# ----------------------------------------------------------------------------- pack sinks / sources
+
+@register("write_pack", O.with_(_PACK_CTES, O.final(_PACK_COLS, "pack", "split IS NOT NULL")))
+def q_write_pack(spark, sf):
+    """Both packs written partitioned by split: 'trees' (raw) from the plan, 'nn' (standardised on
+    train rows) from the written 'trees' files, so the window plan runs once. The trees pack is
+    read back split by split (partition pruning); rows without a split are in no split folder."""
+    from sensorgrid.plans.prepare import scaled_pack
+    from sensorgrid.session import scratch_path
+    from sensorgrid.sources.packs import check_pack, load_pack, write_pack
+    base = scratch_path(spark, "packs")
+    p = pack(spark, sf)
+    write_pack(p, base, "trees")
+    trees = load_pack(spark, base, "trees", split=None)
+    write_pack(scaled_pack(trees.select(*p.columns)), base, "nn")
+    parts = [load_pack(spark, base, "trees", split=s) for s in ("train", "val", "test")]
+    for s, d in zip(("train", "val", "test"), parts):
+        check_pack(d, f"trees/{s}", required=["entity_id", "ts", "target_reg"])
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return finish(out.select(*p.columns))
+
+
+@register("pack_metadata")
+def q_pack_metadata(spark, sf):
+    """Run metadata (target, features, lags, rolls, row counts, shapes, label map, thresholds)
+    written as JSON to the shared folder and read back."""
+    from sensorgrid.plans.prepare import pack_columns
+    from sensorgrid.session import scratch_path
+    from sensorgrid.sources.metadata import pack_metadata, read_metadata, write_metadata
+    c = cleaned(spark, sf)
+    p = feature_pack(c, CFG)
+    meta = pack_metadata(c, p, CFG.target, CFG.features, CFG.lags, CFG.rolls, CFG.thresholds,
+                         n_features=len(pack_columns(p)), rule=f"fit before {TEST_START} (last 20% val), test after")
+    path = scratch_path(spark, "meta")
+    write_metadata(meta, path)
+    return read_metadata(spark, path)
+
+
+# ----------------------------------------------------------------------------- Spark ML (rows-only checks)
+
+ML_TARGET = "n_events"          # the status target's sensor, as CO is in the reference
+ML_TASKS = [(ML_TARGET, h) for h in (1, 6, 12, 24)]
+_TF_CACHE: dict = {}
+
+
+def task_frame(spark, sf, scaled: bool = False):
+    """Checkpointed task frame, built once per session / scale factor / scaling."""
+    from sensorgrid.plans.regression import task_frame as build
+    key = (spark.sparkContext.applicationId, sf, scaled)
+    if key not in _TF_CACHE:
+        _TF_CACHE[key] = build(cleaned(spark, sf), CFG, ML_TASKS, scaled=scaled)
+    return _TF_CACHE[key]
+
+
+def _linear(names, grids=None):
+    def run(spark, sf):
+        from sensorgrid.plans.regression import linear_suite
+        return linear_suite(spark, task_frame(spark, sf), names=names, grids=grids)
+    return run
+
+
+register("fit_linear")(_linear(("LinearRegression",)))
+register("fit_ridge")(_linear(("Ridge",)))
+register("fit_lasso")(_linear(("Lasso",)))
+register("fit_elasticnet")(_linear(("ElasticNet",)))
+register("grid_search_linear")(_linear(("LinearRegression", "Ridge", "Lasso", "ElasticNet")))
+
+
+def _trees(names):
+    def run(spark, sf):
+        from sensorgrid.plans.regression import tree_suite
+        return tree_suite(spark, task_frame(spark, sf), names=names)
+    return run
+
+
+register("fit_tree")(_trees(("DecisionTree",)))
+register("fit_forest")(_trees(("RandomForest",)))
+register("fit_gbt")(_trees(("GBDT",)))
+
+
+@register("fit_linear_svr_equiv")
+def q_svr(spark, sf):
+    from sensorgrid.plans.regression import linear_svr_equiv
+    return linear_svr_equiv(spark, task_frame(spark, sf, scaled=True))
+
+
+# Reduced grids for the registered check (the full reference grids are models.RF_GRID / GBDT_GRID,
+# 36 and 72 points); tasks 1 h and 24 h like the reference's first tuned table.
+SMALL_TREE_GRIDS = {
+    "RandomForest": {"n_estimators": [20], "max_depth": [None, 12], "min_samples_leaf": [1, 5],
+                     "max_features": ["sqrt"]},
+    "GBDT": {"n_estimators": [30], "learning_rate": [0.1], "max_depth": [2, 3], "subsample": [1.0],
+             "min_samples_leaf": [1]},
+}
+
+
+@register("grid_search_trees")
+def q_grid_trees(spark, sf):
+    from sensorgrid.operators import models as M
+    from sensorgrid.plans.regression import tuned_tree_suite
+    tf = task_frame(spark, sf)
+    sub = M.TaskFrame(tf.df, tf.feature_names, [t for t in tf.tasks if t[1] in (1, 24)], tf.key)
+    return tuned_tree_suite(spark, sub, SMALL_TREE_GRIDS)
+
+
+@register("score_models")
+def q_score_models(spark, sf):
+    """Test-period predictions of the OLS model per task: (entity_id, ts, pollutant, horizon_h, y_true, y_pred)."""
+    from sensorgrid.operators import models as M
+    tf = task_frame(spark, sf)
+    outs = []
+    for t, h in tf.tasks:
+        lab = M.label_col(t, h)
+        train = M._fit_rows(tf, lab, ("train",))
+        n, s = M._label_stats(train)
+        model = M.linear_estimator("LinearRegression", n, s).fit(train)
+        test = tf.df.where((F.col("split") == "test") & F.col(lab).isNotNull()).select(
+            "entity_id", "ts", "features", F.col(lab).alias("label"))
+        outs.append(model.transform(test).select("entity_id", "ts", F.lit(t).alias("pollutant"),
+                                                 F.lit(h).alias("horizon_h"), F.col("label").alias("y_true"),
+                                                 F.col("prediction").alias("y_pred")))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
+
+
+@register("feature_importance")
+def q_importance(spark, sf):
+    from sensorgrid.plans.regression import importance_table
+    return importance_table(spark, task_frame(spark, sf), "DecisionTree")
+
+
+@register("model_save_load")
+def q_save_load(spark, sf):
+    """OLS per task saved to the shared folder, loaded back, test predictions scored."""
+    from sensorgrid.operators import models as M
+    from sensorgrid.session import scratch_path
+    tf = task_frame(spark, sf)
+    base = scratch_path(spark, "models")
+    rows = []
+    for t, h in tf.tasks:
+        lab = M.label_col(t, h)
+        train = M._fit_rows(tf, lab, ("train",))
+        n, s = M._label_stats(train)
+        path = M.save_model(M.linear_estimator("LinearRegression", n, s).fit(train), f"{base}/{t}_h{h}_LinearRegression")
+        sc = M.score(M.load_model("LinearRegression", path), M._fit_rows(tf, lab, ("test",)))
+        rows.append(M._row("LinearRegression", t, h, sc, 0.0, n, {"path": path}))
+    return spark.createDataFrame(rows, M.SCORE_SCHEMA)
+
+
+@register("fit_status_classifier")
+def q_status_classifier(spark, sf):
+    from sensorgrid.plans.classification import status_classifier
+    return status_classifier(spark, cleaned(spark, sf), CFG, list(td.SENSORS))

@@ -29,8 +29,11 @@ def read_eu_csv_raw(spark: SparkSession, path: str, sep: str = ";", encoding: st
     schema = StructType([StructField(n, StringType(), True) for n in names])
     df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding)
           .option("mode", "PERMISSIVE").csv(path))
-    # blank trailing lines parse as all-NULL rows; drop them
-    return df.dropna(how="all")
+    # blank trailing lines parse as all-NULL rows; drop them (explicit filter: names may hold dots)
+    any_value = F.lit(False)
+    for c in df.columns:
+        any_value = any_value | q(c).isNotNull()
+    return df.where(any_value)
 
 
 def type_eu_frame(df: DataFrame, date_col: str = "Date", time_col: str = "Time", ts: str = "ts",

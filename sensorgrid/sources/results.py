@@ -62,7 +62,8 @@ def read_result_tables(spark: SparkSession, folder: str, required=SCORE_COLS, sk
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    out = out.dropna(subset=["model", "pollutant", "horizon_h", "R2"])
+    out = out.where(F.col("model").isNotNull() & F.col("pollutant").isNotNull() & F.col("horizon_h").isNotNull()
+                    & F.col("R2").isNotNull())
     return out.where(~contains_any("model", TUNED_PATTERNS))
 
 
