@@ -135,3 +135,20 @@ def standardize(df: DataFrame, columns=None, by=None, scope: Column | None = Non
 def coerce_numeric(df: DataFrame, columns) -> DataFrame:
     """Cast to DOUBLE with unparsable values -> NULL (``try_cast``)."""
     return select_replacing(df, {c: q(c).try_cast("double") for c in as_list(columns)})
+
+
+def non_constant_columns(df: DataFrame, columns=None, key="entity_id") -> DataFrame:
+    """One row per column: (column, min, max, varying). ``varying`` = more than one distinct
+    non-NULL value, computed as min <> max in a single partially-aggregated pass (a distinct
+    count per column would need one exchange per column)."""
+    cols = _numeric(df, columns, key)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = q(c).cast("double")
+        aggs += [F.min(x).alias(f"__lo{i}"), F.max(x).alias(f"__hi{i}")]
+    wide = df.agg(*aggs)
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"__lo{i}").alias("min"), F.col(f"__hi{i}").alias("max"))
+             for i, c in enumerate(cols)]
+    long = wide.select(F.explode(F.array(*cells)).alias("s"))
+    return long.select("s.column", "s.min", "s.max",
+                       F.coalesce(F.col("s.min") != F.col("s.max"), F.lit(False)).alias("varying"))

@@ -45,6 +45,18 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Persist a small aggregate, count it, and broadcast it only under the row bound.
+
+    Unlike ``bounded_broadcast`` the count also materialises the cache, so the
+    join does not recompute the aggregate. Over the bound the side is left to
+    a shuffle join (AQE may still split skewed partitions of the big side).
+    """
+    cached = small.persist()
+    n = cached.count()
+    return F.broadcast(cached) if n <= max_rows else cached
+
+
 def global_scalars(df: DataFrame, aggs: dict) -> dict:
     """Compute a handful of global aggregates and return them as Python values.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorgrid.operators.clean import MISSING_SUFFIX
-from sensorgrid.operators.common import as_list, q, series_window
+from sensorgrid.operators.common import as_list, group_window, q, series_window
 
 GAP_COL = "__gap"
 
@@ -24,30 +24,37 @@ def hourly_grid(df: DataFrame, key="entity_id", ts="ts", step_hours: int = 1,
 
     Added rows get NULL readings, ``gap_col`` = 1 and missing-flags = 0;
     present rows get ``gap_col`` = 0. ``ts`` must be unique per key (dedup first).
+
+    One pass, no join: rows whose offset from the series start is not a whole
+    number of steps are dropped, then each remaining row emits itself plus the
+    missing steps up to the next present row (``posexplode(sequence(ts, next - step))``).
+    The only exchange is the hash partitioning by key that the following
+    series windows reuse; the raw input is scanned once.
     """
     keys = as_list(key)
     step = F.make_dt_interval(F.lit(0), F.lit(step_hours), F.lit(0), F.lit(0))
-    bounds = df.groupBy(*[q(k) for k in keys]).agg(F.min(q(ts)).alias("__lo"), F.max(q(ts)).alias("__hi"))
-    grid = bounds.select(*[q(k) for k in keys],
-                         F.explode(F.sequence(F.col("__lo"), F.col("__hi"), step)).alias(ts))
-    present = df.select("*", F.lit(1).cast("tinyint").alias("__present"))
-    if num_partitions:
-        grid = grid.repartition(num_partitions, *[q(k) for k in keys])
-        present = present.repartition(num_partitions, *[q(k) for k in keys])
-    else:
-        grid = grid.repartition(*[q(k) for k in keys])
-        present = present.repartition(*[q(k) for k in keys])
-    joined = grid.join(present, on=keys + [ts], how="left")
+    src = df.repartition(num_partitions, *[q(k) for k in keys]) if num_partitions else df
+    first = F.min(q(ts)).over(group_window(keys))
+    offset_us = F.timestamp_diff("MICROSECOND", first, q(ts))
+    marked = src.select("*", (offset_us % F.lit(step_hours * 3_600_000_000) == 0).alias("__on"))
+    on_grid = marked.where(F.col("__on")).drop("__on")
+    nxt = F.lead(q(ts)).over(series_window(keys, ts))
+    with_next = on_grid.select("*", nxt.alias("__next"))
+    stop = F.greatest(F.coalesce(F.col("__next") - step, q(ts)), q(ts))
+    gen = with_next.select(*[q(c) for c in df.columns], F.posexplode(F.sequence(q(ts), stop, step)).alias("__k", "__t"))
+    present = F.col("__k") == 0
     out = []
     for c in df.columns:
-        if c in keys or c == ts:
+        if c in keys:
             out.append(q(c))
+        elif c == ts:
+            out.append(F.col("__t").alias(ts))
         elif c.endswith(flag_suffix):
-            out.append(F.coalesce(q(c), F.lit(0)).cast("tinyint").alias(c))
+            out.append(F.when(present, q(c)).otherwise(F.lit(0)).cast("tinyint").alias(c))
         else:
-            out.append(q(c))
-    out.append(F.when(F.col("__present").isNull(), F.lit(1)).otherwise(F.lit(0)).cast("tinyint").alias(gap_col))
-    return joined.select(*out)
+            out.append(F.when(present, q(c)).alias(c))
+    out.append(F.when(present, F.lit(0)).otherwise(F.lit(1)).cast("tinyint").alias(gap_col))
+    return gen.select(*out)
 
 
 def forward_fill(df: DataFrame, columns, key="entity_id", ts="ts") -> DataFrame:

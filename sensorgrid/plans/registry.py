@@ -149,6 +149,13 @@ def q_sentinel(spark, sf):
     return finish(clean.sentinel_to_null(readings(spark, sf), S))
 
 
+@register("non_constant_columns", O.with_([O.cte_readings(), O.cte_sentinel()], " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {O.r6(f'min({c})')} AS min, {O.r6(f'max({c})')} AS max, "
+    f"coalesce(min({c}) <> max({c}), false) AS varying FROM sentinel" for c in S)))
+def q_non_constant(spark, sf):
+    return finish(clean.non_constant_columns(clean.sentinel_to_null(readings(spark, sf), S), S))
+
+
 @register("missing_flags", O.with_([O.cte_readings(), O.cte_sentinel(), O.cte_flags()],
                                    O.final(KEYS + DBL + FLAGS, "flagged")))
 def q_missing_flags(spark, sf):
@@ -932,3 +939,26 @@ def q_save_load(spark, sf):
 def q_status_classifier(spark, sf):
     from sensorgrid.plans.classification import status_classifier
     return status_classifier(spark, cleaned(spark, sf), CFG, list(td.SENSORS))
+
+
+# ----------------------------------------------------------------------------- time-blocked execution
+
+BLOCK_HOURS = 72  # ten blocks per month-long series: every block boundary is exercised
+CFG_BLOCKED = PrepareConfig(sensors=list(td.SENSORS), target="n_events", features=list(td.SENSORS),
+                            fit_years=(), test_years=(), test_start=TEST_START, block_hours=BLOCK_HOURS)
+
+
+@register("forward_fill_blocked", ORACLE["forward_fill"])
+def q_ffill_blocked(spark, sf):
+    """``forward_fill`` with per-(series, block) windows: same rows as the whole-series plan."""
+    from sensorgrid.plans.prepare import clean_readings_blocked
+    from sensorgrid.operators.blocked import BLK
+    return finish(clean_readings_blocked(readings(spark, sf), CFG_BLOCKED).drop(BLK))
+
+
+@register("feature_pack_blocked", ORACLE["feature_pack"])
+def q_pack_blocked(spark, sf):
+    """``feature_pack`` with halo-blocked windows and hour-arithmetic positions."""
+    from sensorgrid.plans.prepare import clean_readings_blocked, feature_pack_blocked
+    c = clean_readings_blocked(readings(spark, sf), CFG_BLOCKED)
+    return finish(feature_pack_blocked(c, CFG_BLOCKED).select(*pack(spark, sf).columns))
