@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only — no streams, watermarks, windows over
+event time, or state — so there is no streaming operator to rebuild. Every
+operator here is a lazy DataFrame function and composes with a streaming
+source where its semantics allow (projections, filters, the hourly
+aggregation with a watermark), but none is registered or claimed.
+"""
