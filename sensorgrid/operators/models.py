@@ -138,6 +138,26 @@ def linear_estimator(name: str, n: int, s: float, alpha: float | None = None, l1
     raise ValueError(name)
 
 
+def tree_memory_mb(spark: SparkSession | None = None, concurrent: int = 4) -> int:
+    """Node-statistics budget per tree fit: a slice of one executor heap, 256..1024 MB.
+
+    Local mode reads the JVM heap; on a cluster ``spark.executor.memory``."""
+    try:
+        from pyspark.sql import SparkSession as _S
+        s = spark or _S.getActiveSession()
+        if s is None:
+            return 256
+        if s.sparkContext.master.startswith("local"):
+            heap = s.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
+        else:
+            txt = s.conf.get("spark.executor.memory", "1g").strip().lower()
+            mult = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}.get(txt[-1], 1 / (1024 * 1024))
+            heap = float(txt[:-1] if txt[-1].isalpha() else txt) * mult
+        return int(max(256, min(1024, heap / (4 * max(1, concurrent)))))
+    except Exception:  # noqa: BLE001 - sizing is a hint only
+        return 256
+
+
 def tree_estimator(name: str, n_estimators: int | None = None, max_depth=None, learning_rate: float | None = None,
                    min_samples_leaf: int = 1, max_features="all", subsample: float = 1.0, seed: int = SEED):
     depth = MAX_TREE_DEPTH if max_depth is None else int(max_depth)
@@ -145,7 +165,7 @@ def tree_estimator(name: str, n_estimators: int | None = None, max_depth=None, l
                   minInstancesPerNode=int(min_samples_leaf), maxDepth=depth)
     # deep trees: bigger node groups per pass and cached node ids cut the number of passes
     # over the data (measured: 300 unlimited-depth trees 218 s -> 104 s on 8 cores)
-    deep = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+    deep = dict(maxMemoryInMB=tree_memory_mb(), cacheNodeIds=True, checkpointInterval=10)
     if name == "DecisionTree":
         return DecisionTreeRegressor(**common, **deep)
     if name == "RandomForest":

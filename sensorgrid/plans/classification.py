@@ -45,3 +45,19 @@ def comparison_table(scores: DataFrame) -> DataFrame:
     return scores.select(F.col("model").alias("Model"), F.format_string("%dh", "horizon_h").alias("Horizon"),
                          fmt("accuracy").alias("Accuracy"), fmt("f1_macro").alias("F1 Score"),
                          fmt("precision_macro").alias("Precision"), fmt("recall_macro").alias("Recall"))
+
+
+METRIC_NAMES = ("accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
+                "recall_weighted", "f1_weighted")
+
+
+def results_json_frame(scores: DataFrame) -> DataFrame:
+    """Nested results: one row per model with MAP<horizon, STRUCT<metrics>> (the JSON dump layout)."""
+    cell = F.struct(*[F.col(m).alias(m) for m in METRIC_NAMES])
+    return scores.groupBy("model").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("horizon_h").cast("string"), cell))).alias("by_horizon"))
+
+
+def write_results_json(scores: DataFrame, path: str) -> str:
+    results_json_frame(scores).coalesce(1).write.mode("overwrite").json(path)
+    return path

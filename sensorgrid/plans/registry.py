@@ -962,3 +962,13 @@ def q_pack_blocked(spark, sf):
     from sensorgrid.plans.prepare import clean_readings_blocked, feature_pack_blocked
     c = clean_readings_blocked(readings(spark, sf), CFG_BLOCKED)
     return finish(feature_pack_blocked(c, CFG_BLOCKED).select(*pack(spark, sf).columns))
+
+
+@register("classification_results_json")
+def q_cls_json(spark, sf):
+    """Naive status scores per horizon dumped as nested JSON (model -> horizon -> metrics) and read back."""
+    from sensorgrid.plans.classification import naive_class_scores, results_json_frame, write_results_json
+    from sensorgrid.session import scratch_path
+    scores = naive_class_scores(pack(spark, sf))
+    path = write_results_json(scores, scratch_path(spark, "cls-json"))
+    return spark.read.schema(results_json_frame(scores).schema).json(path)
