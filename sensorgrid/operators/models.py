@@ -138,24 +138,25 @@ def linear_estimator(name: str, n: int, s: float, alpha: float | None = None, l1
     raise ValueError(name)
 
 
-def tree_memory_mb(spark: SparkSession | None = None, concurrent: int = 4) -> int:
+def tree_memory_mb(concurrent: int = 4) -> int:
     """Node-statistics budget per tree fit: a slice of one executor heap, 256..1024 MB.
 
-    Local mode reads the JVM heap; on a cluster ``spark.executor.memory``."""
+    Local mode reads the JVM heap; on a cluster ``spark.executor.memory``. Uses the
+    process-wide SparkContext (the active *session* is thread-local)."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    if sc is None:
+        return 256
     try:
-        from pyspark.sql import SparkSession as _S
-        s = spark or _S.getActiveSession()
-        if s is None:
-            return 256
-        if s.sparkContext.master.startswith("local"):
-            heap = s.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
+        if sc.master.startswith("local"):
+            heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
         else:
-            txt = s.conf.get("spark.executor.memory", "1g").strip().lower()
+            txt = (sc.getConf().get("spark.executor.memory") or "1g").strip().lower()
             mult = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}.get(txt[-1], 1 / (1024 * 1024))
             heap = float(txt[:-1] if txt[-1].isalpha() else txt) * mult
-        return int(max(256, min(1024, heap / (4 * max(1, concurrent)))))
     except Exception:  # noqa: BLE001 - sizing is a hint only
         return 256
+    return int(max(256, min(1024, heap / (4 * max(1, concurrent)))))
 
 
 def tree_estimator(name: str, n_estimators: int | None = None, max_depth=None, learning_rate: float | None = None,
