@@ -644,8 +644,8 @@ def q_family_best(spark, sf):
     return finish(lb.family_best_by_cell(lb.dedup_keep_best(scores(spark, sf))))
 
 
-@register("leaderboard_sort", f"WITH {SC}, {_DEDUP} SELECT {_SCORE_COLS}, run_id, row_number() OVER (PARTITION BY horizon_h, "
-          "pollutant ORDER BY R2 DESC NULLS LAST, model, run_id) AS cell_rank FROM best")
+@register("leaderboard_sort", f"WITH {SC}, {_DEDUP} SELECT {_SCORE_COLS}, run_id, CAST(row_number() OVER (PARTITION BY "
+          "horizon_h, pollutant ORDER BY R2 DESC NULLS LAST, model, run_id) AS INTEGER) AS cell_rank FROM best")
 def q_leaderboard(spark, sf):
     return finish(lb.leaderboard_sort(lb.dedup_keep_best(scores(spark, sf))))
 
