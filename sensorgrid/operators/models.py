@@ -198,29 +198,47 @@ def _grid(grid: dict) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 
+def score_many(models, df: DataFrame) -> list[float | None]:
+    """Validation RMSE of several fitted models in ONE aggregate job: the models' transforms
+    are chained into distinct prediction columns, then all RMSEs are one ``agg``."""
+    out = df
+    for i, m in enumerate(models):
+        out = m.copy().setPredictionCol(f"__p{i}").transform(out)
+    ok = F.col("label").isNotNull()
+    aggs = [F.sqrt(F.avg(F.when(ok & F.col(f"__p{i}").isNotNull(),
+                                (F.col("label") - F.col(f"__p{i}")) ** 2))).alias(f"r{i}") for i in range(len(models))]
+    row = out.agg(*aggs).first()
+    return [row[f"r{i}"] for i in range(len(models))]
+
+
 def fit_linear_task(tf: TaskFrame, target: str, h: int, name: str, grid: dict | None = None) -> tuple:
-    """Plain fit on train (no grid) or single predefined fold: pick by val RMSE, refit on train+val."""
+    """Plain fit on train (no grid) or single predefined fold: pick by val RMSE, refit on train+val.
+
+    During a grid search the task's train / val rows are cached (every grid point re-reads
+    them) and released afterwards."""
     lab = label_col(target, h)
     train, val, test = _fit_rows(tf, lab, ("train",)), _fit_rows(tf, lab, ("val",)), _fit_rows(tf, lab, ("test",))
     grid = LINEAR_GRIDS.get(name, {}) if grid is None else grid
     t0 = time.time()
     if not grid:
-        n, s = _label_stats(train)
+        n, s = (train.count(), 0.0) if name == "LinearRegression" else _label_stats(train)
         model = linear_estimator(name, n, s).fit(train)
         best, n_fit = {}, n
     else:
+        train, val = train.persist(), val.persist()
         n, s = _label_stats(train)
-        best, best_rmse = None, None
-        for p in _grid(grid):
-            m = linear_estimator(name, n, s, p.get("alpha"), p.get("l1_ratio"), p.get("max_iter", 100)).fit(train)
-            r = score(m, val)["RMSE"]
-            if r is not None and (best_rmse is None or r < best_rmse):
-                best, best_rmse = p, r
-        best = best or _grid(grid)[0]
+        points = _grid(grid)
+        fitted = [linear_estimator(name, n, s, p.get("alpha"), p.get("l1_ratio"), p.get("max_iter", 100)).fit(train)
+                  for p in points]
+        rmses = score_many(fitted, val)
+        scored = [(r, i) for i, r in enumerate(rmses) if r is not None]
+        best = points[min(scored)[1]] if scored else points[0]
         refit = train.unionByName(val)
         n_fit, s2 = _label_stats(refit)
         model = linear_estimator(name, n_fit, s2, best.get("alpha"), best.get("l1_ratio"),
                                  best.get("max_iter", 100)).fit(refit)
+        train.unpersist()
+        val.unpersist()
     fit_time = time.time() - t0
     return _row(name, target, h, score(model, test), fit_time, n_fit, best), model
 
