@@ -10,9 +10,12 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sensorgrid.operators import clean
 
 from sensorgrid.operators import models as M
-from sensorgrid.plans.prepare import PrepareConfig, feature_pack, pack_columns, scaled_pack
+from sensorgrid.plans.prepare import PrepareConfig, feature_pack, pack_columns
 
 HORIZONS = (1, 6, 12, 24)
 
@@ -21,14 +24,16 @@ def task_frame(cleaned: DataFrame, cfg: PrepareConfig, tasks, scaled: bool = Fal
                scale_scope: str = "train") -> M.TaskFrame:
     """Feature pack with one label column per task, assembled and checkpointed once.
 
-    ``scaled=True`` gives the 'nn' pack (features standardised on ``scale_scope`` rows)."""
+    ``scaled=True`` gives the 'nn' pack: the pack is checkpointed first, then its feature
+    columns (not the labels) are standardised on ``scale_scope`` rows in place, so the
+    window plan runs once and no join is needed."""
     pk = feature_pack(cleaned, cfg, label_tasks=tasks)
     labels = {M.label_col(t, h) for t, h in tasks}
     feats = [c for c in pack_columns(pk, cfg.key, cfg.ts) if c not in labels]
     if scaled:
-        keep = pk.select(*pk.columns)
-        pk = scaled_pack(keep.drop(*labels), key=cfg.key, scope=scale_scope).join(
-            keep.select(cfg.key, cfg.ts, *labels), on=[cfg.key, cfg.ts], how="inner")
+        pk = pk.checkpoint(eager=True)
+        scope = (F.col("split") == "train") if scale_scope == "train" else None
+        pk = clean.standardize(pk, feats, by=None, scope=scope)
     return M.build_task_frame(pk, feats, tasks, key=cfg.key, ts=cfg.ts)
 
 

@@ -59,8 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to other executors and lost with the host
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="sensorgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
