@@ -151,7 +151,7 @@ def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: in
     cols = ["model", "horizon_h", "accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
             "recall_weighted", "f1_weighted"]
     scores = naive.select(*cols).unionByName(clf.select(*cols)).persist()
-    write_result_table(comparison_table(scores).coalesce(1), f"{out.rstrip('/')}/model_comparison.csv")
+    write_result_table(comparison_table(scores), f"{out.rstrip('/')}/model_comparison.csv", bom=True)
     write_results_json(scores, f"{out.rstrip('/')}/all_results")
     return {r["model"] + f"@{r['horizon_h']}h": r["accuracy"] for r in scores.collect()}
 

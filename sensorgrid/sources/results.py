@@ -33,9 +33,16 @@ def list_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[
     return sorted(out)
 
 
+BOM = "\ufeff"
+
+
 def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with every column as string (types are applied by ``normalize_scores``)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Header CSV with every column as string (types are applied by ``normalize_scores``).
+    A UTF-8 byte-order mark on the first header name is dropped."""
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    if df.columns and df.columns[0].startswith(BOM):
+        df = df.withColumnRenamed(df.columns[0], df.columns[0][len(BOM):])
+    return df
 
 
 def read_result_tables(spark: SparkSession, folder: str, required=SCORE_COLS, skip_name: str = SKIP_NAME,
@@ -67,7 +74,14 @@ def read_result_tables(spark: SparkSession, folder: str, required=SCORE_COLS, sk
     return out.where(~contains_any("model", TUNED_PATTERNS))
 
 
-def write_result_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV sink with a header row (no byte-order mark; Spark writes plain UTF-8)."""
+def write_result_table(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = False) -> str:
+    """CSV sink with a header row.
+
+    ``bom=True`` writes the 'utf-8-sig' layout: one file whose header starts with a
+    byte-order mark (for spreadsheet tools). Use it only for small report tables — it
+    funnels the table into a single writer task."""
+    if bom:
+        first = df.columns[0]
+        df = df.withColumnRenamed(first, BOM + first).coalesce(1)
     df.write.mode(mode).option("header", True).csv(path)
     return path

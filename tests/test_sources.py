@@ -98,3 +98,17 @@ def test_metadata_roundtrip(spark):
     write_metadata(m, p)
     r = read_metadata(spark, p).first()
     assert r.rows_total == 9357 and r.X_trees_shape == [9333, 185] and r.label_map["high"] == 2
+
+
+def test_bom_sink_roundtrip(spark):
+    import glob
+    from sensorgrid.session import local_path, scratch_path
+    from sensorgrid.sources.results import read_csv_table, write_result_table
+    df = spark.createDataFrame([("Naive", "1h", "0.7482")], "Model string, Horizon string, Accuracy string")
+    p = write_result_table(df, scratch_path(spark, "bom"), bom=True)
+    files = glob.glob(local_path(p) + "/part-*.csv")
+    assert len(files) == 1
+    with open(files[0], "rb") as f:
+        assert f.read(3) == b"\xef\xbb\xbf"
+    back = read_csv_table(spark, p)
+    assert back.columns == ["Model", "Horizon", "Accuracy"] and back.first().Model == "Naive"
