@@ -138,25 +138,27 @@ def linear_estimator(name: str, n: int, s: float, alpha: float | None = None, l1
     raise ValueError(name)
 
 
-def tree_memory_mb(concurrent: int = 4) -> int:
-    """Node-statistics budget per tree fit: a slice of one executor heap, 256..1024 MB.
-
-    Local mode reads the JVM heap; on a cluster ``spark.executor.memory``. Uses the
-    process-wide SparkContext (the active *session* is thread-local)."""
+def tree_memory_mb() -> int:
+    """Node-statistics buffer per tree-training task, sized per task slot: half of one
+    slot's share of the executor heap (local mode: JVM heap / cores; cluster:
+    spark.executor.memory / spark.executor.cores), clamped to 16..1024 MB. Every running
+    task holds one such buffer, so the sum stays under the heap."""
     from pyspark import SparkContext
     sc = SparkContext._active_spark_context
     if sc is None:
-        return 256
+        return 128
     try:
         if sc.master.startswith("local"):
             heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
+            slots = sc.defaultParallelism
         else:
             txt = (sc.getConf().get("spark.executor.memory") or "1g").strip().lower()
             mult = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}.get(txt[-1], 1 / (1024 * 1024))
             heap = float(txt[:-1] if txt[-1].isalpha() else txt) * mult
+            slots = int(sc.getConf().get("spark.executor.cores") or 1)
     except Exception:  # noqa: BLE001 - sizing is a hint only
-        return 256
-    return int(max(256, min(1024, heap / (4 * max(1, concurrent)))))
+        return 128
+    return int(max(16, min(1024, heap / max(1, slots) / 2)))
 
 
 def tree_estimator(name: str, n_estimators: int | None = None, max_depth=None, learning_rate: float | None = None,
@@ -289,9 +291,26 @@ def fit_tuned_tree_task(tf: TaskFrame, target: str, h: int, name: str, grid: dic
     return _row(f"{name}_TUNED", target, h, score(model, test), fit_time, n, best), model
 
 
+def _heap_mb() -> float | None:
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    if sc is None or not sc.master.startswith("local"):
+        return None
+    return sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
+
+
+def task_workers(requested: int = 4) -> int:
+    """Concurrent fits: as requested on a cluster; in local mode about one per 3 GB of heap
+    (deep forests hold their node statistics on the single local executor)."""
+    heap = _heap_mb()
+    if heap is None:
+        return max(1, requested)
+    return max(1, min(requested, int(heap // 3072)))
+
+
 def run_tasks(spark: SparkSession, fn, tasks, workers: int = 4) -> DataFrame:
     """Run independent task fits from a small driver thread pool (concurrent Spark jobs)."""
-    with ThreadPoolExecutor(max_workers=max(1, workers)) as ex:
+    with ThreadPoolExecutor(max_workers=task_workers(workers)) as ex:
         results = list(ex.map(fn, tasks))
     rows = [r[0] if isinstance(r, tuple) and len(r) == 2 and isinstance(r[0], tuple) else r for r in results]
     return spark.createDataFrame(rows, SCORE_SCHEMA)
