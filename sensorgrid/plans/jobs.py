@@ -126,9 +126,9 @@ def leaderboard_job(spark: SparkSession, results_dir: str, out: str) -> dict:
     allres = allres.select("*", F.monotonically_increasing_id().alias("run_id"))
     best = lb.dedup_keep_best(allres).persist()
     outs = {
-        "final_leaderboard": lb.leaderboard_sort(lb.with_family(best)).drop("run_id", "cell_rank"),
-        "overall_winners": lb.overall_winners(best),
-        "family_best_by_cell": lb.family_best_by_cell(best).drop("family_order"),
+        "leaderboard": lb.leaderboard_sort(lb.with_family(best)).drop("run_id", "cell_rank"),
+        "winners": lb.overall_winners(best),
+        "family_best": lb.family_best_by_cell(best).drop("family_order"),
         "avg_by_pollutant": lb.avg_by_pollutant(allres),
         "avg_by_horizon": lb.avg_by_horizon(allres),
         "avg_by_model": lb.avg_by_model(allres),
