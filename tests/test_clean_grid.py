@@ -92,3 +92,23 @@ def test_two_entities_interleaved(mkdf):
                ("x", ts("2004-03-10 19:00"), 2.0, 0.0), ("y", ts("2004-03-10 19:00"), 200.0, 0.0)], SCHEMA)
     out = rows(fx.lag_features(df, ["a"], (1,)), "entity_id", "a__lag1")
     assert out == [("x", None), ("x", 1.0), ("y", None), ("y", 100.0)]
+
+
+def test_approx_quantiles_option(mkdf):
+    vals = [float(v) for v in range(1, 102)]  # median 51
+    df = mkdf([("e", ts("2004-03-10 00:00"), v, 0.0) for v in vals] + [("e", ts("2004-03-11 00:00"), None, 0.0)],
+              SCHEMA)
+    exact = [r.a for r in clean.median_impute(df, ["a"]).where(F.col("b") == 0.0).collect()]
+    approx = [r.a for r in clean.median_impute(df, ["a"], exact=False).collect()]
+    assert 51.0 in exact and abs(sorted(approx)[-1] - 101.0) < 1e-9
+    filled = [v for v in approx if v not in vals]
+    assert filled == [] or all(abs(v - 51.0) <= 1.0 for v in filled)
+
+
+def test_checked_broadcast_respects_bound(spark):
+    from sensorgrid.operators.common import checked_broadcast
+    small = spark.createDataFrame([(i,) for i in range(3)], "k int")
+    hinted = checked_broadcast(small, max_rows=10)
+    plain = checked_broadcast(small, max_rows=1)
+    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
