@@ -127,6 +127,16 @@ def family_best_by_cell(df: DataFrame, families=FAMILIES, tiebreak=("model", "ru
                     .alias("family_order"))
 
 
+def family_r2_pivot(df: DataFrame, families=FAMILIES) -> DataFrame:
+    """Best R2 per family for every (pollutant, horizon_h), one column per family in the fixed
+    order (r2_tree, r2_linear_kernel, r2_rnn); a family without rows gives NULL. One
+    partially aggregated group-by with conditional maxima (no pivot-value pass)."""
+    f = with_family(df)
+    names = {fam: "r2_" + fam.lower().replace("/", "_") for fam in families}
+    return f.groupBy("pollutant", "horizon_h").agg(
+        *[F.max(F.when(F.col("family") == fam, F.col("R2"))).alias(names[fam]) for fam in families])
+
+
 def leaderboard_sort(df: DataFrame, tiebreak=("model", "run_id")) -> DataFrame:
     """Rows ordered by horizon_h asc, pollutant asc, R2 desc, with the rank inside each cell.
 

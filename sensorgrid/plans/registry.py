@@ -972,3 +972,10 @@ def q_cls_json(spark, sf):
     scores = naive_class_scores(pack(spark, sf))
     path = write_results_json(scores, scratch_path(spark, "cls-json"))
     return spark.read.schema(results_json_frame(scores).schema).json(path)
+
+
+@register("family_r2_pivot", f"WITH {SC} SELECT pollutant, horizon_h, " + ", ".join(
+    f"{O.r6(f'max(CASE WHEN {O.family_sql()} = ' + repr(fam) + ' THEN R2 END)')} AS r2_{fam.lower().replace('/', '_')}"
+    for fam in ("Tree", "Linear/Kernel", "RNN")) + " FROM scores GROUP BY pollutant, horizon_h")
+def q_family_pivot(spark, sf):
+    return finish(lb.family_r2_pivot(scores(spark, sf)))
