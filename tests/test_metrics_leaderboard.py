@@ -129,3 +129,10 @@ def test_top3_and_pivot(spark):
     assert t3 == [(1, "LSTM", "LSTM (RNN, 24h)"), (2, "GBDT", "GBDT (Tree, 6h)"), (3, "Ridge", "Ridge (Linear/Kernel, 6h)")]
     pv = lb.pivot_scores(lb.overall_winners(df)).first()
     assert (pv.h1, pv.h6, pv.h12, pv.h24) == (0.5, 0.7, 0.1, 0.9)
+
+
+def test_family_r2_pivot(spark):
+    rows = [("RandomForest", "CO(GT)", 1, 0.8, 1.0, 1.0, 1.0, 1), ("GBDT", "CO(GT)", 1, 0.85, 1.0, 1.0, 1.0, 2),
+            ("Ridge", "CO(GT)", 1, 0.7, 1.0, 1.0, 1.0, 3), ("Naive", "CO(GT)", 1, 0.95, 1.0, 1.0, 1.0, 4)]
+    r = lb.family_r2_pivot(_scores(spark, rows)).first()
+    assert (r.r2_tree, r.r2_linear_kernel, r.r2_rnn) == (0.85, 0.7, None)
