@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorgrid.llm import decontaminate, linededup, mixing, quality, simhash, tokencounts, tokens
+from sensorgrid.llm import chat, classifier, decontaminate, htmltext, linededup, mixing, quality, simhash, tokencounts, tokens
 from sensorgrid.llm.common import read_table
+from sensorgrid.llm.oracle import ORACLE  # noqa: F401  (registered beside QUERIES)
 
 
 def vocabulary(name: str) -> str:
@@ -34,6 +35,26 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classifier.fit(docs, read_table(spark, sf_dir, "labels"), label="quality", rows=20_000)
+    return classifier.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+#: A conversation whose texts look like the template.
+ODD = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = chat.format_conversations(turns.unionByName(spark.createDataFrame(ODD, "conv_id long, turn long, role string, text string")))
+    return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tokencounts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096)
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -49,5 +70,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_quality_rules, op3_token_binary, op4_benchmark_decontamination, op8_token_counts, op9_simhash_near_dedup, op10_mixing)}
-ORACLE: dict[str, str] = {}
+    op1_line_dedup, op2_quality_rules, op3_token_binary, op4_benchmark_decontamination, op5_quality_classifier, op6_chat_formatting,
+    op7_html_extraction, op8_token_counts, op9_simhash_near_dedup, op10_mixing)}

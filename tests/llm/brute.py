@@ -124,3 +124,16 @@ def op10_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
             left -= target[s]
         open_ -= over
     return target
+
+
+def op6(rows):
+    """rows: [(conv_id, turn, role, text)] -> {conv_id: (n_turns, turns, loss_chars, loss)}"""
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        by[c].append((t is not None, t, r or "", x or ""))
+    out = {}
+    for c, turns in by.items():
+        turns.sort(key=lambda x: x[:1] + ((x[1],) if x[0] else ()) + x[2:])
+        loss = "".join(x for _, _, r, x in turns if r == "assistant")
+        out[c] = (len(turns), sha("".join(f"{r}\n{x}\n" for _, _, r, x in turns)), len(loss), sha(loss))
+    return out
