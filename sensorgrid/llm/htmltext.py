@@ -9,7 +9,7 @@
    content node: 1 minus the mean of log_m of the number of pages that share a content. A
    presentation node's composite importance adds its children's, weighted by how often they
    occur: (1 - g^l) * own + g^l * children, l being its number of child sequences.
-3. On each page, branches of low importance go (:func:`extract`): navigation that every page
+3. On each page, branches that are of low importance all through go (:func:`extract`): navigation that every page
    repeats has one presentation and few contents, an article has as many as pages.
 
 The markup's own words count beside the statistics: elements that are never content (scripts,
@@ -292,8 +292,8 @@ def style_tree(parsed: DataFrame) -> DataFrame:
 
 
 def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, node) of the nodes whose composite importance is below ``threshold``. Levels are
-    found top-down from the parents, importances added bottom-up."""
+    """(host, node) of the nodes that, with all below them, have a composite importance below
+    ``threshold``. Levels are found top-down from the parents, importances added bottom-up."""
     tree = stash(style_tree(parsed), "style-tree")
     level = tree.filter("parent is null").select("host", "node")
     levels = []
@@ -305,18 +305,20 @@ def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD, min_pages: int =
     below = None
     for here in reversed(levels):
         if below is not None:
-            kids = below.groupBy("host", F.col("parent").alias("node")).agg((F.sum(F.col("importance") * F.col("pages")) / F.sum("pages")).alias("kids"))
+            kids = below.groupBy("host", F.col("parent").alias("node")).agg(
+                (F.sum(F.col("importance") * F.col("pages")) / F.sum("pages")).alias("kids"), F.max("best").alias("kids_best"))
             here = here.join(kids, ["host", "node"], "left")
         else:
-            here = here.withColumn("kids", F.lit(None).cast("double"))
+            here = here.withColumns({"kids": F.lit(None).cast("double"), "kids_best": F.lit(None).cast("double")})
         fade = F.pow(F.lit(DECAY), "styles")
         composite = (1 - fade) * F.col("presentation") + fade * F.coalesce("kids", F.lit(0.0))
         importance = F.when(F.col("presentation").isNull(), F.col("content")).otherwise(F.greatest(composite, F.coalesce("content", F.lit(0.0))))
-        below = stash(here.select("host", "node", "parent", "pages", importance.alias("importance")), "importance")
+        below = stash(here.select("host", "node", "parent", "pages", importance.alias("importance"),
+                                  F.greatest(importance, "kids_best").alias("best")), "importance")
         found = below if found is None else found.unionByName(below)
     if found is None:
         return tree.select("host", "node")
-    return found.filter((F.col("importance") < threshold) & (F.col("pages") >= min_pages)).select("host", "node")
+    return found.filter((F.col("best") < threshold) & (F.col("pages") >= min_pages)).select("host", "node")
 
 
 def main_text(path, parent, kind, block, text, low) -> str:
