@@ -19,6 +19,7 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,8 +28,22 @@ from sensorgrid.llm.common import read_table, stash  # noqa: E402
 from sensorgrid.llm.queries import vocabulary  # noqa: E402
 
 
+NEEDED = ["doc_id", "text", "source"]
+
+
+def apart(docs: DataFrame) -> DataFrame:
+    """The columns that operators read, and the others as one, safe from an operator's outputs."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in NEEDED]
+    return docs.select(*NEEDED, F.struct(*others or [F.lit(0)]).alias("other_columns"))
+
+
+def together(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return out.select(*[F.col(c) if c in NEEDED else F.col(f"other_columns.`{c}`").alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    return together(quality.judge(apart(docs)).filter("kept"), docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +51,12 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), width=10)
-    return out.filter("not contaminated").select(*docs.columns)
+    out = decontaminate.decontaminate(apart(docs), read_table(spark, sf_dir, "benchmark"), width=10)
+    return together(out.filter("not contaminated"), docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.emit(mixing.mix(docs)).select(*docs.columns)
+    return together(mixing.emit(mixing.mix(apart(docs))), docs)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
