@@ -85,13 +85,16 @@ def hourly_grid_blocked(df: DataFrame, block_hours: int, key="entity_id", ts="ts
     keys = as_list(key)
     b = series_bounds(df, key, ts)
     # grid anchored at each series' first timestamp (off-hour starts keep their minute offset)
-    lo_blk, hi_blk = block_of("__lo", block_hours), block_of("__hi", block_hours)
-    blocks = b.select(*[q(k) for k in keys], "__lo", "__hi",
+    # and ending at the last whole hour from there that is not after its last timestamp
+    steps = F.timestamp_diff("HOUR", F.col("__lo"), F.col("__hi"))
+    lo_blk = block_of("__lo", block_hours)
+    hi_blk = F.floor((hour_index("__lo") + steps) / F.lit(block_hours)).cast("bigint")
+    blocks = b.select(*[q(k) for k in keys], "__lo", steps.alias("__steps"),
                       F.explode(F.sequence(lo_blk, hi_blk)).alias(BLK))
     one_hour = F.make_dt_interval(F.lit(0), F.lit(1), F.lit(0), F.lit(0))
     # first / last grid hour inside the block: the series start shifted by whole hours
     start_h = F.greatest(F.col(BLK) * block_hours, hour_index("__lo")) - hour_index("__lo")
-    end_h = F.least((F.col(BLK) + 1) * block_hours - 1, hour_index("__hi")) - hour_index("__lo")
+    end_h = F.least((F.col(BLK) + 1) * block_hours - 1 - hour_index("__lo"), F.col("__steps"))
     first = F.col("__lo") + F.make_dt_interval(F.lit(0), start_h.cast("int"), F.lit(0), F.lit(0))
     last = F.col("__lo") + F.make_dt_interval(F.lit(0), end_h.cast("int"), F.lit(0), F.lit(0))
     grid = (blocks.repartition(*[q(k) for k in keys], BLK)

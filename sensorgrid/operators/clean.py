@@ -46,7 +46,8 @@ def drop_null_keys(df: DataFrame, subset=("ts",)) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys=("entity_id", "ts"), order_by=None) -> DataFrame:
-    """Keep one row per ``keys``: the first by ``order_by`` (a total tie-break).
+    """Keep one row per ``keys``: the first by ``order_by`` (a total tie-break); of columns
+    named there, a reading comes before a missing one.
 
     Written as ``min_by(struct(row), struct(order))`` in a hash aggregate, so
     duplicates collapse map-side before the shuffle (a row_number window would
@@ -59,7 +60,7 @@ def dedup_first(df: DataFrame, keys=("entity_id", "ts"), order_by=None) -> DataF
     rest = [c for c in df.columns if c not in keys]
     picked = (df.groupBy(*[q(k) for k in keys])
                 .agg(F.min_by(F.struct(*[q(c) for c in rest]),
-                              F.struct(*[q(c) if isinstance(c, str) else c for c in order])).alias("__row")))
+                              F.struct(*[x for c in order for x in ([q(c).isNull(), q(c)] if isinstance(c, str) else [c])])).alias("__row")))
     return picked.select(*[q(k) for k in keys], *[F.col("__row").getField(c).alias(c) for c in rest]) \
                  .select(*[q(c) for c in df.columns])
 
@@ -123,8 +124,12 @@ def standardize(df: DataFrame, columns=None, by=None, scope: Column | None = Non
     reference fits on every row, which leaks the test period.
     """
     cols = _numeric(df, columns, by)
-    means = _stat(df, F.avg, cols, by, scope)
-    sds = _stat(df, F.stddev_pop, cols, by, scope)
+    keys = as_list(by)
+    if keys:
+        means, sds = _stat(df, F.avg, cols, keys, scope), _stat(df, F.stddev_pop, cols, keys, scope)
+    else:  # both scalars of every column in one job
+        got = global_scalars(df, {f"{fn.__name__}:{c}": fn(_scoped(q(c), scope)) for c in cols for fn in (F.avg, F.stddev_pop)})
+        means, sds = ({c: F.lit(got[f"{fn.__name__}:{c}"]) for c in cols} for fn in (F.avg, F.stddev_pop))
     rep = {}
     for c in cols:
         s = sds[c].cast("double")
@@ -133,8 +138,8 @@ def standardize(df: DataFrame, columns=None, by=None, scope: Column | None = Non
 
 
 def coerce_numeric(df: DataFrame, columns) -> DataFrame:
-    """Cast to DOUBLE with unparsable values -> NULL (``try_cast``)."""
-    return select_replacing(df, {c: q(c).try_cast("double") for c in as_list(columns)})
+    """Cast to DOUBLE with unparsable values and the text ``NaN`` -> NULL."""
+    return select_replacing(df, {c: null_if_nan(q(c).try_cast("double")) for c in as_list(columns)})
 
 
 def non_constant_columns(df: DataFrame, columns=None, key="entity_id") -> DataFrame:

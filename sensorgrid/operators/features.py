@@ -110,8 +110,10 @@ def sequence_windows(df: DataFrame, features, target: str, seq_len: int = 24, ke
     """One row per full window of ``seq_len`` rows; label = target at the window's last row.
 
     ``seq`` is ARRAY<ARRAY<DOUBLE>> (time-major). Windows with any NULL/NaN
-    feature or a NULL target are dropped. Output grows seq_len x |features|
-    per input row: keep this last and the feature list short.
+    feature or a NULL target are dropped. With the split column among the keys
+    (``key=["entity_id", "split"]``) no window and no label leaves its split.
+    Output grows seq_len x |features| per input row: keep this last and the
+    feature list short.
     """
     return _frame_windows(df, features, q(target), seq_len, key, ts, "y", places)
 

@@ -27,20 +27,24 @@ def hourly_grid(df: DataFrame, key="entity_id", ts="ts", step_hours: int = 1,
 
     One pass, no join: rows whose offset from the series start is not a whole
     number of steps are dropped, then each remaining row emits itself plus the
-    missing steps up to the next present row (``posexplode(sequence(ts, next - step))``).
+    missing steps up to the next present row (``posexplode(sequence(ts, next - step))``),
+    or, for the last one, up to the last whole step not after the series' maximum —
+    the maximum of all readings, whether on the grid or off it.
     The only exchange is the hash partitioning by key that the following
     series windows reuse; the raw input is scanned once.
     """
     keys = as_list(key)
     step = F.make_dt_interval(F.lit(0), F.lit(step_hours), F.lit(0), F.lit(0))
     src = df.repartition(num_partitions, *[q(k) for k in keys]) if num_partitions else df
-    first = F.min(q(ts)).over(group_window(keys))
-    offset_us = F.timestamp_diff("MICROSECOND", first, q(ts))
-    marked = src.select("*", (offset_us % F.lit(step_hours * 3_600_000_000) == 0).alias("__on"))
+    first, last = F.min(q(ts)).over(group_window(keys)), F.max(q(ts)).over(group_window(keys))
+    step_us = F.lit(step_hours * 3_600_000_000)
+    steps = F.floor(F.timestamp_diff("MICROSECOND", first, last) / step_us)
+    end = first + F.make_dt_interval(F.lit(0), (steps * F.lit(step_hours)).cast("int"), F.lit(0), F.lit(0))
+    marked = src.select("*", (F.timestamp_diff("MICROSECOND", first, q(ts)) % step_us == 0).alias("__on"), end.alias("__end"))
     on_grid = marked.where(F.col("__on")).drop("__on")
     nxt = F.lead(q(ts)).over(series_window(keys, ts))
     with_next = on_grid.select("*", nxt.alias("__next"))
-    stop = F.greatest(F.coalesce(F.col("__next") - step, q(ts)), q(ts))
+    stop = F.greatest(F.coalesce(F.col("__next") - step, F.col("__end")), q(ts))
     gen = with_next.select(*[q(c) for c in df.columns], F.posexplode(F.sequence(q(ts), stop, step)).alias("__k", "__t"))
     present = F.col("__k") == 0
     out = []

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.functions.exprs import model_family
+from sensorgrid.functions.exprs import model_family, null_if_nan
 from sensorgrid.operators.common import as_list, q
 
 # Canonical row / column orders of the leaderboard reports.
@@ -44,16 +44,27 @@ def filter_models(df: DataFrame, include=None, exclude_patterns=(), model_col: s
     return out
 
 
+def horizon_number(c: Column) -> Column:
+    """6 from 6, '6', '6.0' or '6h'; NULL from anything else."""
+    return null_if_nan(F.regexp_replace(c.cast("string"), "h$", "").try_cast("double")).try_cast("int")
+
+
+def score_order(col: str = "R2", descending: bool = True) -> Column:
+    """Sort key of a score: NaN counts as missing, missing comes last."""
+    x = null_if_nan(q(col).cast("double"))
+    return x.desc_nulls_last() if descending else x.asc_nulls_last()
+
+
 def normalize_scores(df: DataFrame, required=SCORE_COLS) -> DataFrame:
     """Common score schema: ``MAPE`` -> ``MAPE(%)``, ``horizon`` '6h' -> ``horizon_h`` 6,
-    numeric metrics coerced (bad -> NULL), missing required columns added as NULL."""
+    numeric metrics coerced (bad text and NaN -> NULL), missing required columns added as NULL."""
     cols = set(df.columns)
     sel = []
     for c in df.columns:
         if c == "MAPE" and "MAPE(%)" not in cols:
             sel.append(q(c).alias("MAPE(%)"))
         elif c == "horizon" and "horizon_h" not in cols:
-            sel.append(F.regexp_replace(q(c).cast("string"), "h", "").try_cast("int").alias("horizon_h"))
+            sel.append(horizon_number(q(c)).alias("horizon_h"))
         else:
             sel.append(q(c))
     out = df.select(*sel)
@@ -64,8 +75,8 @@ def normalize_scores(df: DataFrame, required=SCORE_COLS) -> DataFrame:
             extra.append(F.lit(None).cast("string" if c in ("model", "pollutant") else "double").alias(c))
     out = out.select("*", *extra)
     num = {"R2", "RMSE", "MAE", "MAPE(%)"}
-    return out.select(*[q(c).try_cast("double").alias(c) if c in num else
-                        (q(c).try_cast("int").alias(c) if c == "horizon_h" else q(c)) for c in out.columns])
+    return out.select(*[null_if_nan(q(c).try_cast("double")).alias(c) if c in num else
+                        (horizon_number(q(c)).alias(c) if c == "horizon_h" else q(c)) for c in out.columns])
 
 
 def union_scores(frames: dict, tag_col: str = "source") -> DataFrame:
@@ -82,10 +93,12 @@ def with_family(df: DataFrame, model_col: str = "model", out: str = "family") ->
 
 
 def _order_key(order) -> Column:
-    """Struct sort key for min_by: (col, 'desc'|'asc') pairs, NULLs last either way."""
+    """Struct sort key for min_by: (col, 'desc'|'asc') pairs, NULL and NaN last either way."""
     parts = []
     for i, (c, d) in enumerate(order):
         x = q(c) if isinstance(c, str) else c
+        if d == "desc":
+            x = null_if_nan(x.cast("double"))
         parts.append(x.isNull().alias(f"n{i}"))
         parts.append((-x if d == "desc" else x).alias(f"v{i}"))
     return F.struct(*parts)
@@ -144,7 +157,7 @@ def leaderboard_sort(df: DataFrame, tiebreak=("model", "run_id")) -> DataFrame:
     ``cell_rank`` is a row_number per (horizon_h, pollutant).
     """
     from pyspark.sql import Window
-    order = [F.col("R2").desc_nulls_last()] + [q(t).asc() for t in as_list(tiebreak)]
+    order = [score_order()] + [q(t).asc() for t in as_list(tiebreak)]
     w = Window.partitionBy("horizon_h", "pollutant").orderBy(*order)
     ranked = df.select("*", F.row_number().over(w).alias("cell_rank"))
     return ranked.orderBy(F.col("horizon_h").asc_nulls_last(), F.col("pollutant").asc_nulls_last(), *order)
@@ -152,12 +165,36 @@ def leaderboard_sort(df: DataFrame, tiebreak=("model", "run_id")) -> DataFrame:
 
 def top_k_models(df: DataFrame, k: int = 10, tiebreak=("model", "run_id")) -> DataFrame:
     """Global top-k rows by R2 (a per-partition top-k then one merge of k rows each)."""
-    order = [F.col("R2").desc_nulls_last()] + [q(t).asc() for t in as_list(tiebreak)]
-    return df.orderBy(*order).limit(k)
+    return df.orderBy(score_order(), *[q(t).asc() for t in as_list(tiebreak)]).limit(k)
+
+
+def top_k_per_cell(df: DataFrame, k: int = 5, tiebreak=("model", "run_id")) -> DataFrame:
+    """Per (pollutant, horizon_h): the best run of each model, then the first ``k`` by R2, with ``rank``.
+
+    The best run combines map-side; a cell then holds one row per model."""
+    from pyspark.sql import Window
+    best = dedup_keep_best(df, tiebreak=[t for t in as_list(tiebreak) if t != "model"])
+    w = Window.partitionBy("pollutant", "horizon_h").orderBy(score_order(), *[q(t).asc() for t in as_list(tiebreak)])
+    return best.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k)
+
+
+# Fixed value: the columns on which two rows are the same run.
+DISTINCT_COLS = ("model", "pollutant", "horizon_h", "RMSE", "MAE", "R2")
+
+
+def drop_exact_duplicates(df: DataFrame, subset=DISTINCT_COLS) -> DataFrame:
+    """One row per distinct ``subset``; of the other columns the smallest values, so reruns agree."""
+    subset = [c for c in subset if c in df.columns]
+    rest = [c for c in df.columns if c not in subset]
+    if not rest:
+        return df.select(*[q(c) for c in subset]).distinct()
+    row = F.min(F.struct(*[q(c) for c in rest])).alias("__row")
+    one = df.groupBy(*[q(c) for c in subset]).agg(row)
+    return one.select(*[F.col("__row").getField(c).alias(c) if c in rest else q(c) for c in df.columns])
 
 
 def collapse_max_r2(df: DataFrame, keys=("pollutant", "model", "family", "horizon_h")) -> DataFrame:
-    return df.groupBy(*[q(k) for k in keys]).agg(F.max("R2").alias("R2"))
+    return df.groupBy(*[q(k) for k in keys]).agg(F.max(null_if_nan(F.col("R2"))).alias("R2"))
 
 
 def top3_by_pollutant(df: DataFrame, k: int = 3) -> DataFrame:
@@ -176,7 +213,7 @@ def top3_by_pollutant(df: DataFrame, k: int = 3) -> DataFrame:
 def report_filter(df: DataFrame, drop_naive: bool = True, drop_rnn: bool = True) -> DataFrame:
     """Drop rows without pollutant / horizon / R2, then naive/baseline and/or RNN models."""
     pats = (NAIVE_PATTERNS if drop_naive else ()) + (RNN_PATTERNS if drop_rnn else ())
-    out = df.where(F.col("pollutant").isNotNull() & F.col("horizon_h").isNotNull() & F.col("R2").isNotNull())
+    out = df.where(F.col("pollutant").isNotNull() & F.col("horizon_h").isNotNull() & null_if_nan(F.col("R2")).isNotNull())
     return filter_models(out, exclude_patterns=pats)
 
 

@@ -63,11 +63,12 @@ def per_class_stats(df: DataFrame, y: str = "y_true", p: str = "y_pred", by=None
     keys = as_list(by)
     cc = _class_counts(df, y, p, keys)
     k = [q(c) for c in keys]
-    truth = cc.select(*k, F.col("__y").alias("cls"), F.col("__cnt").alias("support"), F.lit(0).cast("bigint").alias("predicted"),
-                      F.when(F.col("__y") == F.col("__p"), F.col("__cnt")).otherwise(0).cast("bigint").alias("tp"))
-    pred = cc.select(*k, F.col("__p").alias("cls"), F.lit(0).cast("bigint").alias("support"),
-                     F.col("__cnt").alias("predicted"), F.lit(0).cast("bigint").alias("tp"))
-    return truth.unionByName(pred).groupBy(*k, "cls").agg(
+    # each count row serves its true and its predicted class; exploded, so that what made the rows runs once
+    none, cnt = F.lit(0).cast("bigint"), F.col("__cnt")
+    truth = F.struct(F.col("__y").alias("cls"), cnt.alias("support"), none.alias("predicted"),
+                     F.when(F.col("__y") == F.col("__p"), cnt).otherwise(none).alias("tp"))
+    pred = F.struct(F.col("__p").alias("cls"), none.alias("support"), cnt.alias("predicted"), none.alias("tp"))
+    return cc.select(*k, F.explode(F.array(truth, pred)).alias("__c")).select(*k, "__c.*").groupBy(*k, "cls").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
 
 
@@ -96,27 +97,21 @@ def classification_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred",
 
 def confusion_matrix(df: DataFrame, y: str = "y_true", p: str = "y_pred", labels=(0, 1, 2), by=None) -> DataFrame:
     """Rows = true class (every label), columns pred_<label> = counts (zero-filled)."""
-    keys = as_list(by)
-    cc = _class_counts(df, y, p, keys)
-    k = [q(c) for c in keys]
-    counts = cc.groupBy(*k, F.col("__y").alias("y_true")).agg(
-        *[F.sum(F.when(F.col("__p") == lab, F.col("__cnt")).otherwise(0)).cast("bigint").alias(f"pred_{lab}")
-          for lab in labels])
-    groups = cc.select(*k).distinct() if keys else cc.limit(1).select()
-    full = groups.select(*k, F.explode(F.array(*[F.lit(lab) for lab in labels])).alias("y_true"))
-    out = full.join(counts, on=keys + ["y_true"], how="left")
-    return out.select(*k, "y_true", *[F.coalesce(F.col(f"pred_{lab}"), F.lit(0)).cast("bigint").alias(f"pred_{lab}")
-                                      for lab in labels])
+    k = [q(c) for c in as_list(by)]
+    ok = df.where(q(y).isNotNull() & q(p).isNotNull())
+    counts = [F.count_if((q(y) == t) & (q(p) == lab)).alias(f"__{i}_{j}") for i, t in enumerate(labels) for j, lab in enumerate(labels)]
+    wide = ok.groupBy(*k).agg(*counts) if k else ok.agg(*counts)
+    rows = [F.struct(F.lit(t).alias("y_true"), *[F.col(f"__{i}_{j}").alias(f"pred_{lab}") for j, lab in enumerate(labels)])
+            for i, t in enumerate(labels)]
+    return wide.select(*k, F.explode(F.array(*rows)).alias("__r")).select(*k, "__r.*")
 
 
 def class_distribution(df: DataFrame, cls: str = "target_cls", by="split", labels=(0, 1, 2)) -> DataFrame:
     """Zero-filled count of each label per group (bincount)."""
-    keys = as_list(by)
-    k = [q(c) for c in keys]
-    counts = df.where(q(cls).isNotNull()).groupBy(*k, q(cls).cast("int").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
-    groups = df.select(*k).distinct()
-    full = groups.select(*k, F.explode(F.array(*[F.lit(lab) for lab in labels])).alias("cls"))
-    return full.join(counts, on=keys + ["cls"], how="left").select(*k, "cls", F.coalesce("n", F.lit(0)).alias("n"))
+    k = [q(c) for c in as_list(by)]
+    wide = df.groupBy(*k).agg(*[F.count_if(q(cls) == lab).alias(f"__{i}") for i, lab in enumerate(labels)])
+    rows = [F.struct(F.lit(lab).alias("cls"), F.col(f"__{i}").alias("n")) for i, lab in enumerate(labels)]
+    return wide.select(*k, F.explode(F.array(*rows)).alias("__r")).select(*k, "__r.*")
 
 
 def column_profile(df: DataFrame, columns, exact: bool = True) -> DataFrame:

@@ -30,6 +30,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
@@ -85,27 +86,43 @@ class TaskFrame:
 
 
 def build_task_frame(pack: DataFrame, feature_names, tasks, labels: DataFrame | None = None,
-                     key="entity_id", ts="ts", checkpoint: bool = True, partitions: int | None = None) -> TaskFrame:
+                     key="entity_id", ts="ts", partitions: int | None = None) -> TaskFrame:
     """Assemble features once; attach per-series position / count (for folds) and labels.
 
     ``pack`` must already carry the label columns (``label_col(t, h)``) unless
     ``labels`` (key, ts, label columns) is given, which is then joined on
     (key, ts) — both sides come hash partitioned by key from their windows.
+
+    A row with a missing feature raises (:func:`require_complete`). Rows are dealt by (key, ts)
+    to ``partitions`` (default: the session's shuffle partitions) and sorted, so bootstraps and
+    with them fitted forests do not depend on how many cores the cluster has.
     """
     df = pack if labels is None else pack.join(labels, on=[key, ts], how="inner")
     df = df.select("*", (F.row_number().over(series_window(key, ts)) - 1).alias("__pos"))
-    asm = VectorAssembler(inputCols=list(feature_names), outputCol="features", handleInvalid="skip")
+    asm = VectorAssembler(inputCols=list(feature_names), outputCol="features", handleInvalid="keep")
     ycols = [label_col(t, h) for t, h in tasks]
     out = asm.transform(df).select(q(key), q(ts), "split", "__pos", "features", *[q(c) for c in ycols])
     # MLlib parallelises every pass (gradient, X'X, tree histograms) over input partitions: spread the
-    # frame over the cluster's cores instead of the few partitions AQE coalesced the windows into.
-    n_part = partitions or out.sparkSession.sparkContext.defaultParallelism
-    out = out.repartition(max(1, int(n_part)))
-    if checkpoint:
-        out = out.checkpoint(eager=True)
+    # frame instead of leaving the few partitions AQE coalesced the windows into.
+    n_part = partitions or out.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    out = out.repartition(max(1, int(n_part)), q(key), q(ts)).sortWithinPartitions(q(key), q(ts)).checkpoint(eager=True)
+    require_complete(out, feature_names, key)
     return TaskFrame(out, list(feature_names), list(tasks), key)
 
 
+def require_complete(df: DataFrame, feature_names, key="entity_id", show: int = 5) -> None:
+    """Raise if a ``features`` vector holds a missing value, naming series, column and count."""
+    x = vector_to_array(F.col("features"))
+    bad = df.where(F.exists(x, lambda v: v.isNull() | F.isnan(v)))
+    cells = F.filter(F.transform(x, lambda v, i: F.when(v.isNull() | F.isnan(v), i)), lambda i: i.isNotNull())
+    found = (bad.select(*[q(k) for k in as_list(key)], F.explode(cells).alias("i")).groupBy(*[q(k) for k in as_list(key)], "i")
+             .count().orderBy(*[q(k) for k in as_list(key)], "i").limit(show).collect())
+    if found:
+        names = list(feature_names)
+        raise ValueError("missing features: " + "; ".join(
+            f"{', '.join(str(r[k]) for k in as_list(key))}: {names[r['i']]} in {r['count']} rows" for r in found))
+
+
 def _fit_rows(tf: TaskFrame, label: str, splits_: tuple) -> DataFrame:
     return (tf.df.where(F.col("split").isin(list(splits_)) & F.col(label).isNotNull())
                  .select(q(tf.key), "__pos", "features", F.col(label).alias("label")))
@@ -343,7 +360,8 @@ CLS_SCHEMA = StructType([
 def window_summary_frame(df: DataFrame, features, label: str, seq_len: int, horizons, key="entity_id",
                          ts="ts") -> tuple[DataFrame, list[str]]:
     """Summary of each full ``seq_len`` window: last value, mean, sample std per feature, plus
-    the label ``h`` rows after the window end for each horizon (``cls__h<h>``)."""
+    the label ``h`` rows after the window end for each horizon (``cls__h<h>``). With ``split``
+    among the keys windows and labels stay inside their split."""
     w = series_window(key, ts)
     fr = w.rowsBetween(-(seq_len - 1), 0)
     cols, names = [], []
@@ -353,17 +371,19 @@ def window_summary_frame(df: DataFrame, features, label: str, seq_len: int, hori
                  F.coalesce(F.stddev_samp(x).over(fr), F.lit(0.0)).alias(f"{c}__wstd")]
         names += [f"{c}__last", f"{c}__wmean", f"{c}__wstd"]
     labs = [F.lead(q(label), h).over(w).alias(f"cls__h{h}") for h in horizons]
-    out = df.select(q(key), q(ts), "split", F.count(F.lit(1)).over(fr).alias("__n"), *cols, *labs)
+    keys = as_list(key)
+    out = df.select(*[q(k) for k in keys], q(ts), *([] if "split" in keys else ["split"]), F.count(F.lit(1)).over(fr).alias("__n"), *cols, *labs)
     return out.where(F.col("__n") == seq_len).drop("__n"), names
 
 
 def fit_status_classifier(spark: SparkSession, summary: DataFrame, feature_names, horizons, max_iter: int = 100,
-                          reg: float = 0.0, checkpoint: bool = True) -> DataFrame:
-    """Multinomial logistic regression per horizon on window summaries; metrics on test."""
-    asm = VectorAssembler(inputCols=list(feature_names), outputCol="features", handleInvalid="skip")
-    base = asm.transform(summary).select("split", "features", *[f"cls__h{h}" for h in horizons])
-    if checkpoint:
-        base = base.checkpoint(eager=True)
+                          reg: float = 0.0, key="entity_id") -> DataFrame:
+    """Multinomial logistic regression per horizon on window summaries; metrics on test. Rows
+    with a missing feature raise."""
+    asm = VectorAssembler(inputCols=list(feature_names), outputCol="features", handleInvalid="keep")
+    base = asm.transform(summary).select(q(key), "split", "features", *[f"cls__h{h}" for h in horizons])
+    base = base.checkpoint(eager=True)
+    require_complete(base, feature_names, key)
     rows = []
     for h in horizons:
         lab = f"cls__h{h}"

@@ -41,6 +41,13 @@ def chrono_split(df: DataFrame, fit_years=None, test_years=None, val_fraction: f
     return df.select("*", split.alias(out))
 
 
+def purge_boundary(df: DataFrame, horizon: int, key="entity_id", ts="ts", split_col: str = "split") -> DataFrame:
+    """Without the rows whose target, ``horizon`` rows later, lies in another split: a label
+    of the training rows is then never a value of the validation or test period."""
+    ahead = F.lead(q(split_col), horizon).over(series_window(key, ts))
+    return df.select("*", ahead.alias("__ahead")).where(F.col("__ahead").isNull() | F.col("__ahead").eqNullSafe(q(split_col))).drop("__ahead")
+
+
 def ratio_split(df: DataFrame, train: float = 0.70, val: float = 0.15, key="entity_id", ts="ts",
                 out: str = "split") -> DataFrame:
     """First floor(train*n) rows train, next floor(val*n) val, rest test (per series)."""
@@ -87,9 +94,3 @@ def split_semi_join(df: DataFrame, ids: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key appears in ``ids`` (no duplication, no columns added)."""
     return df.join(ids, on=as_list(on), how="left_semi")
 
-
-def expected_fold_sizes(n: int, n_splits: int = 3) -> list[tuple[int, int]]:
-    """(train_size, test_size) per fold, for checks."""
-    size = n // (n_splits + 1)
-    return [(n - (n_splits - i) * size, size) for i in range(n_splits)] if size else []
-

@@ -53,13 +53,16 @@ def aligned_xy(features: DataFrame, targets_long: DataFrame, target_name: str, h
     return f.join(t, on=keys + [ts], how="inner")
 
 
-def persistence_forecast(df: DataFrame, column: str, horizons=HORIZONS, key="entity_id", ts="ts") -> DataFrame:
-    """Naive forecast y_hat(t + h) = y(t): rows (key, ts, horizon_h, y_true, y_pred)."""
+def persistence_forecast(df: DataFrame, column: str, horizons=HORIZONS, key="entity_id", ts="ts",
+                         carry=()) -> DataFrame:
+    """Naive forecast y_hat(t + h) = y(t): rows (key, ts, horizon_h, y_true, y_pred), and the
+    columns ``carry`` of the row at t."""
+    carry = as_list(carry)
     keys = as_list(key)
     w = series_window(key, ts)
-    wide = df.select(*[q(k) for k in keys], q(ts), q(column).cast("double").alias("y_pred"),
+    wide = df.select(*[q(k) for k in keys], q(ts), *[q(c) for c in carry], q(column).cast("double").alias("y_pred"),
                      *[F.lead(q(column), h).over(w).cast("double").alias(f"__y{h}") for h in horizons])
     cells = [F.struct(F.lit(h).cast("int").alias("horizon_h"), F.col(f"__y{h}").alias("y_true")) for h in horizons]
-    long = wide.select(*[q(k) for k in keys], q(ts), "y_pred", F.explode(F.array(*cells)).alias("__c"))
-    return (long.select(*[q(k) for k in keys], q(ts), "__c.horizon_h", "__c.y_true", "y_pred")
+    long = wide.select(*[q(k) for k in keys], q(ts), *[q(c) for c in carry], "y_pred", F.explode(F.array(*cells)).alias("__c"))
+    return (long.select(*[q(k) for k in keys], q(ts), *[q(c) for c in carry], "__c.horizon_h", "__c.y_true", "y_pred")
                 .where(F.col("y_true").isNotNull()))

@@ -23,9 +23,9 @@ def naive_class_scores(pack: DataFrame, horizons=HORIZONS, split: str | None = "
                        ts="ts") -> DataFrame:
     """y_true = class h rows later, y_pred = class now; metrics per horizon on ``split`` rows."""
     d = pack.select(key, ts, "split", "target_cls")
-    p = persistence_forecast(d, "target_cls", horizons, key, ts)
+    p = persistence_forecast(d, "target_cls", horizons, key, ts, carry=["split"])
     if split is not None:
-        p = p.join(d.select(key, ts, "split"), on=[key, ts]).where(F.col("split") == split)
+        p = p.where(F.col("split") == split)
     p = p.select("horizon_h", F.col("y_true").cast("int").alias("y_true"), F.col("y_pred").cast("int").alias("y_pred"))
     return metrics.classification_metrics(p, by="horizon_h").select(F.lit("Naive").alias("model"), "*")
 
@@ -34,7 +34,7 @@ def status_classifier(spark: SparkSession, cleaned: DataFrame, cfg: PrepareConfi
                       horizons=HORIZONS, max_iter: int = 100) -> DataFrame:
     """Fit + score the multinomial classifier for every horizon (one row per horizon)."""
     pk = feature_pack(cleaned, cfg)
-    summary, names = M.window_summary_frame(pk, features, "target_cls", seq_len, horizons, cfg.key, cfg.ts)
+    summary, names = M.window_summary_frame(pk, features, "target_cls", seq_len, horizons, [cfg.key, "split"], cfg.ts)
     return M.fit_status_classifier(spark, summary, names, horizons, max_iter=max_iter)
 
 

@@ -1,13 +1,15 @@
 """The reference's three workflows as Spark jobs with a command line.
 
   python -m sensorgrid.plans.jobs prepare  --csv RAW.csv --out PACK_DIR [--entity station_1] [--block-hours N]
-  python -m sensorgrid.plans.jobs regress  --pack PACK_DIR --out RESULTS_DIR [--models ...] [--horizons 1 6 12 24]
+  python -m sensorgrid.plans.jobs regress  --pack PACK_DIR --out RESULTS_DIR [--models persistence linear trees svr tuned] [--horizons 1 6 12 24]
   python -m sensorgrid.plans.jobs classify --pack PACK_DIR --out RESULTS_DIR [--seq-len 24]
 
 ``prepare`` writes ``cleaned`` (parquet), ``features/trees`` and ``features/nn``
 (parquet partitioned by split) and ``artifacts`` (JSON metadata). ``regress``
-fits every (pollutant x horizon) task, writes one results CSV per model family,
-then the merged leaderboard, winners, family winners and averages. ``classify``
+scores the persistence forecast, fits every (pollutant x horizon) task, saves the
+fitted models, writes one results CSV per model family, then the merged
+leaderboard, winners, family winners and averages; ``--models tuned`` adds the grid
+searches of both tree families over the full grids. ``classify``
 writes the naive and classifier scores as a comparison CSV and nested JSON.
 Paths may be any Hadoop filesystem URI; intermediate state goes to
 ``spark.checkpoint.dir``.
@@ -54,10 +56,11 @@ def prepare_config(raw: DataFrame, fit_years=(2004,), test_years=(2005,), block_
 
 
 def prepare_job(spark: SparkSession, csv: str, out: str, cfg: PrepareConfig | None = None,
-                entity: str = "station_1", entity_col: str | None = None) -> dict:
+                entity: str = "station_1", entity_col: str | None = None, scale_scope: str = "train") -> dict:
+    """``scale_scope``: rows on which the scaled pack's means are fitted, "train" or "all"."""
     raw = raw_frame(spark, csv, entity, entity_col)
-    # duplicate timestamps: keep the smallest readings tuple (a total order; the reference's
-    # sort is unstable, so any fixed rule is as faithful)
+    # duplicate timestamps: keep the smallest readings tuple, missing readings last (a total
+    # order; the reference's sort is unstable, so any fixed rule is as faithful)
     cfg = cfg or prepare_config(raw)
     base = out.rstrip("/")
     if cfg.block_hours:
@@ -71,21 +74,35 @@ def prepare_job(spark: SparkSession, csv: str, out: str, cfg: PrepareConfig | No
         pk = feature_pack(cleaned_r, cfg)
     write_pack(pk, base, "trees")
     trees = spark.read.parquet(f"{base}/features/trees")
-    write_pack(scaled_pack(trees, scope="all"), base, "nn")
+    write_pack(scaled_pack(trees, scope=scale_scope), base, "nn")
     n_feat = len(pack_columns(trees))
     meta = pack_metadata(cleaned_r, trees, cfg.target, cfg.features, cfg.lags, cfg.rolls, cfg.thresholds,
-                         n_features=n_feat, rule="2004 train/val (last 20% val), 2005 test")
+                         n_features=n_feat, rule=split_rule(cfg))
     write_metadata(meta, f"{base}/artifacts")
     r = meta.first().asDict()
     return {"co_column": r["co_column"], "features": r["priority_features"], "rows_total": r["rows_total"],
             "rows_after_warmup": r["rows_after_warmup"], "X_shape": r["X_trees_shape"]}
 
 
+def split_rule(cfg: PrepareConfig) -> str:
+    """The split in words, for the metadata."""
+    val = f"last {cfg.val_fraction:.0%} val"
+    if cfg.test_start is not None:
+        return f"before {cfg.test_start} train/val ({val}), test from then on"
+    years = lambda ys: ", ".join(map(str, ys))
+    return f"{years(cfg.fit_years)} train/val ({val}), {years(cfg.test_years)} test"
+
+
+#: Model families of the regression job; "tuned" runs the full grids and is not in the default.
+MODELS = ("persistence", "linear", "trees", "svr")
+
+
 def regression_job(spark: SparkSession, pack_dir: str, out: str, pollutants=None, horizons=HORIZONS,
                    linear=("LinearRegression", "Ridge", "Lasso", "ElasticNet"),
-                   trees=("DecisionTree", "RandomForest", "GBDT"), workers: int = 4) -> dict:
+                   trees=("DecisionTree", "RandomForest", "GBDT"), workers: int = 4, models=MODELS,
+                   tuned_grids: dict | None = None) -> dict:
     from sensorgrid.operators import models as M
-    from sensorgrid.plans.regression import linear_suite, linear_svr_equiv, tree_suite
+    from sensorgrid.plans.regression import linear_suite, linear_svr_equiv, persistence_suite, tree_suite, tuned_tree_suite
     base = pack_dir.rstrip("/")
     cleaned = spark.read.parquet(f"{base}/cleaned")
     sensors = [c for c in numeric_columns(cleaned, exclude=["entity_id", "ts"])
@@ -102,12 +119,21 @@ def regression_job(spark: SparkSession, pack_dir: str, out: str, pollutants=None
     nn_pack = load_pack(spark, base, "nn", split=None)
     tf_nn = M.build_task_frame(nn_pack.select("entity_id", "ts", "split", *feats), feats, tasks, labels=labels)
     res = out.rstrip("/")
+    saved = f"{res}/models"
     written = {}
-    if linear:
-        written["linear"] = linear_suite(spark, tf, names=linear, workers=workers)
-    if trees:
-        written["trees"] = tree_suite(spark, tf, names=trees, workers=workers)
-    written["svr"] = linear_svr_equiv(spark, tf_nn, workers=workers)
+    if "persistence" in models:
+        written["persistence"] = persistence_suite(cleaned, trees_pack, tasks)
+    if "linear" in models and linear:
+        written["linear"] = linear_suite(spark, tf, names=linear, workers=workers, save_to=saved)
+    if "trees" in models and trees:
+        written["trees"] = tree_suite(spark, tf, names=trees, workers=workers, save_to=saved)
+    if "svr" in models:
+        written["svr"] = linear_svr_equiv(spark, tf_nn, workers=workers)
+    if "tuned" in models:
+        grids = tuned_grids or {"RandomForest": M.RF_GRID, "GBDT": M.GBDT_GRID}
+        # kept beside the results under the name the merge skips, as the reference does
+        tuned = tuned_tree_suite(spark, tf, grids, workers=workers, save_to=saved)
+        write_result_table(tuned.withColumn("params", F.to_json("params")), f"{res}/results/tuned_tree_results.csv")
     for fam, df in written.items():
         write_result_table(df.drop("params"), f"{res}/results/{fam}_results.csv")
     return leaderboard_job(spark, f"{res}/results", res)
@@ -122,20 +148,25 @@ def _labels(cleaned: DataFrame, tasks) -> DataFrame:
 
 def leaderboard_job(spark: SparkSession, results_dir: str, out: str) -> dict:
     """Merge result tables; write leaderboard, winners, family winners and averages as CSV."""
-    allres = read_result_tables(spark, results_dir, keep_extra=())
-    allres = allres.select("*", F.monotonically_increasing_id().alias("run_id"))
+    allres = lb.drop_exact_duplicates(read_result_tables(spark, results_dir, keep_extra=()))
+    # ties go by content, so that reruns and other file orders agree
+    allres = allres.select("*", F.xxhash64(*[F.col(f"`{c}`") for c in allres.columns]).alias("run_id"))
     best = lb.dedup_keep_best(allres).persist()
     outs = {
         "leaderboard": lb.leaderboard_sort(lb.with_family(best)).drop("run_id", "cell_rank"),
         "winners": lb.overall_winners(best),
         "family_best": lb.family_best_by_cell(best).drop("family_order"),
+        "top_by_cell": lb.top_k_per_cell(allres).drop("run_id"),
         "avg_by_pollutant": lb.avg_by_pollutant(allres),
         "avg_by_horizon": lb.avg_by_horizon(allres),
         "avg_by_model": lb.avg_by_model(allres),
     }
+    counts = {}
     for name, df in outs.items():
-        write_result_table(df.coalesce(1), f"{out.rstrip('/')}/{name}.csv")
-    return {k: v.count() for k, v in outs.items()}
+        write_result_table(df, f"{out.rstrip('/')}/{name}.csv")
+        counts[name] = spark.read.option("header", True).csv(f"{out.rstrip('/')}/{name}.csv").count()
+    best.unpersist()
+    return counts
 
 
 def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: int = 24, horizons=HORIZONS) -> dict:
@@ -146,7 +177,7 @@ def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: in
     # base features + calendar (lags / rolling columns are window summaries already)
     feats = [c for c in pack_columns(nn) if "__lag" not in c and "__roll" not in c]
     naive = naive_class_scores(nn, horizons)
-    summary, names = M.window_summary_frame(nn, feats, "target_cls", seq_len, horizons)
+    summary, names = M.window_summary_frame(nn, feats, "target_cls", seq_len, horizons, key=["entity_id", "split"])
     clf = M.fit_status_classifier(spark, summary, names, horizons)
     cols = ["model", "horizon_h", "accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
             "recall_weighted", "f1_weighted"]
@@ -169,6 +200,7 @@ def main(argv=None) -> None:
     r = sub.add_parser("regress")
     r.add_argument("--pack", required=True)
     r.add_argument("--out", required=True)
+    r.add_argument("--models", nargs="+", choices=[*MODELS, "tuned"], default=list(MODELS))
     r.add_argument("--horizons", type=int, nargs="+", default=list(HORIZONS))
     c = sub.add_parser("classify")
     c.add_argument("--pack", required=True)
@@ -182,7 +214,7 @@ def main(argv=None) -> None:
         raw = raw_frame(spark, a.csv, a.entity, a.entity_col)
         print(prepare_job(spark, a.csv, a.out, prepare_config(raw, block_hours=a.block_hours), a.entity, a.entity_col))
     elif a.cmd == "regress":
-        print(regression_job(spark, a.pack, a.out, horizons=tuple(a.horizons)))
+        print(regression_job(spark, a.pack, a.out, horizons=tuple(a.horizons), models=tuple(a.models)))
     else:
         print(classification_job(spark, a.pack, a.out, a.seq_len))
 

@@ -94,6 +94,17 @@ def clean_chain(sensors=SENSORS) -> list[str]:
             cte_ffill(sensors=sensors)]
 
 
+def supplier_chain() -> list[str]:
+    """Daily grid and forward fill of the supplier series, ending in ``cleaned``."""
+    fill = ", ".join(f"last_value({c} IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}" for c in ("qty10", "price"))
+    return [f"sup AS ({ADAPTER_SQL['supplier']})",
+            "sup_b AS (SELECT entity_id, min(ts) AS lo, max(ts) AS hi FROM sup GROUP BY entity_id)",
+            "sup_g AS (SELECT entity_id, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS ts FROM sup_b)",
+            "sup_f AS (SELECT g.entity_id, g.ts, s.qty10, s.price, CAST(CASE WHEN s.entity_id IS NULL THEN 1 ELSE 0 END AS TINYINT) AS __gap "
+            "FROM sup_g g LEFT JOIN sup s ON g.entity_id = s.entity_id AND g.ts = s.ts)",
+            f"cleaned AS (SELECT * REPLACE ({fill}) FROM sup_f)"]
+
+
 def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 

@@ -42,7 +42,7 @@ class PrepareConfig:
     thresholds: tuple = (1.5, 2.5)
     stats_scope: str = "all"             # "all" (reference) or "train" (no leakage)
     exact_quantiles: bool = True
-    dedup_order: list = field(default_factory=list)  # tie-break for duplicate timestamps
+    dedup_order: list = field(default_factory=list)  # tie-break for duplicate timestamps (default: the sensors, missing last)
     num_partitions: int | None = None
     block_hours: int | None = None       # set: time-blocked windows (hot / very long series)
 
@@ -54,8 +54,7 @@ def clean_readings(raw: DataFrame, cfg: PrepareConfig) -> DataFrame:
     base = raw.select(q(key), q(ts), *[q(c).cast("double").alias(c) for c in sensors])
     x = clean.sentinel_to_null(base, sensors, key=key)
     x = clean.drop_null_keys(x, [key, ts])
-    if cfg.dedup_order:
-        x = clean.dedup_first(x, [key, ts], cfg.dedup_order)
+    x = clean.dedup_first(x, [key, ts], cfg.dedup_order or sensors)
     x = clean.missing_flags(x, sensors, key=key)
     scope = _scope(x, cfg) if cfg.stats_scope == "train" else None
     x = clean.median_impute(x, sensors, by=key, scope=scope, exact=cfg.exact_quantiles)
@@ -153,8 +152,7 @@ def clean_readings_blocked(raw: DataFrame, cfg: PrepareConfig) -> DataFrame:
     base = raw.select(q(key), q(ts), *[q(c).cast("double").alias(c) for c in sensors])
     x = clean.sentinel_to_null(base, sensors, key=key)
     x = clean.drop_null_keys(x, [key, ts])
-    if cfg.dedup_order:
-        x = clean.dedup_first(x, [key, ts], cfg.dedup_order)
+    x = clean.dedup_first(x, [key, ts], cfg.dedup_order or sensors)
     x = clean.missing_flags(x, sensors, key=key)
     # the hourly readings feed four branches (median, quartiles, grid bounds, alignment):
     # materialise them once in the shared checkpoint folder instead of re-reading the raw input

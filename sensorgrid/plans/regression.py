@@ -12,9 +12,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorgrid.operators import clean
-
+from sensorgrid.operators import clean, metrics
 from sensorgrid.operators import models as M
+from sensorgrid.operators.common import q, series_window
 from sensorgrid.plans.prepare import PrepareConfig, feature_pack, pack_columns
 
 HORIZONS = (1, 6, 12, 24)
@@ -37,25 +37,33 @@ def task_frame(cleaned: DataFrame, cfg: PrepareConfig, tasks, scaled: bool = Fal
     return M.build_task_frame(pk, feats, tasks, key=cfg.key, ts=cfg.ts)
 
 
+def _kept(result: tuple, folder: str | None) -> tuple:
+    """The score row of a fit, its model saved under ``folder`` if given."""
+    row, model = result
+    if folder:
+        M.save_model(model, f"{folder}/{row[1]}/h{row[2]}/{row[0]}")
+    return row
+
+
 def linear_suite(spark: SparkSession, tf: M.TaskFrame, names=tuple(M.LINEAR_GRIDS), grids: dict | None = None,
-                 workers: int = 4) -> DataFrame:
+                 workers: int = 4, save_to: str | None = None) -> DataFrame:
     jobs = [(t, h, n) for (t, h) in tf.tasks for n in names]
 
     def one(job):
         t, h, n = job
         g = None if grids is None else grids.get(n, {})
-        return M.fit_linear_task(tf, t, h, n, g)[0]
+        return _kept(M.fit_linear_task(tf, t, h, n, g), save_to)
     return M.run_tasks(spark, one, jobs, workers)
 
 
 def tree_suite(spark: SparkSession, tf: M.TaskFrame, names=tuple(M.TREE_SPECS), params: dict | None = None,
-               workers: int = 4) -> DataFrame:
+               workers: int = 4, save_to: str | None = None) -> DataFrame:
     jobs = [(t, h, n) for (t, h) in tf.tasks for n in names]
 
     def one(job):
         t, h, n = job
         p = None if params is None else params.get(n)
-        return M.fit_tree_task(tf, t, h, n, p)[0]
+        return _kept(M.fit_tree_task(tf, t, h, n, p), save_to)
     return M.run_tasks(spark, one, jobs, workers)
 
 
@@ -77,15 +85,30 @@ def linear_svr_equiv(spark: SparkSession, tf_scaled: M.TaskFrame, C: float = M.L
 
 
 def tuned_tree_suite(spark: SparkSession, tf: M.TaskFrame, grids: dict, n_splits: int = 3,
-                     workers: int = 2) -> DataFrame:
+                     workers: int = 2, save_to: str | None = None) -> DataFrame:
     jobs = [(t, h, n) for (t, h) in tf.tasks for n in grids]
 
     def one(job):
         t, h, n = job
-        return M.fit_tuned_tree_task(tf, t, h, n, grids[n], n_splits)[0]
+        return _kept(M.fit_tuned_tree_task(tf, t, h, n, grids[n], n_splits), save_to)
     return M.run_tasks(spark, one, jobs, workers)
 
 
+def persistence_suite(cleaned: DataFrame, pack: DataFrame, tasks, key="entity_id", ts="ts") -> DataFrame:
+    """Score rows of the forecast y(t + h) = y(t) on the test rows of ``pack``, one per task;
+    one pass over the cleaned series for all targets and horizons."""
+    names = sorted({t for t, _ in tasks})
+    w = series_window(key, ts)
+    cells = [F.struct(F.lit(t).alias("pollutant"), F.lit(int(h)).alias("horizon_h"), q(t).cast("double").alias("y_pred"),
+                      F.col(f"__y{i}").alias("y_true")) for i, (t, h) in enumerate(tasks)]
+    wide = cleaned.select(q(key), q(ts), *[q(t) for t in names], *[F.lead(q(t), int(h)).over(w).cast("double").alias(f"__y{i}") for i, (t, h) in enumerate(tasks)])
+    test = pack.where(F.col("split") == "test").select(q(key), q(ts))
+    long = wide.join(test, [key, ts], "left_semi").select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    got = metrics.regression_metrics(long, by=["pollutant", "horizon_h"])
+    return got.select(F.lit("Naive_persistence").alias("model"), "pollutant", "horizon_h", "RMSE", "MAE", q("MAPE(%)"), "R2",
+                      F.lit(0.0).alias("fit_time_s"), F.lit(0).cast("bigint").alias("n_train"), F.col("n").alias("n_test"))
+
+
 def importance_table(spark: SparkSession, tf: M.TaskFrame, name: str = "RandomForest", params: dict | None = None,
                      workers: int = 4) -> DataFrame:
     def one(job):

@@ -46,11 +46,12 @@ def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_result_tables(spark: SparkSession, folder: str, required=SCORE_COLS, skip_name: str = SKIP_NAME,
-                       keep_extra=("run_id",)) -> DataFrame:
+                       keep_extra=("run_id",), missing: str = "null") -> DataFrame:
     """Union of every usable results table in ``folder``.
 
     * files whose name contains ``skip_name`` are skipped;
-    * a table lacking a required column after normalisation gets it as NULL;
+    * a table lacking a required column after renaming gets it as NULL (``missing="null"``,
+      the merge's rule) or is skipped (``missing="skip"``, the report readers' rule);
     * rows without model / pollutant / horizon_h / R2 are dropped;
     * rows whose model name contains 'tuned' are dropped.
     """
@@ -58,7 +59,10 @@ def read_result_tables(spark: SparkSession, folder: str, required=SCORE_COLS, sk
     for p in list_tables(spark, folder):
         if skip_name and skip_name in p.rsplit("/", 1)[-1]:
             continue
-        df = normalize_scores(read_csv_table(spark, p), required)
+        raw = read_csv_table(spark, p)
+        if missing == "skip" and not set(required) <= set(normalize_scores(raw, ()).columns):
+            continue
+        df = normalize_scores(raw, required)
         keep = list(required) + [c for c in keep_extra if c in df.columns]
         df = df.select(*[q(c) for c in keep])
         if "run_id" in df.columns:

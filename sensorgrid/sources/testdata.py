@@ -6,6 +6,9 @@
   with the -200 sentinel.
 * ``daily_series(orders)``: a daily series per order priority spanning
   1995-2001, used where a multi-year span matters (year split).
+* ``supplier_readings(lineitem)``: one daily series per supplier, so the number of series
+  grows with the table while a series keeps its length; ``qty10`` (mean quantity / 10) spreads
+  over all three status classes at any size.
 * ``score_table(events)``: a long score table (model, pollutant, horizon_h,
   R2, RMSE, MAE, MAPE(%), run_id) for the leaderboard operators.
 
@@ -49,6 +52,13 @@ def daily_series(orders: DataFrame) -> DataFrame:
                   .agg(F.avg("o_totalprice").alias("value"), F.count(F.lit(1)).cast("double").alias("n_orders")))
 
 
+def supplier_readings(lineitem: DataFrame) -> DataFrame:
+    """entity_id = supplier, ts = ship day, qty10 = mean quantity / 10, price = mean extended price."""
+    return (lineitem.groupBy(F.col("l_suppkey").cast("string").alias("entity_id"),
+                             F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("ts"))
+                    .agg((F.avg("l_quantity") / 10).alias("qty10"), F.avg("l_extendedprice").alias("price")))
+
+
 def _pick(values, idx) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
 
@@ -83,6 +93,10 @@ ADAPTER_SQL = {
         "SELECT o_orderpriority AS entity_id, date_trunc('day', o_orderdate) AS ts, "
         "avg(o_totalprice) AS value, CAST(count(*) AS DOUBLE) AS n_orders FROM orders GROUP BY 1, 2"
     ),
+    "supplier": (
+        "SELECT CAST(l_suppkey AS VARCHAR) AS entity_id, date_trunc('day', l_shipdate) AS ts, "
+        "avg(l_quantity) / 10 AS qty10, avg(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2"
+    ),
     "scores": (
         f"SELECT {_sql_list(MODEL_NAMES)}[(event_id % {len(MODEL_NAMES)}) + 1] AS model, "
         f"{_sql_list(POLLUTANTS)}[(hour(ts) % {len(POLLUTANTS)}) + 1] AS pollutant, "

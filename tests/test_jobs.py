@@ -68,7 +68,17 @@ def test_prepare_regress_classify(spark, raw_csv):
     res = scratch_path(spark, "uci-res")
     counts = jobs.regression_job(spark, out, res, pollutants=["CO(GT)", "NO2(GT)"], horizons=(1, 6),
                                  linear=("LinearRegression", "Ridge"), trees=("DecisionTree",))
-    assert counts["winners"] == 4 and counts["leaderboard"] == 4 * 4
+    # persistence, two linear models, one tree, the SVR equivalent on every (pollutant, horizon)
+    assert counts["winners"] == 4 and counts["leaderboard"] == 5 * 4 and counts["family_best"] == 2 * 4
+    board = spark.read.option("header", True).csv(f"{res}/leaderboard.csv")
+    assert {r.model for r in board.select("model").collect()} == {"Naive_persistence", "LinearRegression", "Ridge", "DecisionTree", "LinearSVR"}
+    winners = {(r.pollutant, r.horizon_h): r.model for r in spark.read.option("header", True).csv(f"{res}/winners.csv").collect()}
+    top = spark.read.option("header", True).csv(f"{res}/top_by_cell.csv").where("rank = 1").collect()
+    assert winners == {(r.pollutant, r.horizon_h): r.model for r in top}
+    from sensorgrid.operators import models as M
+    assert M.load_model("Ridge", f"{res}/models/CO(GT)/h6/Ridge").numFeatures == 185
+    again = jobs.leaderboard_job(spark, f"{res}/results", scratch_path(spark, "uci-again"))
+    assert again == {k: v for k, v in counts.items()}
     acc = jobs.classification_job(spark, out, scratch_path(spark, "uci-cls"), horizons=(1, 6))
     assert set(acc) == {"Naive@1h", "Naive@6h", "LogisticRegression@1h", "LogisticRegression@6h"}
     assert all(0.0 <= v <= 1.0 for v in acc.values())

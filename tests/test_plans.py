@@ -28,10 +28,10 @@ def entry():
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 def test_no_cross_join_no_python_udf(spark, entry):
-    sql = entry.oracle_sql()
-    for name, fn in entry.queries().items():
+    from sensorgrid.plans.registry import ORACLE, QUERIES
+    for name, fn in QUERIES.items():
         # model queries return score rows built from fitted models; their fits are Spark ML jobs
-        if name in SKIP or name not in sql:
+        if name in SKIP or name not in ORACLE:
             continue
         plan = plan_of(fn(spark, SF))
         for bad in FORBIDDEN:
@@ -50,6 +50,19 @@ def test_feature_pack_single_partitioning(spark, entry):
                                                                   "value:double"} for s in scans), scans
 
 
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+@pytest.mark.parametrize("name, most", [("naive_classifier", 5), ("classification_metrics", 4), ("confusion_matrix", 3),
+                                        ("class_distribution", 3), ("aligned_xy", 2), ("classification_results_json", 5)])
+def test_metrics_and_alignment_run_once(spark, entry, name, most):
+    """One scan of the table and no window stage twice: each metric is one pass."""
+    from sensorgrid.plans import classification, registry
+    df = (classification.naive_class_scores(registry.pack(spark, SF)) if name == "classification_results_json"
+          else entry.queries()[name](spark, SF))
+    plan = plan_of(df)
+    assert len(re.findall(r"FileScan|Scan parquet", plan)) == 1 and len(exchanges(plan)) <= most, plan[:2000]
+    assert "Join" not in plan and "Union" not in plan
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 def test_best_row_is_partial_aggregate(spark, entry):
     plan = plan_of(entry.queries()["dedup_keep_best"](spark, SF))

@@ -6,6 +6,8 @@ import sys
 import duckdb
 import pytest
 
+from sensorgrid.operators import metrics
+
 SF = "/root/testdata/sf0.001"
 SLOW = {"fit_forest", "fit_gbt", "grid_search_trees"}
 
@@ -15,14 +17,14 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("events", "orders"):
+    for t in ("events", "orders", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
 
 def _names():
-    import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    from sensorgrid.plans.registry import ORACLE
+    return sorted(ORACLE)
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
@@ -46,10 +48,24 @@ def test_entry_smoke(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
-def test_rows_only_queries_run(spark):
-    import __spark_entry__ as E
-    sql = E.oracle_sql()
-    for name, fn in E.queries().items():
-        if name in sql or name in SLOW:
-            continue
-        assert fn(spark, SF).count() >= 0, name
+def test_model_queries_score_every_task(spark):
+    """Fitted models have no SQL: every (target, horizon) task has a finite score, and the
+    linear ones beat the mean of the test period on most tasks."""
+    from sensorgrid.plans import registry
+    tasks = set(registry.ML_TASKS)
+    for name in ("fit_linear", "fit_ridge", "fit_lasso", "fit_elasticnet", "fit_linear_svr_equiv", "fit_tree", "model_save_load"):
+        rows = registry.QUERIES[name](spark, SF).collect()
+        assert {(r.pollutant, r.horizon_h) for r in rows} == tasks and len(rows) == len(tasks), name
+        assert all(r.RMSE is not None and r.RMSE >= 0 and r.n_test > 0 and r.n_train > 0 for r in rows), name
+    linear = {(r.pollutant, r.horizon_h): r.RMSE for r in registry.QUERIES["fit_linear"](spark, SF).collect()}
+    loaded = {(r.pollutant, r.horizon_h): r.RMSE for r in registry.QUERIES["model_save_load"](spark, SF).collect()}
+    assert all(abs(linear[t] - loaded[t]) < 1e-9 for t in tasks)
+    predicted = registry.QUERIES["score_models"](spark, SF)
+    by = {(r.pollutant, r.horizon_h): r.RMSE for r in metrics.regression_metrics(predicted, by=["pollutant", "horizon_h"]).collect()}
+    assert all(abs(linear[t] - by[t]) < 1e-9 for t in tasks)
+    importance = registry.QUERIES["feature_importance"](spark, SF).groupBy("pollutant", "horizon_h").sum("importance").collect()
+    assert len(importance) == len(tasks) and all(abs(r[2] - 1) < 1e-6 or r[2] == 0 for r in importance)
+    best = registry.QUERIES["grid_search_linear"](spark, SF)
+    assert best.groupBy("model").count().count() == 4 and best.count() == 4 * len(tasks)
+    scores = registry.QUERIES["fit_status_classifier"](spark, SF).collect()
+    assert [r.horizon_h for r in scores] == [1, 6, 12, 24] and all(0 <= r.accuracy <= 1 and r.n > 0 for r in scores)
