@@ -25,22 +25,31 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex as re
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import pack_hash, scratch_path, small_batches, text_of, utf8
+from sensorgrid.llm.common import pack_hash, scratch_path, small_batches, text_of
 from sensorgrid.session import ensure_checkpoint_dir
 
 #: (ids per word, bits per id) by selector.
 SELECTORS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
+_POWERS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 MAGIC = b"S8B1"
 BLOCK_WORDS = 4096
 ESCAPE_BITS = 30
 RECORD_IDS = 1 << 18
+#: Bytes of text that are encoded together.
+PORTION = 1 << 24
 END_ID = 1
-#: Distinct words whose ids a worker remembers.
-MEMO = 300_000
+#: Words whose ids a worker remembers, in each of two generations (some 200 bytes a word).
+MEMO = 400_000
+#: Word pieces as the pre-tokenizer cuts them, and the space that joins words here.
+PIECES = re.compile(r" |'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Controls, odd white space and scripts whose letters two libraries may know differently.
+ODD = r"[\x00-\x1F\x7F-\xA0\u0530-\U0010FFFF]"
 
 
 def encode_ids(ids: np.ndarray) -> bytes:
@@ -51,20 +60,16 @@ def encode_ids(ids: np.ndarray) -> bytes:
     escaped = ids[big]
     low = ids.copy()
     low[big] = 0
-    # widest id decides what fits; selector per starting position, then greedy jumps
-    choice = np.full(n, 15, np.uint8)
-    end = np.arange(n)
-    done = np.zeros(n, bool)
-    for s, (count, bits) in enumerate(SELECTORS):
-        if count > n and s < 15:
-            continue
-        wide = low >> np.uint64(bits) != 0
-        if s < 15 and wide.all():
-            continue
-        nxt = np.minimum.accumulate(np.where(wide, end, n)[::-1])[::-1]
-        fits = ~done & (nxt - end >= count)
-        choice[fits] = s
-        done |= fits
+    # widest of the next c ids, from that of fewer: the largest c whose bits hold them decides
+    choice = np.full(n, len(SELECTORS) - 1, np.uint8)
+    widest = {1: np.searchsorted(_POWERS, low, side="right").astype(np.uint8)}
+    for s in range(len(SELECTORS) - 2, -1, -1):
+        count, bits = SELECTORS[s]
+        if count > n:
+            break
+        part = min(c for c in widest if 2 * c >= count)
+        w = widest[count] = np.maximum(widest[part][:n - count + 1], widest[part][count - part:])
+        choice[:n - count + 1][w <= bits] = s
     counts = np.array([c for c, _ in SELECTORS])
     step = counts[choice].tolist()
     at, i = [], 0
@@ -114,49 +119,153 @@ def decode_ids(blob: bytes, blocks: slice | None = None) -> np.ndarray:
     return out
 
 
+class Memo:
+    """A dictionary in two generations: when the young one is full it becomes the old one, whose
+    entries come back when they are asked for and else go."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def turn(self) -> None:
+        """To be called between two batches of look-ups."""
+        if len(self.young) > MEMO:
+            self.young, self.old = {}, self.young
+
+    def missing(self, keys: set) -> list:
+        """Of keys that are not young, those that are not old either; the others become young."""
+        found = keys.intersection(self.old)
+        self.young.update((k, self.old[k]) for k in found)
+        return list(keys - found)
+
+
 class WordEncoder:
     """Ids of whole texts by remembered words. No token of ``word_bpe_49k`` spans white space,
     which the tokenizer drops, so a text's ids are its white-space-separated words' ids in
-    order. Words not met before go through the library, many to a call."""
+    order; and a word's ids are those of the pieces that the pre-tokenizer cuts it into, so
+    that "word", "Word," and "WORD!!" share what they have in common. Pieces not met before go
+    through the library, many to a call; the last token of a piece is known by its end mark.
+    Words with special tokens, rare scripts or odd white space go through the library whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.library = Tokenizer.from_file(path)
-        self.memo: dict[bytes, tuple] = {}
-        self.mark = self.library.encode("0", add_special_tokens=False).ids
+        # the same model for pieces that are normalised and cut: it need not do either again
+        self.model = Tokenizer(self.library.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.library.get_vocab()
+        self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([ODD, *special]))
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.words, self.pieces = Memo(), Memo()
+
+    def pack(self, ids) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        return [self.pack(e.ids) for e in self.library.encode_batch_fast(words, add_special_tokens=False)] if words else []
+
+    def learn_pieces(self, pieces: list[str]) -> None:
+        for i in range(0, len(pieces), 2048):
+            part = pieces[i:i + 2048]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) == len(part):
+                flat, at = ids.tobytes(), (cut * self.dtype.itemsize).tolist()
+                self.pieces.young.update((p, flat[a:z]) for p, a, z in zip(part, [0, *at], at))
+            else:  # not one pre-token each
+                self.pieces.young.update(zip(part, self.whole(part)))
 
     def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"0" not in w]
-        # words between single digits: a digit is always a token of its own
-        for i in range(0, len(plain), 4096):
-            part = plain[i:i + 4096]
-            text = " 0 ".join(w.decode("utf-8", "replace") for w in part) + " 0"
-            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
-            cut = np.flatnonzero(ids == self.mark[0])
-            ids = ids.tolist()
-            if len(cut) != len(part):
-                raise RuntimeError("the tokenizer joined tokens across white space")
-            a = 0
-            for w, z in zip(part, cut.tolist()):
-                self.memo[w] = tuple(ids[a:z])
-                a = z + 1
-        odd = [w for w in words if b"0" in w]
-        for w, e in zip(odd, self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False) if odd else ()):
-            self.memo[w] = tuple(e.ids)
-
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
-        out = []
-        for i in range(0, len(texts), 64):
-            split = [t.split() for t in texts[i:i + 64]]
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            new = {w for words in split for w in words if w not in self.memo}
-            if new:
-                self.learn(list(new))
-            memo = self.memo
-            out += [[t for w in words for t in memo[w]] for words in split]
-        return out
+        text = b" ".join(words).decode("utf-8", "replace")
+        if self.odd.search(text):
+            odd = [w for w in words if self.odd.search(w.decode("utf-8", "replace"))]
+            self.words.young.update(zip(odd, self.whole([w.decode("utf-8", "replace") for w in odd])))
+            apart = set(odd)
+            words = [w for w in words if w not in apart]
+            text = b" ".join(words).decode()
+        if not text.isascii():  # the library's normaliser for these, plain lower case for the others
+            words = [w for w in words if w.isascii()] + (wide := [w for w in words if not w.isascii()])
+            plain = b" ".join(words[:len(words) - len(wide)]).decode().lower()
+            wide = self.library.normalizer.normalize_str(b" ".join(wide).decode())
+            text = f"{plain} {wide}" if plain else wide
+        cut = PIECES.findall(text.lower() if text.isascii() else text)
+        if cut.count(" ") != max(0, len(words) - 1):
+            raise RuntimeError("a word was normalised to several")
+        self.pieces.turn()
+        known = self.pieces.young
+        known[" "] = b""
+        if (new := {p for p in cut if p not in known}) and (new := self.pieces.missing(new)):
+            self.learn_pieces(new)
+        ids = list(map(known.__getitem__, cut))
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat = b"".join(ids)
+        stops = ends[[i for i, p in enumerate(cut) if p == " "]].tolist() + [len(flat)]
+        self.words.young.update(zip(words, (flat[a:z] for a, z in zip([0, *stops], stops))))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has. Words are split
+        and numbered in Arrow; only distinct ones are looked up, then gathered in numpy."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        words = as_bytes(coded.dictionary)
+        self.words.turn()
+        get = self.words.young.get
+        known = list(map(get, words))
+        if None in known:
+            if new := self.words.missing({w for w, ids in zip(words, known) if ids is None}):
+                self.learn(new)
+            known = list(map(get, words))
+        size = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        each = size[at]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        shift = (np.cumsum(size) - size)[at] - ends[:-1]
+        ids = flat[np.arange(ends[-1]) + np.repeat(shift, each)]
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return ids, np.diff(ends[offsets])
+
+
+def as_bytes(strings: pa.Array) -> list[bytes]:
+    """An Arrow string array without nulls as bytes, cut from its one buffer."""
+    if not len(strings):
+        return []
+    kind = np.int64 if pa.types.is_large_string(strings.type) else np.int32
+    _, offsets, data = strings.buffers()
+    cut = np.frombuffer(offsets, kind)[strings.offset:strings.offset + len(strings) + 1].tolist()
+    data = data.to_pybytes() if data is not None else b""
+    return [data[a:z] for a, z in zip(cut, cut[1:])]
+
+
+def portions(batches, most: int = PORTION):
+    """(doc_ids, texts) of about ``most`` bytes from batches of whole texts, one text at least."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def joined():
+        t = pa.Table.from_batches(held).combine_chunks()
+        return t.column(0).to_pylist(), t.column(1).combine_chunks()
+
+    for b in batches:
+        each = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+        i = 0
+        while i < b.num_rows:
+            n = int(np.searchsorted(np.cumsum(each[i:]), most - size, side="right"))
+            if n == 0 and not held:
+                n = 1
+            if n:
+                held.append(b.slice(i, n))
+                size += int(each[i:i + n].sum())
+                i += n
+            if i < b.num_rows:
+                yield joined()
+                held, size = [], 0
+    if held:
+        yield joined()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -181,27 +290,29 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         shard, record, first = TaskContext.get().partitionId(), 0, 0
         ids: list[np.ndarray] = []
         doc_ids: list = []
+        lengths: list[int] = []
+        end = np.array([end_id], np.uint32)
         n = 0
 
         def flush():
             flat = np.concatenate(ids)
-            return pa.RecordBatch.from_pylist([{"shard": shard, "record": record, "doc_ids": doc_ids, "lengths": [len(x) for x in ids],
+            return pa.RecordBatch.from_pylist([{"shard": shard, "record": record, "doc_ids": doc_ids, "lengths": lengths,
                                                 "first": first, "n_ids": len(flat), "payload": encode_ids(flat)}],
                                               schema=pa.schema([("shard", pa.int32()), ("record", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                                                                 ("first", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())]))
 
-        for b in batches:
-            texts, keys = utf8(b.column(1)), b.column(0).to_pylist()
-            for i in range(0, len(texts), 64):
-                for k, t in zip(keys[i:i + 64], encode(texts[i:i + 64])):
-                    t.append(end_id)
-                    ids.append(np.array(t, np.uint32))
-                    doc_ids.append(k)
-                    n += len(t)
-                    if n >= RECORD_IDS:
-                        yield flush()
-                        record, first = record + 1, first + n
-                        ids, doc_ids, n = [], [], 0
+        for keys, texts in portions(batches):
+            flat, size = encode(texts)
+            a = 0
+            for k, z in zip(keys, np.cumsum(size).tolist()):
+                ids += [flat[a:z], end]
+                doc_ids.append(k)
+                lengths.append(z - a + 1)
+                n, a = n + z - a + 1, z
+                if n >= RECORD_IDS:
+                    yield flush()
+                    record, first = record + 1, first + n
+                    ids, doc_ids, lengths, n = [], [], [], 0
         if ids:
             yield flush()
 
@@ -218,7 +329,8 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     before = (records.groupBy("shard").agg(F.sum("n_ids").alias("__llm_n"))
               .select("shard", F.coalesce(F.sum("__llm_n").over(ahead), F.lit(0)).alias("__llm_before")))
-    rows = records.join(before, "shard").select("doc_ids", "lengths", (F.col("first") + F.col("__llm_before")).alias("first"), "payload")
+    # one row a shard, so no more than the write had tasks
+    rows = records.join(F.broadcast(before), "shard").select("doc_ids", "lengths", (F.col("first") + F.col("__llm_before")).alias("first"), "payload")
 
     def run(batches):
         for b in batches:

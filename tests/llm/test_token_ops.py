@@ -6,6 +6,7 @@ from collections import Counter
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from hypothesis import given, settings
@@ -15,7 +16,7 @@ from sensorgrid.llm import tokencounts, tokens
 
 BPE, PIECE = str(public_tokenizers.path("word_bpe_49k.json")), str(public_tokenizers.path("piece_bpe_32k.model"))
 ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "   a b  ", "a\nb\tc", "\n", "x▁y ▁", "▁", "<s>a</s>", "\xa0　x", "日本 語", "0 00 a0", "é É İ ß K", "don't I'll 'S",
-       "<|endoftext|>x <|startoftext|>", "\x1c\x1fa\x85b", "word" * 200, "a" + " " * 40 + "b", "🙂🙂 🙂", "﻿x", "½①ﬁ"]
+       "<|endoftext|>x <|startoftext|>", "\x1c\x1fa\x85b", "word" * 200, "a" + " " * 40 + "b", "🙂🙂 🙂", "﻿x", "½①ﬁ", "it's we'll !'s 'S O'Re", "a_b-c1²", "ǅ ŉ ſ", "Ωσς ΑΣ", "ж́й е\u0301", "x</w>y </w>", "मनीष ๑๒ 한국", "AB12cd!!%%%"]
 
 
 @settings(max_examples=60, deadline=None)
@@ -37,8 +38,13 @@ def test_simple8b_blocks_and_size():
 
 def test_word_encoder_equals_library(edge_rows):
     e = tokens.WordEncoder(BPE)
-    for t in [*ODD, *[t or "" for _, t in edge_rows]]:
-        assert e.encode([t.encode()])[0] == e.library.encode(t, add_special_tokens=False).ids, repr(t[:50])
+    import random
+    r = random.Random(3)
+    mixed = ["".join(r.choice("aAéÉß'.,!%0 9\u0301\u00a0\n-_Ж中<|>/w") for _ in range(r.randrange(30))) for _ in range(400)]
+    for t in [*ODD, *mixed, *[t or "" for _, t in edge_rows]]:
+        assert e.encode(pa.array([t]))[0].tolist() == e.library.encode(t, add_special_tokens=False).ids, repr(t[:50])
+    ids, size = e.encode(pa.array(["x", None, *ODD, ""])[1:])
+    assert np.split(ids, np.cumsum(size)[:-1])[3].tolist() == e.library.encode(ODD[2]).ids and size.sum() == len(ids) and len(size) == len(ODD) + 2
 
 
 def test_segment_counter_equals_library(edge_rows):
@@ -107,5 +113,17 @@ def test_memos_are_bounded(memo, monkeypatch):
     monkeypatch.setattr(tokencounts, "MEMO", memo)
     e, c = tokens.WordEncoder(BPE), tokencounts.SegmentCounter(PIECE)
     texts = ["some words here", "and others", "some words"] * 50
-    assert e.encode([t.encode() for t in texts]) == [e.library.encode(t, add_special_tokens=False).ids for t in texts]
+    for i in range(0, len(texts), 7):
+        ids, size = e.encode(pa.array(texts[i:i + 7]))
+        assert ids.tolist() == [x for t in texts[i:i + 7] for x in e.library.encode(t, add_special_tokens=False).ids]
     assert c.count(texts) == [len(x) for x in c.library.encode(texts)]
+
+
+def test_portions_bound_what_is_encoded_together():
+    texts = ["aaa", None, "b", "cc", "dddddd", "", "e", "ff", "gg"]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], ["doc_id", "text"])
+    for batches in ([whole], [whole.slice(i, 2) for i in range(0, 9, 2)], [whole.slice(0, 0), whole]):
+        got = list(tokens.portions(batches, 4))
+        assert [k for ks, _ in got for k in ks] == list(range(9)) and [t for _, ts in got for t in ts.to_pylist()] == texts
+        assert all(sum(len(t or "") for t in ts.to_pylist()) <= 4 or len(ts) == 1 for _, ts in got)
+    assert tokens.as_bytes(pa.array(["x", "é", ""])[1:]) == ["é".encode(), b""] and tokens.as_bytes(pa.array([], pa.string())) == []
