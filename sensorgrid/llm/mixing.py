@@ -60,29 +60,31 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_of()))
     rows = docs.withColumns({"size": word_count(text_of()), "__llm_digest": digest, "__llm_tie": pack_hash(docs)})
     up = F.substring("__llm_digest", 3, 1) < "8"
-    rows = rows.withColumns({"__llm_place": F.when(up, F.col("size")).otherwise(F.lit(1 << 40) - F.col("size")),
-                             "__llm_cell": F.substring("__llm_digest", 1, 2)})
-
-    cells = stash(rows.groupBy("source", "__llm_place", "__llm_cell").agg(F.count("*").alias("__llm_n"), F.min("size").alias("size")), "mix-cells")
-    places = cells.groupBy("source", "__llm_place").agg(F.sum("__llm_n").alias("__llm_n"), F.min("size").alias("size"))
-    sources = places.groupBy("source").agg(F.sum(F.col("size") * F.col("__llm_n")).cast("long").alias("source_size"))
-    targets = source_targets(sources, weights, share, cap)
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))), 1, 4), 16, 10)
-    targets = targets.withColumns({
-        "__llm_rate": F.coalesce(F.col("target") / F.expr("nullif(source_size, 0)"), F.lit(0.0)),
-        "__llm_offset": offset.cast("double") / 65536.0}).withColumnRenamed("source", "__llm_t")
+    # keys that can't be null: the join below then tests nothing at the scan (which would count
+    # every text's words again), and its partitioning serves the window too
+    solid = lambda c, none: F.coalesce(c, F.lit(none))
+    rows = rows.withColumns({"__llm_source": solid(F.concat(F.lit("s"), F.col("source")), ""),
+                             "__llm_place": solid(F.when(up, F.col("size")).otherwise(F.lit(1 << 40) - F.col("size")), 0),
+                             "__llm_cell": solid(F.substring("__llm_digest", 1, 2), "")})
+    cell = ["__llm_source", "__llm_place", "__llm_cell"]
+
+    cells = stash(rows.groupBy(*cell).agg(F.count("*").alias("__llm_n"), F.min("size").alias("size"), F.min("source").alias("source")), "mix-cells")
+    places = cells.groupBy("__llm_source", "__llm_place").agg(F.sum("__llm_n").alias("__llm_n"), F.min("size").alias("size"), F.min("source").alias("source"))
+    sources = places.groupBy("__llm_source").agg(F.sum(F.col("size") * F.col("__llm_n")).cast("long").alias("source_size"), F.min("source").alias("source"))
+    targets = source_targets(sources.select("source", "source_size"), weights, share, cap)
+    named = solid(F.concat(F.lit("s"), F.col("source")), "")
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), named)), 1, 4), 16, 10)
+    targets = targets.select(named.alias("__llm_source"), "source_size", "target",
+                             F.coalesce(F.col("target") / F.expr("nullif(source_size, 0)"), F.lit(0.0)).alias("__llm_rate"),
+                             (offset.cast("double") / 65536.0).alias("__llm_offset"))
 
     before = lambda *by: F.coalesce(F.sum("__llm_n").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
-    same = lambda left, right: F.col(left).eqNullSafe(F.col(right))
-    places = places.select(F.col("source").alias("__llm_a"), F.col("__llm_place").alias("__llm_b"), before("source", "__llm_place").alias("__llm_s"))
-    places = places.join(targets, same("__llm_a", "__llm_t")).drop("__llm_t")
-    cells = cells.select(F.col("source").alias("__llm_d"), F.col("__llm_place").alias("__llm_e"), F.col("__llm_cell").alias("__llm_f"),
-                         before("source", "__llm_place", "__llm_cell").alias("__llm_c"))
-    cells = cells.join(places, same("__llm_d", "__llm_a") & (F.col("__llm_e") == F.col("__llm_b"))).drop("__llm_a", "__llm_b")
-
-    out = rows.join(cells, same("source", "__llm_d") & (F.col("__llm_place") == F.col("__llm_e")) & (F.col("__llm_cell") == F.col("__llm_f")))
-    within = Window.partitionBy("source", "__llm_place", "__llm_cell").orderBy("__llm_digest", "__llm_tie")
+    places = places.select("__llm_source", "__llm_place", before("__llm_source", "__llm_place").alias("__llm_s")).join(targets, "__llm_source")
+    cells = cells.select(*cell, before(*cell).alias("__llm_c")).join(places, ["__llm_source", "__llm_place"])
+
+    out = rows.join(cells, cell)
+    within = Window.partitionBy(*cell).orderBy("__llm_digest", "__llm_tie")
     out = out.withColumn("__llm_rank", F.col("__llm_s") + F.col("__llm_c") + F.row_number().over(within))
     edge = lambda r: F.floor(F.col("__llm_rate") * r + F.col("__llm_offset"))
     out = out.withColumn("copies", (edge(F.col("__llm_rank")) - edge(F.col("__llm_rank") - 1)).cast("long"))
