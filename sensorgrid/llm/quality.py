@@ -6,8 +6,9 @@ is not fixed: :func:`plan_order` runs every rule on a sample of the documents, m
 share it rejects and what it costs, and sorts by rejection per cost. A document is kept if no
 rule rejects it, so the order changes the cost only, never the verdict.
 
-Scale: no shuffle; one pass over the texts. The sample is the :data:`SAMPLE` documents of
-smallest digest (partial top-k on each task), which orders the rules and nothing else.
+Scale: one pass over the texts without a shuffle. The sample is the rows, about :data:`SAMPLE`,
+whose digest is below a bar set by the row count; each task measures its own, and a few sums
+a rule come together. It orders the rules and nothing else.
 
 Defined cases: null or empty text has no words and fails the base; repeated rows get the same
 verdict; an empty table gives an empty result; input columns named like an output are replaced.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorgrid.llm.common import small_batches, text_of, utf8
+from sensorgrid.llm.common import pack_hash, small_batches, text_of, utf8
 
 #: Documents on which the rules' cost and selectivity are estimated.
 SAMPLE = 400
@@ -115,15 +116,21 @@ def order_rules(rules, measured: list[tuple[str, float, float]]) -> tuple:
 
 def plan_order(docs: DataFrame, rules=RULES, sample: int = SAMPLE) -> tuple:
     """The rules in the order that the sample suggests; measured on the executors."""
-    rows = docs.select(text_of().alias("text")).withColumn("__llm_h", F.xxhash64("text"))
-    some = rows.orderBy("__llm_h", F.length("text")).limit(sample).select("text")
+    n = docs.count()
+    if not n:
+        return tuple(rules)
+    # about ``sample`` rows by digest of the whole row, read where they lie
+    bar = (2 ** 63 - 1) * min(sample, n) // n
+    some = docs.withColumn("__llm_h", pack_hash(docs)).filter(F.shiftrightunsigned("__llm_h", 1) <= bar).select(text_of().alias("text"))
 
     def run(batches):
         docs = [d for b in batches for d in map(Doc, utf8(b.column(0))) if not d.base_failed]
-        name, share, cost = zip(*measure(rules, docs))
-        yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(share, pa.float64()), pa.array(cost, pa.float64())], ["name", "share", "cost"])
+        if docs:
+            name, rejected, spent = zip(*[(m[0], m[1] * len(docs), m[2] * len(docs)) for m in measure(rules, docs)])
+            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(rejected, pa.float64()), pa.array(spent, pa.float64()), pa.array([len(docs)] * len(name), pa.int64())], ["name", "rejected", "spent", "n"])
 
-    got = some.coalesce(1).mapInArrow(run, "name string, share double, cost double").collect()
+    got = (some.mapInArrow(run, "name string, rejected double, spent double, n long").groupBy("name")
+           .agg((F.sum("rejected") / F.sum("n")).alias("share"), (F.sum("spent") / F.sum("n")).alias("cost")).collect())
     return order_rules(rules, [tuple(r) for r in got])
 
 
