@@ -42,10 +42,10 @@ BLOCK_WORDS = 4096
 ESCAPE_BITS = 30
 RECORD_IDS = 1 << 18
 #: Bytes of text that are encoded together.
-PORTION = 1 << 24
+PORTION = 1 << 22
 END_ID = 1
 #: Words whose ids a worker remembers, in each of two generations (some 200 bytes a word).
-MEMO = 400_000
+MEMO = 150_000
 #: Word pieces as the pre-tokenizer cuts them, and the space that joins words here.
 PIECES = re.compile(r" |'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Controls, odd white space and scripts whose letters two libraries may know differently.
