@@ -139,13 +139,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
     some = known.select("doc_id", F.col(label).cast("double").alias("__llm_y")).orderBy(F.xxhash64("doc_id"), "doc_id", "__llm_y").limit(rows)
     texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(some), "doc_id")
-    sample = texts.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "__llm_y").limit(rows).select("__llm_y", "text")
+    sample = texts.select("__llm_y", F.xxhash64("doc_id").alias("__llm_h"), F.xxhash64("text").alias("__llm_t"), "text")
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([statistics(t) for t in utf8(b.column(1))], pa.list_(pa.float64()))], ["y", "x"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([statistics(t) for t in utf8(b.column(3))], pa.list_(pa.float64()))], ["y", "h", "t", "x"])
 
-    got = sample.mapInArrow(run, "y double, x array<double>").collect()
+    # repeated ids could make more rows than labels; numbers, not texts, meet in the last step
+    got = sample.mapInArrow(run, "y double, h long, t long, x array<double>").orderBy("h", "t", "y").limit(rows).collect()
     x = np.array([r.x for r in got], float).reshape(len(got), len(STATISTICS))
     y = np.array([r.y for r in got], float)
     order = np.lexsort([*x.T, y])  # the fit does not depend on the order in which rows came
