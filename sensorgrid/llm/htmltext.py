@@ -18,6 +18,15 @@ comments, ...) are unimportant on any host; where a page marks its article or ma
 rest of the page is; and unnamed prose blocks of a marked article stay, however often other
 pages repeat them. A page is never emptied by importance alone.
 
+Class and id names are weaker than tags and roles, so they are settled when the page is known
+(:meth:`Page.settle`). They never mark html, body, main, or an element that contains an
+article or main without such a name. A name of layout or state (``content-sidebar``,
+``elementor-widget``, ``comments-open``) never marks an article, and nothing on a page where
+its elements together hold over half of the prose (text outside links; that of the marked
+parts if there are any). A name that says what the block is (``sidebar``, ``cookie-banner``,
+``comment``) marks an article only beside another one without such a name, and holds
+otherwise unless no prose would be left. Branches so released are left to the importance.
+
 Scale: a page adds one count a node to the host's statistics, combined map-side, so a host
 with a third of all pages is a few rows per task; levels of the tree are joined bottom-up, as
 many jobs as the deepest tree has levels (:data:`DEPTH` at most; deeper elements count as
@@ -62,6 +71,10 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
 NOISE_NAMES = frozenset("ad ads adv advert adverts menu menus nav footer header masthead sidebar aside notice notices banner cookie cookies consent gdpr popup modal overlay "
                         "login signup signin search share sharing social comment comments commentlist reply replies respond disqus related recommended widget widgets "
                         "breadcrumb breadcrumbs pagination pager toolbar promo sponsor sponsored newsletter subscribe subscription paywall toc form".split())
+#: Of these, names of any block of a page builder: weak, as are names with a noise word at one end only.
+WEAK_NAMES = frozenset("widget widgets form modal overlay".split())
+DISCUSSION = frozenset("comment comments reply replies respond disqus".split())
+STATES = frozenset("open closed enabled disabled allowed on off".split())
 NOISE_STARTS = ("advert", "sidebar", "navbar", "navigation", "breadcrumb", "cookie", "newsletter", "sponsor", "promo", "comment-", "comments-", "googlead", "adsby")
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
@@ -92,15 +105,30 @@ def noisy(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if attrs.get("role", "").lower() in NOISE_ROLES:
         return True
-    for name in _NAME.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()):
-        if name.startswith(NOISE_STARTS) or name in NOISE_NAMES:
-            return True
-        parts = _PART.split(name)
-        if len(parts) > 1 and (parts[0] in NOISE_NAMES or parts[-1] in NOISE_NAMES) and parts[0] not in ("with", "has", "no"):
-            return True
     return False
 
 
+def noise_names(tag: str, attrs: dict[str, str]) -> tuple[str, ...]:
+    """The class and id names, digits folded, that call an element something else than an article."""
+    if not attrs or tag in ("html", "body", "main") or attrs.get("role", "").lower() == "main":
+        return ()
+    found = []
+    for name in _NAME.findall(_DIGITS.sub("#", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower()):
+        parts = _PART.split(name)
+        if name.startswith(NOISE_STARTS) or name in NOISE_NAMES or (
+                len(parts) > 1 and (parts[0] in NOISE_NAMES or parts[-1] in NOISE_NAMES) and parts[0] not in ("with", "has", "no")):
+            found.append(name)
+    return tuple(found)
+
+
+def says_what(name: str) -> bool:
+    """Whether a noise name says what the block is, rather than how the page is laid out."""
+    parts = [p for p in _PART.split(name) if p not in ("", "#")]
+    if len(parts) > 1 and parts[0] in DISCUSSION:
+        return parts[-1] not in STATES
+    return bool(parts) and all(p in NOISE_NAMES for p in parts) and not WEAK_NAMES.intersection(parts)
+
+
 class Page:
     """The block tree of one page, as flat lists. Nodes: path digest, parent, child sequence,
     whether noise, inside a marked main part, kept there whatever its importance. Blocks: node
@@ -112,6 +140,9 @@ class Page:
         self.noise: list[bool] = []
         self.main: list[bool] = []
         self.keep: list[bool] = []
+        self.named: list[tuple[str, ...]] = []
+        self.article: list[bool] = []
+        self.prose: list[int] = []
         self.children: list[list[int]] = []
         self.blocks: list[tuple[int, str]] = []
         self._known: dict[tuple, int] = {}
@@ -120,30 +151,81 @@ class Page:
         """1: noise, 2: inside a main part, 4: kept."""
         return [n + 2 * m + 4 * k for n, m, k in zip(self.noise, self.main, self.keep)]
 
-    def node(self, parent: int, name: str, noise: bool = False, main: bool = False, prose: bool = False) -> int:
+    def node(self, parent: int, name: str, noise: bool = False, main: bool = False, prose: bool = False, named: tuple[str, ...] = ()) -> int:
         """Elements of one name under one parent are one node of the page."""
-        key = (parent, name, noise)
+        key = (parent, name, noise, bool(named))
         i = self._known.get(key)
         if i is None:
             i = self._known[key] = len(self.path)
             above = self.path[parent] if parent >= 0 else 0
-            self.path.append(xxhash.xxh64_intdigest(f"{above}>{name}>{noise}".encode()) >> 1)
+            self.path.append(xxhash.xxh64_intdigest(f"{above}>{name}>{noise or bool(named)}>{noise and bool(named)}".encode()) >> 1)
             self.parent.append(parent)
             up = parent >= 0
             self.noise.append(noise or up and self.noise[parent])
             self.main.append(main or up and self.main[parent])
             self.keep.append(main or prose and up and self.keep[parent])
+            self.named.append(named)
+            self.article.append(main)
+            self.prose.append(0)
             self.children.append([])
         if parent >= 0 and (not self.children[parent] or self.children[parent][-1] != i):
             self.children[parent].append(i)
         return i
 
+    def settle(self) -> None:
+        """Noise by names, now that the whole page is known."""
+        n, parent = len(self.path), self.parent
+        soft = [i for i in range(n) if self.named[i] and not self.noise[i]]
+        if not soft:
+            return
+        # parts marked without a noise name of their own, and what contains one
+        clean = [self.article[i] and not self.noise[i] and not any(map(says_what, self.named[i])) for i in range(n)]
+        inside, holds = [False] * n, clean[:]
+        for i in range(n):
+            inside[i] = clean[i] or i > 0 and inside[parent[i]] and not (self.article[i] and not clean[i])
+        counted = [0 if self.noise[i] else self.prose[i] for i in range(n)]
+        marked = any(c and x for c, x in zip(counted, inside))
+        if marked:
+            counted = [c if x else 0 for c, x in zip(counted, inside)]
+        below = counted[:]
+        for i in range(n - 1, 0, -1):
+            below[parent[i]] += below[i]
+            holds[parent[i]] = holds[parent[i]] or holds[i] and below[i] > 0
+        up = [-1] * n  # the nearest named node above
+        share: dict[str, int] = {}
+        for i in range(1, n):
+            up[i] = parent[i] if self.named[parent[i]] else up[parent[i]]
+        for i in soft:
+            for name in set(self.named[i]):
+                j = up[i]
+                while j >= 0 and name not in self.named[j]:
+                    j = up[j]
+                if j < 0:
+                    share[name] = share.get(name, 0) + below[i]
+        half = below[0] / 2
+
+        def marks(strong_hold: bool) -> list[bool]:
+            out = [False] * n
+            for i in soft:
+                if self.article[i]:
+                    out[i] = strong_hold and marked and any(map(says_what, self.named[i]))
+                elif not holds[i]:
+                    out[i] = any(strong_hold if says_what(x) else share[x] <= half for x in self.named[i])
+            for i in range(1, n):
+                out[i] = out[i] or out[parent[i]]
+            return out
+
+        out = marks(True)
+        if below[0] and not any(c and not o for c, o in zip(counted, out)):
+            out = marks(False)
+        self.noise = [a or b for a, b in zip(self.noise, out)]
+
 
 def parse_page(source: str) -> Page:
     page = Page()
     root = page.node(-1, "html")
-    # open elements: tag, node of the block they belong to, whether they open a block, noise
-    stack: list[tuple[str, int, bool, bool]] = [("", root, True, False)]
+    # open elements: tag, node of the block they belong to, whether they open a block, noise, in a link
+    stack: list[tuple[str, int, bool, bool, bool]] = [("", root, True, False, False)]
     text: list[str] = []
     at = root
 
@@ -164,6 +246,8 @@ def parse_page(source: str) -> Page:
     def add(raw: str) -> None:
         if raw and not stack[-1][3]:
             text.append(entities.unescape(raw) if "&" in raw else raw)
+            if not stack[-1][4]:
+                page.prose[at] += len(raw.strip())
 
     pos, end = 0, len(source)
     while pos < end:
@@ -214,20 +298,22 @@ def parse_page(source: str) -> Page:
             if not inline:
                 close_block()
             continue
-        if inline and not noise:
-            stack.append((tag, at, False, stack[-1][3]))
+        named = noise_names(tag, attrs)
+        if inline and not noise and not named:
+            stack.append((tag, at, False, stack[-1][3], stack[-1][4] or tag == "a"))
             continue
         close_block()
         if len(stack) > DEPTH:  # counts as text of the ancestor, unless it is noise
-            stack.append((tag, at, True, stack[-1][3] or noise))
+            stack.append((tag, at, True, stack[-1][3] or noise or bool(named), stack[-1][4]))
             continue
         names = " ".join(sorted(set(_DIGITS.sub("#", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower().split())))
         main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article")
-        child = page.node(stack[-1][1], f"{tag}.{names}" if names else tag, noise, main and not noise, tag in PROSE and not names)
+        child = page.node(stack[-1][1], f"{tag}.{names}" if names else tag, noise, main and not noise, tag in PROSE and not names, named)
         # text of noise is kept for the statistics; scripts and the like never get here
-        stack.append((tag, child, True, stack[-1][3]))
+        stack.append((tag, child, True, stack[-1][3], stack[-1][4] or tag == "a"))
         at = child
     close_block()
+    page.settle()
     return page
 
 

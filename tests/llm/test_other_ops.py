@@ -138,6 +138,26 @@ def test_pages(source, want):
     assert text_of(source) == want
 
 
+LONG = "words of the article go on and on"
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<html class='cookie-accepted'><body class='content-sidebar'><div class='menu'>m</div><p>{LONG}", LONG),
+    (f"<body class='sidebar-right'><article>{LONG}</article><div id=comments class='comments-area'><article class='comment-body'>no</article></div>", LONG),
+    (f"<article class='post comments-open'>{LONG}</article><article class='comment'>no</article>", LONG),
+    (f"<div class='content-sidebar'><main><h1>T</h1><p>{LONG}</main><div class='sidebar'>no</div></div>", f"T {LONG}"),
+    (f"<div class='content-sidebar'><div class='post'><p>{LONG}</div><div class='sidebar'>no</div></div><p>x", f"{LONG} x"),
+    ("".join(f"<div class='elementor-widget elementor-widget-text'><p>{LONG} {i}</p></div>" for i in range(4)) + "<p>x</p><div class='cookie-notice'>no</div>",
+     " ".join(f"{LONG} {i}" for i in range(4)) + " x"),
+    (f"<main><h1>T</h1><div class='elementor-widget'><article>{LONG}</article></div></main>", f"T {LONG}"),
+    (f"<article><div class='widget'><p>{LONG}</div><div class='widget'><p>{LONG}</div><div class='widget-area'>no</div></article>", f"{LONG} {LONG}"),
+    (f"<article class='comment'>{LONG}</article>", LONG), (f"<div class='comments'><p>{LONG}</div>", LONG),
+    (f"<p>x</p><div class='menu-wrap'><a href=1>{LONG}</a></div><div class='comments'>{LONG}</div>", "x"),
+])
+def test_names_of_layout_do_not_empty_a_page(source, want):
+    assert text_of(source) == want
+
+
 def test_deep_markup_is_text_of_its_ancestor():
     assert text_of("<div>" * 3000 + "x" + "</div>" * 3000 + "<p>y") == "x y"
 
