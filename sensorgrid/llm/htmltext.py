@@ -28,9 +28,9 @@ parts if there are any). A name that says what the block is (``sidebar``, ``cook
 otherwise unless no prose would be left. Branches so released are left to the importance.
 
 Scale: a page adds one count a node to the host's statistics, combined map-side, so a host
-with a third of all pages is a few rows per task; levels of the tree are joined bottom-up, as
-many jobs as the deepest tree has levels (:data:`DEPTH` at most; deeper elements count as
-their ancestor's text). Pages meet their host's low nodes by a join that is broadcast up to
+with a third of all pages is a few rows per task. Levels of the tree are joined bottom-up, one
+job a level down to :data:`DEPTH`; what lies deeper is solved per host and branch below that
+level, in one task each over the branch's distinct nodes (not pages). Pages meet their host's low nodes by a join that is broadcast up to
 :data:`BROADCAST_NODES` nodes.
 
 Defined cases: null or empty html gives an empty text; a null or odd url is a host of its own
@@ -53,6 +53,7 @@ from pyspark.sql import types as T
 
 from sensorgrid.llm.common import small_batches, stash
 
+#: Levels of the tree that are jobs of their own. Nodes are kept at any depth.
 DEPTH = 24
 DECAY = 0.9
 THRESHOLD = 0.3
@@ -137,6 +138,8 @@ class Page:
     def __init__(self):
         self.path: list[int] = []
         self.parent: list[int] = []
+        self.depth: list[int] = []
+        self.branch: list[int] = []
         self.noise: list[bool] = []
         self.main: list[bool] = []
         self.keep: list[bool] = []
@@ -161,6 +164,9 @@ class Page:
             self.path.append(xxhash.xxh64_intdigest(f"{above}>{name}>{noise or bool(named)}>{noise and bool(named)}".encode()) >> 1)
             self.parent.append(parent)
             up = parent >= 0
+            self.depth.append(self.depth[parent] + 1 if up else 0)
+            # the path of the ancestor, or node, at the first level below DEPTH; 0 above
+            self.branch.append(0 if self.depth[i] <= DEPTH else self.path[i] if self.depth[i] == DEPTH + 1 else self.branch[parent])
             self.noise.append(noise or up and self.noise[parent])
             self.main.append(main or up and self.main[parent])
             self.keep.append(main or prose and up and self.keep[parent])
@@ -303,9 +309,6 @@ def parse_page(source: str) -> Page:
             stack.append((tag, at, False, stack[-1][3], stack[-1][4] or tag == "a"))
             continue
         close_block()
-        if len(stack) > DEPTH:  # counts as text of the ancestor, unless it is noise
-            stack.append((tag, at, True, stack[-1][3] or noise or bool(named), stack[-1][4]))
-            continue
         names = " ".join(sorted(set(_DIGITS.sub("#", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower().split())))
         main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article")
         child = page.node(stack[-1][1], f"{tag}.{names}" if names else tag, noise, main and not noise, tag in PROSE and not names, named)
@@ -333,6 +336,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     kept = [i for i in range(len(names)) if i != html_at]
     added = [("__llm_host", T.StringType(), pa.string()), ("__llm_path", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
              ("__llm_parent", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), ("__llm_kind", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+             ("__llm_depth", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), ("__llm_branch", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
              ("__llm_style", T.ArrayType(T.LongType()), pa.list_(pa.int64())), ("__llm_content", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
              ("__llm_block", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), ("__llm_text", T.ArrayType(T.StringType()), pa.list_(pa.string()))]
     digest = lambda s: xxhash.xxh64_intdigest(s.encode("utf-8", "replace")) >> 1
@@ -345,7 +349,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                 content: dict[int, list[str]] = {}
                 for i, t in p.blocks:
                     content.setdefault(i, []).append(t)
-                rows.append((host_of(url), p.path, p.parent, p.kinds(),
+                rows.append((host_of(url), p.path, p.parent, p.kinds(), p.depth, p.branch,
                              [digest(repr([p.path[c] for c in k])) if k else 0 for k in p.children],
                              [digest("\n".join(content[i])) if i in content else 0 for i in range(len(p.path))],
                              [i for i, _ in p.blocks], [t for _, t in p.blocks]))
@@ -358,38 +362,67 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """(host, node, parent, depth, pages, own, styles, leaf): the merged nodes of each host
-    with their own importance, before children are added."""
-    nodes = parsed.select("__llm_host", F.posexplode(F.arrays_zip("__llm_path", "__llm_parent", "__llm_style", "__llm_content")).alias("i", "n"), "__llm_path")
+    """(host, node, parent, depth, branch, pages, presentation, content, styles): the merged
+    nodes of each host with their own importance, before children are added. A path has one
+    depth and one branch."""
+    key = ["host", "node", "parent", "depth", "branch"]
+    nodes = parsed.select("__llm_host", F.posexplode(F.arrays_zip("__llm_path", "__llm_parent", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content")).alias("i", "n"), "__llm_path")
     nodes = nodes.select(F.col("__llm_host").alias("host"), F.col("n.__llm_path").alias("node"),
                          F.when(F.col("n.__llm_parent") >= 0, F.element_at("__llm_path", F.col("n.__llm_parent") + 1)).alias("parent"),
+                         F.col("n.__llm_depth").alias("depth"), F.col("n.__llm_branch").alias("branch"),
                          F.col("n.__llm_style").alias("style"), F.col("n.__llm_content").alias("content"))
-    both = nodes.select("host", "node", "parent", F.explode(F.array(
+    both = nodes.select(*key, F.explode(F.array(
         F.struct(F.lit(True).alias("shape"), F.col("style").alias("what")), F.struct(F.lit(False).alias("shape"), F.col("content").alias("what")))).alias("x"))
-    each = both.filter("x.what != 0").groupBy("host", "node", "parent", "x.shape", "x.what").agg(F.count("*").alias("c"))
-    kind = each.groupBy("host", "node", "parent", "shape").agg(
+    each = both.filter("x.what != 0").groupBy(*key, "x.shape", "x.what").agg(F.count("*").alias("c"))
+    kind = each.groupBy(*key, "shape").agg(
         F.sum("c").alias("m"), F.count("*").alias("l"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.log("c")).alias("logc"))
     log_m = F.log("m")
     own = F.when(F.col("m") == 1, 1.0).when(F.col("shape"), 1 - F.col("clogc") / F.col("m") / log_m).otherwise(1 - F.col("logc") / F.col("l") / log_m)
     shape = lambda c, s: F.max(F.when(F.col("shape") == s, F.col(c)))
-    return kind.withColumn("own", own).groupBy("host", "node", "parent").agg(
+    return kind.withColumn("own", own).groupBy(*key).agg(
         F.max("m").alias("pages"), shape("own", True).alias("presentation"), shape("own", False).alias("content"),
         F.coalesce(shape("l", True), F.lit(0)).alias("styles"))
 
 
+def solve_branch(rows):
+    """Importances of one host's branch below :data:`DEPTH` (a pandas frame of style_tree),
+    bottom-up as :func:`low_nodes` has them."""
+    rows = rows.sort_values("depth", ascending=False)
+    total: dict[int, float] = {}
+    weight: dict[int, int] = {}
+    above: dict[int, float] = {}
+    importance, best = [], []
+    for node, parent, pages, presentation, content, styles in zip(*(rows[c].tolist() for c in ("node", "parent", "pages", "presentation", "content", "styles"))):
+        content = None if content is None or content != content else content
+        if presentation is None or presentation != presentation:
+            own = content
+        else:
+            fade = DECAY ** styles
+            kids = total[node] / weight[node] if node in weight else 0.0
+            own = max((1 - fade) * presentation + fade * kids, content or 0.0)
+        high = max(own, above.get(node, own))
+        importance.append(own)
+        best.append(high)
+        total[parent] = total.get(parent, 0.0) + own * pages
+        weight[parent] = weight.get(parent, 0) + pages
+        above[parent] = max(high, above.get(parent, high))
+    return rows[["host", "node", "parent", "depth", "pages"]].assign(importance=importance, best=best)
+
+
 def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, node) of the nodes that, with all below them, have a composite importance below
-    ``threshold``. Levels are found top-down from the parents, importances added bottom-up."""
+    ``threshold``. Importances are added bottom-up."""
     tree = stash(style_tree(parsed), "style-tree")
-    level = tree.filter("parent is null").select("host", "node")
-    levels = []
-    while not level.isEmpty():
-        here = tree.join(level, ["host", "node"], "left_semi")
-        levels.append(here)
-        level = stash(tree.join(level.withColumnRenamed("node", "parent"), ["host", "parent"], "left_semi").select("host", "node"), "tree-level")
-    found = None
-    below = None
-    for here in reversed(levels):
+    lowest = tree.agg(F.max("depth")).first()[0]
+    if lowest is None:
+        return tree.select("host", "node")
+    below = found = None
+    if lowest > DEPTH:
+        done = "host string, node long, parent long, depth int, pages long, importance double, best double"
+        found = stash(tree.filter(F.col("depth") > DEPTH).groupBy("host", "branch").applyInPandas(solve_branch, done), "importance")
+        below, found = found.filter(F.col("depth") == DEPTH + 1).drop("depth"), found.drop("depth")
+    for depth in range(min(lowest, DEPTH), -1, -1):
+        here = tree.filter(F.col("depth") == depth)
         if below is not None:
             kids = below.groupBy("host", F.col("parent").alias("node")).agg(
                 (F.sum(F.col("importance") * F.col("pages")) / F.sum("pages")).alias("kids"), F.max("best").alias("kids_best"))
@@ -402,8 +435,6 @@ def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD, min_pages: int =
         below = stash(here.select("host", "node", "parent", "pages", importance.alias("importance"),
                                   F.greatest(importance, "kids_best").alias("best")), "importance")
         found = below if found is None else found.unionByName(below)
-    if found is None:
-        return tree.select("host", "node")
     return found.filter((F.col("best") < threshold) & (F.col("pages") >= min_pages)).select("host", "node")
 
 
@@ -424,12 +455,12 @@ def main_text(path, parent, kind, block, text, low) -> str:
 def extract(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` (url, html, ...) without html, with text and n_chars."""
     parsed = stash(parse_pages(pages), "pages")
-    low = stash(low_nodes(parsed.select("__llm_host", "__llm_path", "__llm_parent", "__llm_style", "__llm_content"), threshold, min_pages), "low-nodes")
+    low = stash(low_nodes(parsed.select("__llm_host", "__llm_path", "__llm_parent", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content"), threshold, min_pages), "low-nodes")
     by_host = low.groupBy(F.col("host").alias("__llm_h")).agg(F.collect_set("node").alias("__llm_low"))
     if low.count() <= BROADCAST_NODES:
         by_host = F.broadcast(by_host)
     work = ["__llm_path", "__llm_parent", "__llm_kind", "__llm_block", "__llm_text", "__llm_low"]
-    rows = parsed.join(by_host, F.col("__llm_host") == F.col("__llm_h"), "left").drop("__llm_host", "__llm_h", "__llm_style", "__llm_content")
+    rows = parsed.join(by_host, F.col("__llm_host") == F.col("__llm_h"), "left").drop("__llm_host", "__llm_h", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content")
     names = rows.columns
     at, kept = [names.index(c) for c in work], [i for i, c in enumerate(names) if c not in work]
 

@@ -162,6 +162,31 @@ def test_deep_markup_is_text_of_its_ancestor():
     assert text_of("<div>" * 3000 + "x" + "</div>" * 3000 + "<p>y") == "x y"
 
 
+def test_deep_parts_are_marked():
+    deep = "<div>" * 40
+    assert text_of(deep + "<div>out</div><article><header><h1>T</h1></header><p>x</p></article>") == "T x"
+
+
+def test_deep_branches_have_importance(spark):
+    """As test_style_tree_removes_what_pages_share, below a chain of elements."""
+    rows = [(i, u, h.replace("<body>", "<body>" + "<section>" * 40)) for i, u, h in host_pages(30)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: text_of(h.replace("<b>Site</b>", "").replace("All rights", "")) for i, _, h in rows}
+
+
+def test_branch_importance_is_that_of_the_levels(spark, monkeypatch):
+    df = spark.createDataFrame(host_pages(12) + host_pages(7, "g"), "page_id long, url string, html string")
+    low = lambda: sorted(map(tuple, htmltext.low_nodes(htmltext.parse_pages(df)).collect()))
+    want = low()
+    monkeypatch.setattr(htmltext, "DEPTH", 1)
+
+    def shallow(parsed):  # the workers have the module's own DEPTH, so branches are dealt here
+        up = htmltext.F.expr("transform(__llm_path, (x, i) -> if(__llm_depth[i] < 2, 0, __llm_path[1]))")
+        return parsed.withColumn("__llm_branch", up)
+    got = sorted(map(tuple, htmltext.low_nodes(shallow(htmltext.parse_pages(df))).collect()))
+    assert got == want and want
+
+
 def host_pages(n, host="h"):
     r = random.Random(3)
     pages = []
