@@ -57,8 +57,6 @@ from sensorgrid.llm.common import small_batches, stash
 DEPTH = 24
 DECAY = 0.9
 THRESHOLD = 0.3
-#: A node on fewer pages says nothing about its host.
-MIN_PAGES = 5
 BROADCAST_NODES = 200_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -409,9 +407,9 @@ def solve_branch(rows):
     return rows[["host", "node", "parent", "depth", "pages"]].assign(importance=importance, best=best)
 
 
-def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
+def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(host, node) of the nodes that, with all below them, have a composite importance below
-    ``threshold``. Importances are added bottom-up."""
+    ``threshold``. Importances are added bottom-up; one page alone says nothing about its host."""
     tree = stash(style_tree(parsed), "style-tree")
     lowest = tree.agg(F.max("depth")).first()[0]
     if lowest is None:
@@ -435,7 +433,7 @@ def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD, min_pages: int =
         below = stash(here.select("host", "node", "parent", "pages", importance.alias("importance"),
                                   F.greatest(importance, "kids_best").alias("best")), "importance")
         found = below if found is None else found.unionByName(below)
-    return found.filter((F.col("best") < threshold) & (F.col("pages") >= min_pages)).select("host", "node")
+    return found.filter((F.col("best") < threshold) & (F.col("pages") > 1)).select("host", "node")
 
 
 def main_text(path, parent, kind, block, text, low) -> str:
@@ -452,10 +450,10 @@ def main_text(path, parent, kind, block, text, low) -> str:
     return " ".join([t for i, t in inside if not gone[i]] or [t for _, t in inside])
 
 
-def extract(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``pages`` (url, html, ...) without html, with text and n_chars."""
     parsed = stash(parse_pages(pages), "pages")
-    low = stash(low_nodes(parsed.select("__llm_host", "__llm_path", "__llm_parent", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content"), threshold, min_pages), "low-nodes")
+    low = stash(low_nodes(parsed.select("__llm_host", "__llm_path", "__llm_parent", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content"), threshold), "low-nodes")
     by_host = low.groupBy(F.col("host").alias("__llm_h")).agg(F.collect_set("node").alias("__llm_low"))
     if low.count() <= BROADCAST_NODES:
         by_host = F.broadcast(by_host)

@@ -208,6 +208,13 @@ def test_style_tree_removes_what_pages_share(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_hosts_of_few_pages_have_a_style_tree(spark):
+    rows = [r for n in (1, 2, 3, 4) for r in [(10 * n + i, u, h) for i, u, h in host_pages(n, f"h{n}")]]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got.pop(10) == text_of(rows[0][2])
+    assert got == {i: text_of(h.replace("<b>Site</b>", "").replace("All rights", "")) for i, _, h in rows[1:]}
+
+
 def test_copies_of_one_article_stay(spark):
     """A host that repeats one article keeps it, marked or not."""
     marked = [(i, f"http://a/{i}", "<nav>n</nav><article><h1>T</h1><p>same</p></article>") for i in range(20)]
