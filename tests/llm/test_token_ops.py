@@ -54,6 +54,14 @@ def test_segment_counter_equals_library(edge_rows):
         assert c.count([t]) == [len(c.library.encode(t))], repr(t[:50])
 
 
+def test_segment_counter_equals_library_beside_literal_marks():
+    import random
+    r = random.Random(5)
+    c = tokencounts.SegmentCounter(PIECE)
+    texts = ["▁ ▁", "▁ 😀", "plain text", *["".join(r.choice("▁▁  ab😀\n") for _ in range(r.randrange(1, 14))) for _ in range(4000)]]
+    assert c.count(texts) == [len(x) for x in c.library.encode(texts)]
+
+
 def test_shards_small(small):
     docs = small("documents")
     got = [tuple(r) for r in tokens.token_table(docs, BPE).collect()]
