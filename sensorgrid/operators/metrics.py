@@ -140,14 +140,24 @@ def rows_per_year(df: DataFrame, ts: str = "ts", by=None) -> DataFrame:
     return df.groupBy(*[q(c) for c in keys], F.year(q(ts)).alias("year")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def residual_histogram(df: DataFrame, y: str = "y_true", p: str = "y_pred", bins: int = 30) -> DataFrame:
-    """Equal-width histogram of |y - p| (the maximum falls in the last bin).
+def residual_histogram(df: DataFrame, y: str = "y_true", p: str = "y_pred", bins: int = 30, by=None) -> DataFrame:
+    """Equal-width histogram of |y - p| (the maximum falls in the last bin), one per ``by`` group.
 
-    The range is two global scalars (one small job); the histogram itself is
-    a partially-aggregated group-by on the bin id.
+    The range is two global scalars (one small job), or a group-by joined back; the
+    histogram itself is a partially-aggregated group-by on the bin id.
     """
     ok = df.where(_both(q(y).cast("double"), q(p).cast("double")))
     r = F.abs(q(y) - q(p))
+    if by:
+        keys = as_list(by)
+        rows = ok.select(*[q(k) for k in keys], r.alias("__r"))
+        span = rows.groupBy(*[q(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.min("__r").alias("__lo"), F.max("__r").alias("__hi"))
+        on = [q(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        width = F.when(F.col("__hi") > F.col("__lo"), (F.col("__hi") - F.col("__lo")) / bins).otherwise(1.0)
+        b = F.least(F.floor((F.col("__r") - F.col("__lo")) / width) + 1, F.lit(bins)).cast("int")
+        h = rows.join(span, on).groupBy(*[q(k) for k in keys], "__lo", width.alias("__width"), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        return h.select(*[q(k) for k in keys], "bin", (F.col("__lo") + (F.col("bin") - 1) * F.col("__width")).alias("lo"),
+                        (F.col("__lo") + F.col("bin") * F.col("__width")).alias("hi"), "n")
     s = global_scalars(ok, {"lo": F.min(r), "hi": F.max(r)})
     lo, hi = s["lo"], s["hi"]
     if lo is None:

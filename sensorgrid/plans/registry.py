@@ -586,6 +586,21 @@ def q_hist(spark, sf):
     return finish(metrics.residual_histogram(p))
 
 
+_HIST_BIN = "CAST(least(floor((r.r - w.lo) / w.width) + 1, 30) AS INTEGER)"
+
+
+@register("residual_histogram_by_horizon", O.with_(
+    CLEAN + [_PERSIST_SQL,
+             "r AS (SELECT CAST(horizon_h AS INTEGER) AS horizon_h, abs(y_true - y_pred) AS r FROM persist_ok), "
+             "b AS (SELECT horizon_h, min(r) AS lo, max(r) AS hi FROM r GROUP BY 1), "
+             "w AS (SELECT horizon_h, lo, CASE WHEN hi > lo THEN (hi - lo) / 30 ELSE 1.0 END AS width FROM b)"],
+    f"SELECT r.horizon_h, {_HIST_BIN} AS bin, " + O.r6(f"any_value(w.lo) + ({_HIST_BIN} - 1) * any_value(w.width)") + " AS lo, "
+    + O.r6(f"any_value(w.lo) + {_HIST_BIN} * any_value(w.width)") + " AS hi, count(*) AS n FROM r JOIN w ON r.horizon_h = w.horizon_h GROUP BY 1, 2"))
+def q_hist_by_horizon(spark, sf):
+    """The residual histogram of every horizon, each over its own range."""
+    return finish(metrics.residual_histogram(_persist(spark, sf), by="horizon_h"))
+
+
 @register("residual_quantiles", O.with_(CLEAN + [_PERSIST_SQL,
                                                  "qq AS (SELECT CAST(horizon_h AS INTEGER) AS horizon_h, quantile_cont(y_true - y_pred, "
                                                  + O.sql_list(list(O.QQ_PROBS)) + ") AS q FROM persist_ok GROUP BY 1)"],

@@ -71,3 +71,11 @@ def test_model_queries_score_every_task(spark, monkeypatch):
     assert best.groupBy("model").count().count() == 4 and best.count() == 4 * len(tasks)
     scores = registry.QUERIES["fit_status_classifier"](spark, SF).collect()
     assert [r.horizon_h for r in scores] == [1, 6, 12, 24] and all(0 <= r.accuracy <= 1 and r.n > 0 for r in scores)
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_residual_histogram_has_every_horizon(spark):
+    from sensorgrid.plans import registry
+    got = registry.QUERIES["residual_histogram_by_horizon"](spark, SF).groupBy("horizon_h").sum("n").collect()
+    want = registry.QUERIES["persistence_forecast"](spark, SF).groupBy("horizon_h").count().collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 4
