@@ -97,6 +97,16 @@ def supplier_series(spark, sf):
     return grid.forward_fill(grid.hourly_grid(r, step_hours=24), ["qty10", "price"])
 
 
+SUPPLIER_TEST_START = "2000-01-01 00:00:00"  # ship days span 1995 to 2001
+CFG_SUPPLIER = PrepareConfig(sensors=["qty10", "price"], target="qty10", features=["qty10", "price"],
+                             fit_years=(), test_years=(), test_start=SUPPLIER_TEST_START)
+
+
+def supplier_pack(spark, sf):
+    """Split and next-day status class of the supplier series, after the warm-up."""
+    return feature_pack(supplier_series(spark, sf), CFG_SUPPLIER).select("entity_id", "ts", "split", "target_cls")
+
+
 S = list(td.SENSORS)
 DBL = [(c, True) for c in S]
 FLAGS = [(f"{c}__was_missing", False) for c in S]
@@ -977,8 +987,9 @@ def q_save_load(spark, sf):
 
 @register("fit_status_classifier")
 def q_status_classifier(spark, sf):
+    """On the supplier series, whose classes stay spread at any size."""
     from sensorgrid.plans.classification import status_classifier
-    return status_classifier(spark, cleaned(spark, sf), CFG, list(td.SENSORS))
+    return status_classifier(spark, supplier_series(spark, sf), CFG_SUPPLIER, CFG_SUPPLIER.features)
 
 
 # ----------------------------------------------------------------------------- time-blocked execution
@@ -1013,15 +1024,41 @@ _PACK_NAIVE = ("nv AS (SELECT split, CAST(h.horizon_h AS INTEGER) AS horizon_h,
                                                  "SELECT 'Naive' AS model, CAST(horizon_h AS VARCHAR) AS horizon, accuracy, precision_macro, recall_macro, f1_macro, "
                                                  "precision_weighted, recall_weighted, f1_weighted FROM cm"))
 def q_cls_json(spark, sf):
+    return _json_round_trip(spark, pack(spark, sf))
+
+
+def _json_round_trip(spark, pk):
     """Naive status scores per horizon dumped as nested JSON (model -> horizon -> metrics), read back and laid out flat."""
     from sensorgrid.plans.classification import naive_class_scores, results_json_frame, write_results_json
     from sensorgrid.session import scratch_path
-    scores = naive_class_scores(pack(spark, sf))
+    scores = naive_class_scores(pk)
     path = write_results_json(scores, scratch_path(spark, "cls-json"))
     back = spark.read.schema(results_json_frame(scores).schema).json(path)
     return finish(back.select("model", F.explode("by_horizon").alias("horizon", "m")).select("model", "horizon", "m.*"))
 
 
+# the same two on the supplier series, whose classes stay spread at any size
+_SUP_SPLIT_PRE, _SUP_SPLIT = O.split_sql(SUPPLIER_TEST_START)
+_SUP_PACK = (f"sp AS (SELECT *, {_SUP_SPLIT} AS split FROM (SELECT *, {_SUP_SPLIT_PRE} FROM cleaned)), "
+             "pack AS (SELECT * FROM (SELECT entity_id, ts, split, " + O.class_sql(f"lead(qty10, 1) OVER ({O.W})") + " AS target_cls, "
+             f"row_number() OVER ({O.W}) AS rn FROM sp) WHERE rn > 24)")
+
+
+@register("class_distribution_supplier", O.with_(SUPPLIER + [_SUP_PACK],
+                                                 "SELECT s.split, l.cls, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT split FROM pack) s CROSS JOIN (SELECT unnest([0, 1, 2]) AS cls) l "
+                                                 "LEFT JOIN (SELECT split, target_cls AS cls, count(*) AS n FROM pack WHERE target_cls IS NOT NULL "
+                                                 "GROUP BY ALL) c ON s.split IS NOT DISTINCT FROM c.split AND l.cls = c.cls"))
+def q_class_dist_supplier(spark, sf):
+    return metrics.class_distribution(supplier_pack(spark, sf), "target_cls", "split")
+
+
+@register("classification_results_json_supplier", O.with_(SUPPLIER + [_SUP_PACK, _PACK_NAIVE, _cls_metrics_sql("horizon_h")],
+                                                          "SELECT 'Naive' AS model, CAST(horizon_h AS VARCHAR) AS horizon, accuracy, precision_macro, recall_macro, f1_macro, "
+                                                          "precision_weighted, recall_weighted, f1_weighted FROM cm"))
+def q_cls_json_supplier(spark, sf):
+    return _json_round_trip(spark, supplier_pack(spark, sf))
+
+
 # ----------------------------------------------------------------------------- series off the grid, many series, text scores
 
 # 'click' starts half past the hour; the last 'error' reading lies 20 minutes off its grid

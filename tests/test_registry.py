@@ -79,3 +79,14 @@ def test_residual_histogram_has_every_horizon(spark):
     got = registry.QUERIES["residual_histogram_by_horizon"](spark, SF).groupBy("horizon_h").sum("n").collect()
     want = registry.QUERIES["persistence_forecast"](spark, SF).groupBy("horizon_h").count().collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 4
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_status_classifier_scores_all_classes_of_the_supplier_series(spark):
+    from sensorgrid.plans import registry
+    dist = {(r.split, r.cls): r.n for r in registry.QUERIES["class_distribution_supplier"](spark, SF).collect()}
+    assert len(dist) == 9 and all(dist.values())
+    scores = registry.QUERIES["fit_status_classifier"](spark, SF).collect()
+    # a window of 24 days inside the test split, and a label h days after it, lead null at the end of a series
+    rows = registry.supplier_pack(spark, SF).where("split = 'test'").groupBy("entity_id").agg({"*": "count"}).collect()
+    assert {r.horizon_h: r.n for r in scores} == {h: sum(r[1] - 23 - h - 1 for r in rows) for h in (1, 6, 12, 24)}
