@@ -12,6 +12,8 @@ Conventions used by every operator here:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,19 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int = 32 << 20):
+    """Around a job that runs inside: an Arrow batch ends once it holds ``size`` bytes, however
+    long its texts are. The session's own setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def utf8(column) -> list:
     """An Arrow string column as a list of UTF-8 bytes; null as empty."""
     import pyarrow as pa

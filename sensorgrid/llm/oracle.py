@@ -107,10 +107,50 @@ SELECT doc_id, size, source_size, target,
 FROM n JOIN o ON n.source IS NOT DISTINCT FROM o.source
 """
 
+OP11 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w CROSS JOIN (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*)::BIGINT AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k >= 2),
+s AS (SELECT c.lang, c.k, c.phrase, c.a, x.f AS l, y.f AS r, t.n, cut, ((1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+      FROM c JOIN t USING (lang)
+      JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+      JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+d AS (SELECT a.lang, a.phrase FROM m a JOIN m b
+      ON a.lang = b.lang AND b.k > a.k AND 100 * b.a >= 100 * a.a AND contains(' ' || b.phrase || ' ', ' ' || a.phrase || ' ')),
+o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+      FROM m ANTI JOIN d USING (lang, phrase))
+SELECT * FROM o WHERE rank <= 2000
+"""
+
+_SEARCH_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_LOWER.format("coalesce(text, '')"))
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SEARCH_TERMS} AS w FROM documents),
+t AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS q, item_id, {_SEARCH_TERMS} AS w FROM benchmark),
+it AS (SELECT q, term, count(*)::BIGINT AS asked FROM (SELECT q, unnest(w) AS term FROM i) GROUP BY q, term),
+df AS (SELECT term, count(*)::BIGINT AS df FROM t GROUP BY term),
+wt AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, c),
+m AS (SELECT r, doc_id, 25 + (75 * len(w)::BIGINT * n_docs) // n_terms AS m FROM d, c WHERE len(w) > 0),
+s AS (SELECT q, r, sum(asked * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM it JOIN wt USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY q, r),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank, doc_id, score
+      FROM s JOIN m USING (r) JOIN i USING (q) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
 ORACLE = {
     "op1_line_dedup": OP1,
     "op2_quality_rules": OP2,
     "op4_benchmark_decontamination": OP4,
     "op6_chat_formatting": OP6,
     "op10_mixing": OP10,
+    "op11_collocations": OP11,
+    "op13_ranked_search": OP13,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorgrid.llm import chat, classifier, decontaminate, htmltext, linededup, mixing, quality, simhash, tokencounts, tokens
+from sensorgrid.llm import chat, classifier, collocations, decontaminate, fingerprints, htmltext, linededup, mixing, quality, rankedsearch, simhash, tokencounts, tokens
 from sensorgrid.llm.common import read_table
 from sensorgrid.llm.oracle import ORACLE  # noqa: F401  (registered beside QUERIES)
 
@@ -69,6 +69,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = collocations.mine(read_table(spark, sf_dir, "documents"), longest=5, min_count=100, top=2000)
+    return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_pairs(read_table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rankedsearch.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_quality_rules, op3_token_binary, op4_benchmark_decontamination, op5_quality_classifier, op6_chat_formatting,
-    op7_html_extraction, op8_token_counts, op9_simhash_near_dedup, op10_mixing)}
+    op7_html_extraction, op8_token_counts, op9_simhash_near_dedup, op10_mixing, op11_collocations, op12_fingerprints, op13_ranked_search)}

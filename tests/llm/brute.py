@@ -137,3 +137,99 @@ def op6(rows):
         loss = "".join(x for _, _, r, x in turns if r == "assistant")
         out[c] = (len(turns), sha("".join(f"{r}\n{x}\n" for _, _, r, x in turns)), len(loss), sha(loss))
     return out
+
+
+def op11(docs, longest=5, least=100, top=2000):
+    """docs: [(lang, text)] -> [(lang, rank, phrase, a, l, r, n, score)]"""
+    f, n = Counter(), Counter()
+    for lang, t in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (t or "").translate(UP)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            f.update((lang, *w[i:i + k]) for k in range(1, longest + 1) for i in range(len(w) - k + 1))
+    cand = {p: a for p, a in f.items() if a >= least and len(p) > 2}
+    out = defaultdict(list)
+    for p, a in cand.items():
+        lang, w = p[0], p[1:]
+        inside = any(q[0] == lang and len(q) > len(p) and 100 * b >= 100 * a and any(q[1 + i:1 + i + len(w)] == w for i in range(len(q) - len(w)))
+                     for q, b in cand.items())
+        if not inside:
+            score, cut = min((1000 * a * n[lang] // (f[p[:1 + c]] * f[(lang, *p[1 + c:])]), c) for c in range(1, len(w)))
+            out[lang].append((-score, -a, " ".join(w).encode(), f[p[:1 + cut]], f[(lang, *p[1 + cut:])]))
+    return [(lang, rank, p.decode(), -a, le, r, n[lang], -s)
+            for lang, rows in out.items() for rank, (s, a, p, le, r) in enumerate(sorted(rows)[:top], 1)]
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def op12_shingles(text, words=5):
+    """Distinct shingle hashes, as signed numbers."""
+    w = [xxhash.xxh64_intdigest(x.encode(), 42) for x in WORD.findall((text or "").translate(UP))]
+
+    def chained(hs):
+        seed = 42
+        for h in hs:
+            seed = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed)
+        return _signed(seed)
+    if len(w) < words:
+        return {chained(w)} if w else set()
+    return {chained(w[i:i + words]) for i in range(len(w) - words + 1)}
+
+
+def op12_sketch(text, scale=8, least=64):
+    below = -(1 << 63) + (1 << 64) // scale
+    all_ = sorted(op12_shingles(text))
+    few = [h for h in all_ if h < below]
+    return few if len(few) >= least else all_[:least]
+
+
+def op12_likeness(a, b, scale=8, least=64):
+    below = -(1 << 63) + (1 << 64) // scale
+
+    def bound(s):
+        return (1 << 63) - 1 if len(s) < least else below - 1 if s[-1] < below else s[-1]
+    x, y = ({h for h in s if h <= min(bound(a), bound(b))} for s in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def op12(docs):
+    """docs: [(doc_id, text)], ids all different, None allowed once -> {doc_id: (n_chars, sha, fp, edited fp, near_edited, near_next)}"""
+    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0)))
+    out = {}
+    for i, (d, t) in enumerate(order):
+        t, nxt = t or "", order[(i + 1) % len(order)][1] or ""
+        k = len(t) // 3
+        edited = t[:len(t) - k] + nxt[:k]
+        a, b, c = op12_sketch(t), op12_sketch(edited), op12_sketch(nxt)
+        text = ["".join(f"{h & (1 << 64) - 1:016x}" for h in s) for s in (a, b)]
+        out[d] = (len(t), sha(edited), *text, op12_likeness(a, b), op12_likeness(a, c))
+    return out
+
+
+SEARCH = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def op13(docs, items, k=10):
+    """docs: [(doc_id, text)], items: [(item_id, text)] -> Counter of (item_id, rank, doc_id, score)"""
+    import math
+    terms = [(d, Counter(SEARCH.findall((t or "").translate(UP)))) for d, t in docs]
+    sizes = [sum(c.values()) for _, c in terms]
+    n_docs, n_terms = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(t for _, c in terms for t in c)
+    out = Counter()
+    for item, text in items:
+        rows = []
+        for (d, c), n in zip(terms, sizes):
+            score = 0
+            for t in SEARCH.findall((text or "").translate(UP)):
+                if c[t]:
+                    m = 100 - 75 + 75 * n * n_docs // n_terms
+                    score += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                rows.append((-score, d is None, d or 0, d))
+        rows.sort(key=lambda r: r[:3])
+        out.update((item, rank, r[3], -r[0]) for rank, r in enumerate(rows[:k], 1))
+    return out
