@@ -6,7 +6,8 @@ leaves a number out, so words of two pieces are never adjacent. For k = 1, 2, ..
 
 1. group-count: every block gives its distinct phrases with their counts, Spark adds them up
    per (first k - 1 words, last word), and groups of ``min_count`` occurrences stay, with an id;
-2. semi-join: a block's phrases meet the frequent groups and the others' occurrences go;
+2. semi-join: a block's phrases meet the frequent groups and the others' occurrences go; up to
+   :data:`KNOWN_ROWS` groups are broadcast to the blocks, more are joined to (block, phrase) rows;
 3. extension: what is left of length k merge-joins the frequent words of the same block at
    position + k (both sorted), which gives the relation of length k + 1.
 
@@ -23,9 +24,9 @@ Words are runs without space and tab; pieces end at ``[.,;:!?]`` and line breaks
 U+000D); A-Z are lower-cased; null ``lang`` is ``und``. Everything is counted per lang.
 
 Scale: texts are read once and never shuffled. What is shuffled are (block, phrase, count)
-rows, combined before the shuffle, and blocks of occurrences that shrink with each length. A frequent
-phrase is one row a block, however often it occurs, and the joins are left to Spark (by size,
-skew split). The last ranking keeps ``top`` rows a lang and task before it shuffles.
+rows, combined before the shuffle, and, if the frequent groups are too many to broadcast, blocks of
+occurrences that shrink with each length. A frequent phrase is one row a block, however often it
+occurs. The last ranking keeps ``top`` rows a lang and task before it shuffles.
 
 Defined cases: null or empty text has no words; very long texts are one block, counted whole;
 repeated documents count each time; ties in score go by count, then phrase (UTF-8 bytes); an
@@ -36,6 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +48,8 @@ LONGEST = 5
 TOP = 2000
 #: Words of a block; a text is not split, so a block holds less than this plus one text.
 BLOCK = 1 << 18
+#: Frequent groups (of some 30 bytes) that go to every task at most; more meet the blocks in joins.
+KNOWN_ROWS = 500_000
 #: Bytes with A-Z lower-cased, tab as space and the ends of pieces as line feeds.
 _PIECE_BYTES = bytes(b + 32 if chr(b) in UPPER else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
@@ -129,13 +133,55 @@ def group_counts(groups: DataFrame, keys: list[str], min_count: int) -> DataFram
     return stash(counted.withColumn("id", F.monotonically_increasing_id()), "groups")
 
 
-def extend(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: list[str], k: int) -> DataFrame:
+class Known:
+    """A bounded table of frequent groups (keys, id), looked up from a block's own lists."""
+
+    def __init__(self, table: pa.Table):
+        first, last, ids = (c.combine_chunks() for c in table.columns)
+        self.ids = ids.to_numpy()
+        self.words = pa.types.is_string(first.type) or pa.types.is_large_string(first.type)
+        if self.words:
+            self.keys = self.word_keys(first, last)
+        else:
+            self.first, self.last = np.unique(first.to_numpy()), np.unique(last.to_numpy())
+            pair = np.searchsorted(self.first, first.to_numpy()) * len(self.last) + np.searchsorted(self.last, last.to_numpy())
+            order = np.argsort(pair)
+            self.pair, self.ids = pair[order], self.ids[order]
+
+    @staticmethod
+    def word_keys(langs: pa.Array, words: pa.Array) -> pa.Array:
+        return pc.binary_join_element_wise(langs.cast(pa.string()), words.cast(pa.string()), " ")  # no word has a space
+
+    def find(self, first: pa.Array, last: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the lists that are frequent, and their ids."""
+        if not len(self.ids):
+            return np.zeros(0, np.int64), self.ids
+        if self.words:
+            at = pc.fill_null(pc.index_in(self.word_keys(first, last), self.keys), -1).to_numpy()
+            own = np.flatnonzero(at >= 0)
+            return own, self.ids[at[own]]
+        first, last = first.to_numpy(), last.to_numpy()
+        a, b = (np.minimum(np.searchsorted(known, x), len(known) - 1) for known, x in ((self.first, first), (self.last, last)))
+        pair = a * len(self.last) + b
+        at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
+        own = np.flatnonzero((self.first[a] == first) & (self.last[b] == last) & (self.pair[at] == pair))
+        return own, self.ids[at[own]]
+
+
+def extend(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: list[str], lists: list[str], k: int) -> DataFrame:
     """The relation of length k + 1 from that of length k, its groups and the frequent ones."""
-    kept = (groups.join(frequent.select(*keys, "id"), keys).groupBy("block")
-            .agg(F.collect_list("i").alias("own"), F.collect_list("id").alias("ids")))
+    spark = relation.sparkSession
     words = [] if k == 1 else ["w_ids", "w_pos", "w_code"]
     schema = pa.schema([("block", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("prefixes", "lasts", "counts")],
                         ("pos", pa.binary()), ("code", pa.binary()), ("w_ids", pa.list_(pa.int64())), ("w_pos", pa.binary()), ("w_code", pa.binary())])
+    known = None
+    if frequent.limit(KNOWN_ROWS + 1).count() <= KNOWN_ROWS:
+        known = spark.sparkContext.broadcast(Known(frequent.select(*keys, "id").toArrow()))
+        rows = relation.select("block", "pos", "code", *words, *lists)
+    else:
+        kept = (groups.join(frequent.select(*keys, "id"), keys).groupBy("block")
+                .agg(F.collect_list("i").alias("own"), F.collect_list("id").alias("ids")))
+        rows = relation.select("block", "pos", "code", *words).join(kept, "block")
 
     def merged(own, ids, pos, code, w_ids=None, w_pos=None, w_code=None):
         # semi-join: only occurrences of frequent phrases, numbered anew
@@ -148,7 +194,7 @@ def extend(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: li
         # merge-join of two sorted relations at adjacent positions
         at = np.searchsorted(w_pos, pos + k)
         at[at == len(w_pos)] = 0
-        met = w_pos[at] == pos + k if len(w_pos) else np.zeros(len(pos), bool)
+        met = w_pos[at] == pos + k
         pos, at = pos[met], at[met]
         pair = code[met] * len(w_ids) + w_code[at]
         groups, code, counts = np.unique(pair, return_inverse=True, return_counts=True)
@@ -160,14 +206,18 @@ def extend(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: li
         for b in batches:
             for row in range(b.num_rows):
                 cell = {name: b.column(i)[row] for i, name in enumerate(b.schema.names)}
-                lists = {c: cell[c].values.to_numpy(zero_copy_only=False) for c in ("own", "ids", *words[:1])}
-                found = merged(lists["own"], lists["ids"], places(cell["pos"].as_py()), unpacked(cell["code"].as_py()),
-                               *([lists["w_ids"], places(cell["w_pos"].as_py()), unpacked(cell["w_code"].as_py())] if words else []))
+                if known:
+                    own, ids = known.value.find(*[cell[c].values for c in lists])
+                else:
+                    own, ids = (cell[c].values.to_numpy(zero_copy_only=False) for c in ("own", "ids"))
+                if not len(own):
+                    continue
+                more = [cell["w_ids"].values.to_numpy(), places(cell["w_pos"].as_py()), unpacked(cell["w_code"].as_py())] if words else []
+                found = merged(own, ids, places(cell["pos"].as_py()), unpacked(cell["code"].as_py()), *more)
                 if len(found[0]):
                     yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip([cell["block"].as_py(), *found], schema)], schema=schema)
 
-    rows = relation.select("block", "pos", "code", *words).join(kept, "block")
-    with batches_of(relation.sparkSession):
+    with batches_of(spark):
         return stash(rows.mapInArrow(run, PHRASES), "occurrences")
 
 
@@ -180,16 +230,16 @@ def groups_of(relation: DataFrame, keys: list[str], arrays: list[str]) -> DataFr
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[list[DataFrame], DataFrame]:
     """For each length 1 .. ``longest`` the frequent phrases (lang, words, f), and (lang, n)."""
     relation = word_relation(docs)
-    groups = groups_of(relation, ["lang", "word"], ["langs", "words"])
+    keys, lists = ["lang", "word"], ["langs", "words"]
+    groups = groups_of(relation, keys, lists)
     totals = stash(groups.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    keys = ["lang", "word"]
     frequent = group_counts(groups, keys, min_count)
     words = frequent.select("id", "lang", F.array("word").alias("words"), "f")
     levels = [words]
     for k in range(1, longest):
-        relation = extend(relation, groups, frequent, keys, k)
-        keys = ["prefix", "last"]
-        groups = groups_of(relation, keys, ["prefixes", "lasts"])
+        relation = extend(relation, groups, frequent, keys, lists, k)
+        keys, lists = ["prefix", "last"], ["prefixes", "lasts"]
+        groups = groups_of(relation, keys, lists)
         frequent = group_counts(groups, keys, min_count)
         first = levels[-1].select(F.col("id").alias("prefix"), "lang", F.col("words").alias("first"))
         last = words.select(F.col("id").alias("last"), F.col("words").alias("end"))

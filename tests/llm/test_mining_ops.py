@@ -24,9 +24,11 @@ PHRASES = [("en", "new york, New York new york city.\nnew\tyork"), ("en", "New Y
            ("und", "A a\x0bb c"), ("en", None), ("fr", ""), ("fr", "a a a"), ("en", "new york"), ("en", "new york"), ("é", "x\x1cy x\x1cy é É é É é")]
 
 
-@pytest.mark.parametrize("block, least", [(1, 2), (5, 1), (1 << 18, 3)])
-def test_collocations_small_texts(spark, monkeypatch, block, least):
+@pytest.mark.parametrize("block, least, known", [(1, 2, 0), (5, 1, 500_000), (1 << 18, 3, 3)])
+def test_collocations_small_texts(spark, monkeypatch, block, least, known):
+    """Blocks of any size; frequent groups joined, broadcast, or some of either."""
     monkeypatch.setattr(collocations, "BLOCK", block)
+    monkeypatch.setattr(collocations, "KNOWN_ROWS", known)
     docs = spark.createDataFrame(PHRASES, "lang string, text string").repartition(2)
     assert mined(docs, min_count=least) == sorted(brute.op11(PHRASES, least=least))
 
