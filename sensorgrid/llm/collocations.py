@@ -4,16 +4,16 @@ An occurrence relation of length k holds (block, position, phrase) for the occur
 phrases of k words, sorted by position. Positions number the words of a block; each end of a piece
 leaves a number out, so words of two pieces are never adjacent. For k = 1, 2, ...:
 
-1. group-count: every block gives its distinct phrases with their counts, Spark adds them up
-   per (first k - 1 words, last word), and groups of ``min_count`` occurrences stay, with an id;
+1. group-count: every task adds up its blocks' distinct phrases, the sums meet by phrase, and
+   groups of ``min_count`` occurrences stay, with an id (:func:`word_groups`, :func:`pair_groups`);
 2. semi-join: a block's phrases meet the frequent groups and the others' occurrences go; up to
    :data:`KNOWN_ROWS` groups are broadcast to the blocks, more are joined to (block, phrase) rows;
-3. extension: what is left of length k merge-joins the frequent words of the same block at
-   position + k (both sorted), which gives the relation of length k + 1.
+3. extension: what is left merge-joins itself at the adjacent position (it is sorted), so that
+   an occurrence of length k + 1 is one of its first k words and one of its last k words.
 
 Each relation is written to the shared folder as one row per block of about :data:`BLOCK` words,
-as arrays: positions as differences, phrases as numbers into the block's own list of ids. A
-phrase is identified by exact ids (of its first words and its last), never by a hash.
+as arrays: positions as differences, phrases as numbers into the block's own list. A phrase is
+identified by the exact ids of its first and last k - 1 words, never by a hash.
 
 Then, relationally: phrases get their words from the ids; every cut of a candidate into two
 parts looks up the parts' counts; scores are exact decimals; and a candidate goes if some
@@ -23,10 +23,11 @@ and a longer one with the same count has that count, too.
 Words are runs without space and tab; pieces end at ``[.,;:!?]`` and line breaks (U+000A to
 U+000D); A-Z are lower-cased; null ``lang`` is ``und``. Everything is counted per lang.
 
-Scale: texts are read once and never shuffled. What is shuffled are (block, phrase, count)
-rows, combined before the shuffle, and, if the frequent groups are too many to broadcast, blocks of
-occurrences that shrink with each length. A frequent phrase is one row a block, however often it
-occurs. The last ranking keeps ``top`` rows a lang and task before it shuffles.
+Scale: texts are read once and never shuffled. What is shuffled are counts, combined in each
+task, packed as sorted arrays and dealt to buckets of about :data:`BUCKET_PAIRS` pairs, whose number
+grows with the pairs; and, if the frequent groups are too many to broadcast, blocks of
+occurrences that shrink with each length. A frequent phrase is one entry a task, however often
+it occurs. The last ranking keeps ``top`` rows a lang and task before it shuffles.
 
 Defined cases: null or empty text has no words; very long texts are one block, counted whole;
 repeated documents count each time; ties in score go by count, then phrase (UTF-8 bytes); an
@@ -47,7 +48,10 @@ MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 #: Words of a block; a text is not split, so a block holds less than this plus one text.
-BLOCK = 1 << 18
+BLOCK = 1 << 17
+#: Pairs of a bucket of counts, about, and pairs that a task adds up before it deals them out.
+BUCKET_PAIRS = 1 << 20
+TASK_PAIRS = 1 << 21
 #: Frequent groups (of some 30 bytes) that go to every task at most; more meet the blocks in joins.
 KNOWN_ROWS = 500_000
 #: Bytes with A-Z lower-cased, tab as space and the ends of pieces as line feeds.
@@ -55,9 +59,8 @@ _PIECE_BYTES = bytes(b + 32 if chr(b) in UPPER else 32 if b == 9 else 10 if b in
 
 #: ``pos``: int32 differences of sorted positions; ``code``: int32 numbers into the arrays.
 WORDS = "block long, langs array<string>, words array<string>, counts array<bigint>, pos binary, code binary"
-#: The relation of length k with its groups, and the frequent words (``w_``) that may extend it.
-PHRASES = ("block long, prefixes array<bigint>, lasts array<bigint>, counts array<bigint>, pos binary, code binary, "
-           "w_ids array<bigint>, w_pos binary, w_code binary")
+#: The relation of length k with its groups: phrases by their first and last k - 1 words.
+PHRASES = "block long, firsts array<bigint>, lasts array<bigint>, counts array<bigint>, pos binary, code binary"
 
 
 def packed(a: np.ndarray) -> bytes:
@@ -124,13 +127,75 @@ def word_relation(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     with batches_of(docs.sparkSession):
-        return stash(rows.mapInArrow(run, WORDS), "occurrences")
+        return stash(rows.mapInArrow(run, WORDS), "occurrences", large_rows=True)
 
 
-def group_counts(groups: DataFrame, keys: list[str], min_count: int) -> DataFrame:
-    """(keys, f, id) of the groups with ``min_count`` occurrences; ids are fixed by the write."""
-    counted = groups.groupBy(*keys).agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-    return stash(counted.withColumn("id", F.monotonically_increasing_id()), "groups")
+def with_id(counted: DataFrame, min_count: int) -> DataFrame:
+    """The groups of ``min_count`` occurrences with an id, which the write fixes."""
+    return stash(counted.filter(F.col("f") >= min_count).withColumn("id", F.monotonically_increasing_id()), "groups")
+
+
+def word_groups(relation: DataFrame, min_count: int) -> DataFrame:
+    """(lang, word, f, id) of the frequent words."""
+    rows = relation.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("g"))
+    return with_id(rows.groupBy(F.col("g.langs").alias("lang"), F.col("g.words").alias("word")).agg(F.sum("g.counts").alias("f")), min_count)
+
+
+def summed(first: np.ndarray, last: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal pairs added up, sorted."""
+    order = np.lexsort((last, first))
+    first, last, n = first[order], last[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (last[1:] != last[:-1])]))
+    return first[new], last[new], np.add.reduceat(n, new)
+
+
+def pair_groups(relation: DataFrame, min_count: int) -> DataFrame:
+    """(first, last, f, id) of the frequent phrases, counted in numpy: packed sums of a task's
+    blocks meet in buckets of pairs."""
+    total = relation.agg(F.sum(F.size("counts"))).head()[0] or 0
+    buckets = -(-total // BUCKET_PAIRS) or 1
+
+    def deal(held):
+        first, last, n = summed(*(np.concatenate(x) for x in zip(*held)))
+        mixed = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + last.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        bucket = ((mixed ^ mixed >> np.uint64(29)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b, (i, j) in enumerate(zip(ends, ends[1:])):
+            if j > i:
+                own = order[i:j]
+                yield b, *(pa.compress(x.tobytes(), "zstd", asbytes=True) for x in (np.diff(first[own], prepend=0), last[own], n[own])), j - i
+
+    def sums(batches):
+        held, size = [], 0
+        rows: list[tuple] = []
+        for b in batches:
+            for i in range(b.num_rows):
+                held.append(tuple(c[i].values.to_numpy() for c in b.columns))
+                size += len(held[-1][0])
+                if size >= TASK_PAIRS:
+                    rows = list(deal(held))
+                    held, size = [], 0
+                    yield packed_batch(rows)
+        if size:
+            yield packed_batch(list(deal(held)))
+
+    def packed_batch(rows):
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["bucket", "first", "last", "n", "size"])
+
+    def count(table: pa.Table) -> pa.Table:
+        parts = []
+        for r in table.to_pylist():
+            first, last, n = (np.frombuffer(pa.decompress(r[c], r["size"] * 8, "zstd", asbytes=True), np.int64) for c in ("first", "last", "n"))
+            parts.append((np.cumsum(first), last, n))
+        first, last, f = summed(*(np.concatenate(x) for x in zip(*parts)))
+        kept = f >= min_count
+        return pa.table({"first": first[kept], "last": last[kept], "f": f[kept]})
+
+    with batches_of(relation.sparkSession):
+        rows = relation.select("firsts", "lasts", "counts").mapInArrow(sums, "bucket long, first binary, last binary, n binary, size long")
+        return with_id(rows.groupBy("bucket").applyInArrow(count, "first long, last long, f long"), min_count)
 
 
 class Known:
@@ -168,39 +233,31 @@ class Known:
         return own, self.ids[at[own]]
 
 
-def extend(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: list[str], lists: list[str], k: int) -> DataFrame:
-    """The relation of length k + 1 from that of length k, its groups and the frequent ones."""
+def extend(relation: DataFrame, frequent: DataFrame, keys: list[str], lists: list[str]) -> DataFrame:
+    """The relation of length k + 1 from that of length k and its frequent groups."""
     spark = relation.sparkSession
-    words = [] if k == 1 else ["w_ids", "w_pos", "w_code"]
-    schema = pa.schema([("block", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("prefixes", "lasts", "counts")],
-                        ("pos", pa.binary()), ("code", pa.binary()), ("w_ids", pa.list_(pa.int64())), ("w_pos", pa.binary()), ("w_code", pa.binary())])
+    schema = pa.schema([("block", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("firsts", "lasts", "counts")], ("pos", pa.binary()), ("code", pa.binary())])
     known = None
     if frequent.limit(KNOWN_ROWS + 1).count() <= KNOWN_ROWS:
         known = spark.sparkContext.broadcast(Known(frequent.select(*keys, "id").toArrow()))
-        rows = relation.select("block", "pos", "code", *words, *lists)
+        rows = relation.select("block", "pos", "code", *lists)
     else:
+        groups = relation.select("block", F.posexplode(F.arrays_zip(*lists)).alias("i", "g"))
+        groups = groups.select("block", "i", *[F.col(f"g.{x}").alias(k) for x, k in zip(lists, keys)])
         kept = (groups.join(frequent.select(*keys, "id"), keys).groupBy("block")
                 .agg(F.collect_list("i").alias("own"), F.collect_list("id").alias("ids")))
-        rows = relation.select("block", "pos", "code", *words).join(kept, "block")
+        rows = relation.select("block", "pos", "code").join(kept, "block")
 
-    def merged(own, ids, pos, code, w_ids=None, w_pos=None, w_code=None):
+    def merged(own, ids, pos, code):
         # semi-join: only occurrences of frequent phrases, numbered anew
         number = np.full(max(int(code.max()), int(own.max())) + 1, -1, np.int64)
         number[own] = np.arange(len(own))
         code = number[code]
         pos, code = pos[code >= 0], code[code >= 0]
-        if w_ids is None:
-            w_ids, w_pos, w_code = ids, pos, code
-        # merge-join of two sorted relations at adjacent positions
-        at = np.searchsorted(w_pos, pos + k)
-        at[at == len(w_pos)] = 0
-        met = w_pos[at] == pos + k
-        pos, at = pos[met], at[met]
-        pair = code[met] * len(w_ids) + w_code[at]
-        groups, code, counts = np.unique(pair, return_inverse=True, return_counts=True)
-        at = np.unique(at)  # later lengths end with no other words
-        w_pos, w_code = w_pos[at], w_code[at]
-        return ids[groups // len(w_ids)], w_ids[groups % len(w_ids)], counts, differences(pos), packed(code), w_ids, differences(w_pos), packed(w_code)
+        # merge-join of the sorted relation with itself at adjacent positions
+        met = np.flatnonzero(np.diff(pos) == 1)
+        groups, number, counts = np.unique(code[met] * len(ids) + code[met + 1], return_inverse=True, return_counts=True)
+        return ids[groups // len(ids)], ids[groups % len(ids)], counts, differences(pos[met]), packed(number)
 
     def run(batches):
         for b in batches:
@@ -210,41 +267,31 @@ def extend(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: li
                     own, ids = known.value.find(*[cell[c].values for c in lists])
                 else:
                     own, ids = (cell[c].values.to_numpy(zero_copy_only=False) for c in ("own", "ids"))
-                if not len(own):
-                    continue
-                more = [cell["w_ids"].values.to_numpy(), places(cell["w_pos"].as_py()), unpacked(cell["w_code"].as_py())] if words else []
-                found = merged(own, ids, places(cell["pos"].as_py()), unpacked(cell["code"].as_py()), *more)
-                if len(found[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip([cell["block"].as_py(), *found], schema)], schema=schema)
+                if len(own):
+                    found = merged(own, ids, places(cell["pos"].as_py()), unpacked(cell["code"].as_py()))
+                    if len(found[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip([cell["block"].as_py(), *found], schema)], schema=schema)
 
     with batches_of(spark):
-        return stash(rows.mapInArrow(run, PHRASES), "occurrences")
-
-
-def groups_of(relation: DataFrame, keys: list[str], arrays: list[str]) -> DataFrame:
-    """(block, i, keys, n): a row for each distinct phrase of a block."""
-    zipped = F.posexplode(F.arrays_zip(*[F.col(a) for a in arrays], F.col("counts"))).alias("i", "g")
-    return relation.select("block", zipped).select("block", "i", *[F.col(f"g.{a}").alias(k) for a, k in zip(arrays, keys)], F.col("g.counts").alias("n"))
+        return stash(rows.mapInArrow(run, PHRASES), "occurrences", large_rows=True)
 
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[list[DataFrame], DataFrame]:
     """For each length 1 .. ``longest`` the frequent phrases (lang, words, f), and (lang, n)."""
     relation = word_relation(docs)
+    own = relation.select(F.explode(F.arrays_zip("langs", "counts")).alias("g"))
+    totals = stash(own.groupBy(F.col("g.langs").alias("lang")).agg(F.sum("g.counts").alias("n")), "totals")
     keys, lists = ["lang", "word"], ["langs", "words"]
-    groups = groups_of(relation, keys, lists)
-    totals = stash(groups.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    frequent = group_counts(groups, keys, min_count)
-    words = frequent.select("id", "lang", F.array("word").alias("words"), "f")
-    levels = [words]
-    for k in range(1, longest):
-        relation = extend(relation, groups, frequent, keys, lists, k)
-        keys, lists = ["prefix", "last"], ["prefixes", "lasts"]
-        groups = groups_of(relation, keys, lists)
-        frequent = group_counts(groups, keys, min_count)
-        first = levels[-1].select(F.col("id").alias("prefix"), "lang", F.col("words").alias("first"))
-        last = words.select(F.col("id").alias("last"), F.col("words").alias("end"))
-        named = frequent.join(first, "prefix").join(last, "last")
-        levels.append(stash(named.select("id", "lang", F.concat("first", "end").alias("words"), "f"), "phrases"))
+    frequent = word_groups(relation, min_count)
+    levels = [frequent.select("id", "lang", F.array("word").alias("words"), "f")]
+    for _ in range(1, longest):
+        relation = extend(relation, frequent, keys, lists)
+        keys, lists = ["first", "last"], ["firsts", "lasts"]
+        frequent = pair_groups(relation, min_count)
+        first = levels[-1].select(F.col("id").alias("first"), "lang", F.col("words").alias("begin"))
+        last = levels[-1].select(F.col("id").alias("last"), F.slice("words", -1, 1).alias("end"))
+        named = frequent.join(first, "first").join(last, "last")
+        levels.append(stash(named.select("id", "lang", F.concat("begin", "end").alias("words"), "f"), "phrases"))
     return [x.select("lang", "words", "f") for x in levels], totals
 
 

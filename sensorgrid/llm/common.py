@@ -29,13 +29,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stash(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def stash(df: DataFrame, name: str, *partition_by: str, large_rows: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later jobs start from files that
-    every executor reads, so a lost executor costs a re-read and not a recomputation."""
+    every executor reads, so a lost executor costs a re-read and not a recomputation.
+    ``large_rows``: rows of a megabyte or so; row groups, which readers hold, then end in time."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, f"llm-{name}")
     w = df.write.mode("error").option("compression", "zstd")
+    if large_rows:
+        w = w.option("parquet.block.size", str(32 << 20)).option("parquet.page.size.row.check.min", "1")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
