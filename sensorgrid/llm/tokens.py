@@ -20,6 +20,7 @@ are ordered by text digest, then as hashed whole rows; an empty table gives an e
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 
@@ -42,12 +43,24 @@ BLOCK_WORDS = 4096
 ESCAPE_BITS = 30
 RECORD_IDS = 1 << 18
 #: Bytes of text that are encoded together.
-PORTION = 1 << 22
+PORTION = 1 << 23
 END_ID = 1
-#: Words whose ids a worker remembers, in each of two generations (some 200 bytes a word).
-MEMO = 150_000
+#: Words, and pieces, whose ids a worker remembers, in each of two generations (some 200 bytes each).
+MEMO = 300_000
 #: Word pieces as the pre-tokenizer cuts them, and the space that joins words here.
 PIECES = re.compile(r" |'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Texts of these characters only are lower-cased and cut as wholes: ASCII but controls, and Latin-1
+#: letters, which have no other composed form. In them a piece that is no word is one of the latter.
+SIMPLE = r"^[\x09-\x0D\x20-\x7E\x{C0}-\x{FF}]*$"
+CUTS = r"('(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-z0-9\x{DF}-\x{F6}\x{F8}-\x{FF}\x09-\x0D\x20]+)"
+#: What the above rests on, in the tokenizer's file.
+EXPECTED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None,
+    "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False}
 #: Controls, odd white space and scripts whose letters two libraries may know differently.
 ODD = r"[\x00-\x1F\x7F-\xA0\u0530-\U0010FFFF]"
 
@@ -139,25 +152,49 @@ class Memo:
         return list(keys - found)
 
 
+def expected(library) -> bool:
+    """Whether the tokenizer's file normalises and cuts texts as this module does."""
+    told = json.loads(library.to_str())
+    told = {**told["model"], **{k: told[k] for k in ("normalizer", "pre_tokenizer", "post_processor")}, "added": [(t["normalized"], t["lstrip"], t["rstrip"], t["single_word"]) for t in told["added_tokens"]]}
+    return all(k in told and told[k] == v for k, v in EXPECTED.items()) and not any(any(t) for t in told["added"])
+
+
+def gathered(codes: np.ndarray, known: list[bytes], lists: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``codes`` into ``known`` one after the other, and how many each list has, which
+    ends before ``lists[i + 1]``."""
+    size = np.fromiter(map(len, known), np.int64, len(known)) // dtype.itemsize
+    flat = np.frombuffer(b"".join(known), dtype)
+    each = size[codes]
+    ends = np.concatenate([[0], np.cumsum(each)])
+    shift = (np.cumsum(size) - size)[codes] - ends[:-1]
+    ids = flat[np.arange(ends[-1]) + np.repeat(shift, each)]
+    return ids, np.diff(ends[lists])
+
+
 class WordEncoder:
-    """Ids of whole texts by remembered words. No token of ``word_bpe_49k`` spans white space,
-    which the tokenizer drops, so a text's ids are its white-space-separated words' ids in
-    order; and a word's ids are those of the pieces that the pre-tokenizer cuts it into, so
-    that "word", "Word," and "WORD!!" share what they have in common. Pieces not met before go
-    through the library, many to a call; the last token of a piece is known by its end mark.
-    Words with special tokens, rare scripts or odd white space go through the library whole."""
+    """Ids of whole texts by remembered pieces. No token of ``word_bpe_49k`` spans white space,
+    which the tokenizer drops, or two of the pieces that its pre-tokenizer cuts, so a text's
+    ids are its pieces' ids in order. Simple texts (:data:`SIMPLE`) are lower-cased and cut as wholes;
+    others word by word, as the library's normaliser leaves the word, words remembered too.
+    Pieces not met before go through the library, many to a call; the last token of a piece is
+    known by its end mark. Words with special tokens, rare scripts or odd white space go
+    through the library whole, and so does everything if the tokenizer's file says something
+    else than :data:`EXPECTED`."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.library = Tokenizer.from_file(path)
+        vocab = self.library.get_vocab()
+        self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
+        self.by_pieces = expected(self.library)
+        if not self.by_pieces:
+            return
         # the same model for pieces that are normalised and cut: it need not do either again
         self.model = Tokenizer(self.library.model)
         self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.library.get_vocab()
-        self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([ODD, *special]))
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([ODD, *map(re.escape, self.special)]))
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words, self.pieces = Memo(), Memo()
@@ -188,28 +225,59 @@ class WordEncoder:
             words = [w for w in words if w not in apart]
             text = b" ".join(words).decode()
         if not text.isascii():  # the library's normaliser for these, plain lower case for the others
-            words = [w for w in words if w.isascii()] + (wide := [w for w in words if not w.isascii()])
-            plain = b" ".join(words[:len(words) - len(wide)]).decode().lower()
-            wide = self.library.normalizer.normalize_str(b" ".join(wide).decode())
-            text = f"{plain} {wide}" if plain else wide
+            words = (narrow := [w for w in words if w.isascii()]) + (wide := [w for w in words if not w.isascii()])
+            text = self.library.normalizer.normalize_str(b" ".join(wide).decode())
+            if narrow:  # an empty word may be the only one
+                text = b" ".join(narrow).decode().lower() + " " + text
         cut = PIECES.findall(text.lower() if text.isascii() else text)
         if cut.count(" ") != max(0, len(words) - 1):
             raise RuntimeError("a word was normalised to several")
-        self.pieces.turn()
-        known = self.pieces.young
-        known[" "] = b""
-        if (new := {p for p in cut if p not in known}) and (new := self.pieces.missing(new)):
-            self.learn_pieces(new)
-        ids = list(map(known.__getitem__, cut))
+        ids = self.ids_of(cut)
         ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
         flat = b"".join(ids)
         stops = ends[[i for i, p in enumerate(cut) if p == " "]].tolist() + [len(flat)]
         self.words.young.update(zip(words, (flat[a:z] for a, z in zip([0, *stops], stops))))
 
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of normalised pieces; those of the space between words are none."""
+        self.pieces.turn()
+        known = self.pieces.young
+        known[" "] = b""
+        if (new := {p for p in pieces if p not in known}) and (new := self.pieces.missing(new)):
+            self.learn_pieces(new)
+        return list(map(known.__getitem__, pieces))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and how many each text has. Words are split
-        and numbered in Arrow; only distinct ones are looked up, then gathered in numpy."""
-        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        """Ids of all texts one after the other, and how many each text has."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        if not self.by_pieces:
+            ids = [np.array(e.ids, self.dtype) for t in texts.to_pylist() for e in self.library.encode_batch_fast([t], add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, self.dtype), *ids]), np.array(list(map(len, ids)), np.int64)
+        simple = pc.match_substring_regex(texts, SIMPLE)
+        for t in self.special:
+            simple = pc.and_not(simple, pc.match_substring(texts, t))
+        ids, size = self.encode_simple(texts.filter(simple))
+        simple = simple.to_numpy(zero_copy_only=False)
+        if simple.all():
+            return ids, size
+        other, other_size = self.encode_words(texts.filter(pa.array(~simple)))
+        each = np.empty(len(texts), np.int64)
+        each[simple], each[~simple] = size, other_size
+        mine = np.repeat(simple, each)
+        out = np.empty(len(mine), self.dtype)
+        out[mine], out[~mine] = ids, other
+        return out, each
+
+    def encode_simple(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), CUTS, r" \1 "))
+        # splitting leaves empty strings at the ends of a text
+        coded = cut.flatten().dictionary_encode()
+        return gathered(coded.indices.to_numpy(zero_copy_only=False), self.ids_of([p or " " for p in coded.dictionary.to_pylist()]),
+                        cut.offsets.to_numpy() - cut.offsets[0].as_py() if len(cut) else np.zeros(1, np.int64), self.dtype)
+
+    def encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words are split and numbered in Arrow; only distinct ones are looked up."""
+        lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         words = as_bytes(coded.dictionary)
         self.words.turn()
@@ -219,15 +287,7 @@ class WordEncoder:
             if new := self.words.missing({w for w, ids in zip(words, known) if ids is None}):
                 self.learn(new)
             known = list(map(get, words))
-        size = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(known), self.dtype)
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        each = size[at]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        shift = (np.cumsum(size) - size)[at] - ends[:-1]
-        ids = flat[np.arange(ends[-1]) + np.repeat(shift, each)]
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        return ids, np.diff(ends[offsets])
+        return gathered(coded.indices.to_numpy(zero_copy_only=False), known, lists.offsets.to_numpy() - lists.offsets[0].as_py(), self.dtype)
 
 
 def as_bytes(strings: pa.Array) -> list[bytes]:

@@ -43,10 +43,24 @@ def test_word_encoder_equals_library(edge_rows):
     mixed = ["".join(r.choice("aAéÉß'.,!%0 9\u0301\u00a0\n-_Ж中<|>/w") for _ in range(r.randrange(30))) for _ in range(400)]
     for t in [*ODD, *mixed, *[t or "" for _, t in edge_rows]]:
         assert e.encode(pa.array([t]))[0].tolist() == e.library.encode(t, add_special_tokens=False).ids, repr(t[:50])
+    latin = ["".join(chr(r.randrange(0x20, 0x180)) for _ in range(r.randrange(30))) for _ in range(3000)]
+    near = ["".join(r.choice("aAbéÉÀÖÿßµºª×÷ÞÐ'stdmlrve.,!%0 9-\n\t <|>/") for _ in range(r.randrange(40))) for _ in range(6000)]
+    ids, size = e.encode(pa.array(latin + near))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == [x.ids for x in e.library.encode_batch(latin + near, add_special_tokens=False)]
     ids, size = e.encode(pa.array(["x", None, *ODD, ""])[1:])
     assert np.split(ids, np.cumsum(size)[:-1])[3].tolist() == e.library.encode(ODD[2]).ids and size.sum() == len(ids) and len(size) == len(ODD) + 2
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_tokenizer_file_gives_the_library_ids(name, edge_rows):
+    """A file that cuts texts otherwise is noticed, and whole texts go through the library."""
+    e = tokens.WordEncoder(str(public_tokenizers.path(name)))
+    assert e.by_pieces == (name == "word_bpe_49k.json")
+    texts = ["Hello World again", "it's", *ODD, *[t or "" for _, t in edge_rows]]
+    ids, size = e.encode(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == [e.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_segment_counter_equals_library(edge_rows):
     c = tokencounts.SegmentCounter(PIECE)
     assert c.by_segment
