@@ -99,6 +99,13 @@ def threshold_class(x, low: float = CLASS_THRESHOLDS[0], mid: float = CLASS_THRE
             .otherwise(F.lit(2)))
 
 
+def argmax_class(class_scores) -> Column:
+    """Class (place from 0) of the highest score in an array; ties go to the lowest class, NULL and
+    NaN scores never win, and an array without a score gives NULL."""
+    known = F.transform(_c(class_scores), null_if_nan)
+    return (F.array_position(known, F.array_max(known)) - 1).cast("int")
+
+
 def _family_chain(name, rules) -> Column:
     n = F.lower(_c(name).cast("string"))
     expr = None

@@ -6,16 +6,20 @@ sensor, years of minute data), that task becomes the job. Here a series is
 cut into blocks of ``block_hours`` consecutive grid hours and every window is
 partitioned by (key, block):
 
-* look-back / look-ahead windows (lags, rolling frames, leads) see halo rows
-  copied from the neighbouring blocks — at most ``before`` hours from the
-  previous block and ``after`` hours from the next — and the halo rows are
-  dropped after the windows ran;
+* look-back / look-ahead windows (lags, rolling frames, leads, targets, forecasts,
+  sequence windows: :func:`blockwise`) see halo rows copied from the blocks around —
+  at most ``before`` hours back and ``after`` hours ahead, over as many blocks as
+  that takes — and the halo rows are dropped after the windows ran;
 * forward fill is a two-level scan: fill inside each block, then carry the
   last non-NULL value of earlier blocks in from a one-row-per-block summary;
 * positions (warm-up trim, chronological split) are hour arithmetic on the
   regular grid against per-series bounds, not a row_number over the series;
-* per-series statistics are a group-by on the key (partial aggregation)
-  joined back, never a window over the whole series.
+* per-series quantiles are selected by rank over range partitions and other statistics
+  are a group-by on the key (partial aggregation), joined back, never a window over the
+  whole series.
+
+Series without a regular grid are cut by row positions instead (``operators/positions.py``,
+``ranged=True`` of the splits).
 
 All of this requires the regular hourly grid (row offset == hour offset),
 which ``hourly_grid_blocked`` builds block by block.
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from sensorgrid.operators.clean import MISSING_SUFFIX
 from sensorgrid.operators.common import as_list, q
 from sensorgrid.operators.grid import GAP_COL
+from sensorgrid.operators.quantiles import exact_quantiles
 
 BLK = "__blk"
 CORE = "__core"
@@ -53,21 +58,14 @@ def with_block(df: DataFrame, block_hours: int, ts="ts") -> DataFrame:
 
 
 def with_halo(df: DataFrame, block_hours: int, before: int, after: int, ts="ts") -> DataFrame:
-    """Each row in its own block (``__core`` = 1) plus halo copies (``__core`` = 0): rows in the
-    last ``before`` hours of a block go to the next block, rows in the first ``after`` hours to
-    the previous one."""
-    if before > block_hours or after > block_hours:
-        raise ValueError("halo wider than a block")
+    """Each row in its own block (``__core`` = 1) plus halo copies (``__core`` = 0) in every other
+    block that has an hour at most ``before`` later or ``after`` earlier. A halo wider than a
+    block reaches over several."""
     hi = hour_index(ts)
-    blk = F.floor(hi / F.lit(block_hours)).cast("bigint")
-    off = hi - blk * F.lit(block_hours)
-    own = F.struct(blk.alias("b"), F.lit(1).alias("c"))
-    nxt = F.when(off >= F.lit(block_hours - before), F.struct((blk + 1).alias("b"), F.lit(0).alias("c")))
-    prv = F.when(off < F.lit(after), F.struct((blk - 1).alias("b"), F.lit(0).alias("c")))
-    copies = F.filter(F.array(own, nxt, prv), lambda x: x.isNotNull())
+    at = lambda h: F.floor(h / F.lit(block_hours)).cast("bigint")
     cols = [c for c in df.columns if c not in (BLK, CORE)]
-    out = df.select(*[q(c) for c in cols], F.explode(copies).alias("__h"))
-    return out.select(*[q(c) for c in cols], F.col("__h.b").alias(BLK), F.col("__h.c").alias(CORE))
+    out = df.select(*[q(c) for c in cols], F.explode(F.sequence(at(hi - F.lit(after)), at(hi + F.lit(before)))).alias(BLK))
+    return out.select("*", (F.col(BLK) == at(hi)).cast("int").alias(CORE))
 
 
 def series_bounds(df: DataFrame, key="entity_id", ts="ts", fit: Column | None = None) -> DataFrame:
@@ -137,11 +135,23 @@ def forward_fill_blocked(df: DataFrame, columns, block_hours: int, key="entity_i
 
 def percentile_stats(df: DataFrame, columns, key="entity_id", probs=(0.5,), scope: Column | None = None,
                      exact: bool = True, prefix: str = "__p") -> DataFrame:
-    """Per-series percentiles as a partially aggregated group-by (key, <prefix><i>_<j> ...)."""
-    aggs = []
+    """Per-series percentiles (key, <prefix><i> ...): selected by rank over range partitions, or by
+    the bounded sketch. No task holds a series' distinct values."""
+    cols, keys = as_list(columns), as_list(key)
+    if exact:
+        found = exact_quantiles(df, cols, probs, keys, scope)
+        return found.select(*[q(k) for k in keys], *[F.col(f"__q{i}").alias(f"{prefix}{i}") for i in range(len(cols))])
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    for i, c in enumerate(as_list(columns)):
+    aggs = []
+    for i, c in enumerate(cols):
         x = q(c).cast("double") if scope is None else F.when(scope, q(c).cast("double"))
-        v = F.percentile(x, arr) if exact else F.percentile_approx(x, arr, 10000).cast("array<double>")
-        aggs.append(v.alias(f"{prefix}{i}"))
-    return df.groupBy(*[q(k) for k in as_list(key)]).agg(*aggs)
+        aggs.append(F.percentile_approx(x, arr, 10000).cast("array<double>").alias(f"{prefix}{i}"))
+    return df.groupBy(*[q(k) for k in keys]).agg(*aggs)
+
+
+def blockwise(df: DataFrame, op, block_hours: int, before: int = 0, after: int = 0, key="entity_id", ts="ts") -> DataFrame:
+    """``op(frame, key)``, a per-series operator on the hourly grid that looks at most ``before`` hours back
+    and ``after`` ahead, run per (series, block) with halo rows: the same rows as ``op(df, key)``.
+    ``op`` must keep the key and ``ts`` columns of the rows it returns."""
+    out = op(with_halo(df, block_hours, before, after, ts).drop(CORE), [*as_list(key), BLK])
+    return out.where(block_of(ts, block_hours) == F.col(BLK)).drop(BLK)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sensorgrid.functions.columns import numeric_columns
 from sensorgrid.functions.exprs import null_if_nan
 from sensorgrid.operators.common import as_list, global_scalars, group_window, q, select_replacing
+from sensorgrid.operators.quantiles import with_quantiles
 
 SENTINEL = -200.0  # fixed value: raw feed code for "no reading"
 MISSING_SUFFIX = "__was_missing"
@@ -86,23 +87,30 @@ def _stat(df: DataFrame, fn, cols, by, scope):
 
 
 def median_impute(df: DataFrame, columns=None, by="entity_id", scope: Column | None = None,
-                  exact: bool = True) -> DataFrame:
+                  exact: bool | str = True) -> DataFrame:
     """NULL -> median of the column (per ``by`` group; ``scope`` limits the fit rows).
 
-    ``exact`` uses ``percentile`` (linear interpolation, as pandas); set it
-    False to use the bounded-memory ``percentile_approx`` sketch for groups
-    too large to hold their distinct values.
+    ``exact`` uses ``percentile`` (linear interpolation, as pandas), which holds a group's
+    distinct values in one task; ``"ranks"`` selects the same value over range partitions, for
+    groups of any size; False uses the bounded-memory ``percentile_approx`` sketch.
     """
     cols = _numeric(df, columns, by)
+    if exact == "ranks":
+        x = with_quantiles(df, cols, (0.5,), by, scope)
+        return select_replacing(x, {c: F.coalesce(q(c), F.col(f"__q{i}")[0]) for i, c in enumerate(cols)}).select(*[q(c) for c in df.columns])
     fn = (lambda c: F.percentile(c, 0.5)) if exact else (lambda c: F.percentile_approx(c, 0.5, 10000))
     med = _stat(df, fn, cols, by, scope)
     return select_replacing(df, {c: F.coalesce(q(c), med[c].cast("double")) for c in cols})
 
 
 def winsorize_iqr(df: DataFrame, columns=None, by="entity_id", k: float = 3.0,
-                  scope: Column | None = None, exact: bool = True) -> DataFrame:
-    """Clip to [q1 - k*IQR, q3 + k*IQR] with linear-interpolated quartiles."""
+                  scope: Column | None = None, exact: bool | str = True) -> DataFrame:
+    """Clip to [q1 - k*IQR, q3 + k*IQR] with linear-interpolated quartiles; ``exact`` as in
+    :func:`median_impute`."""
     cols = _numeric(df, columns, by)
+    if exact == "ranks":
+        x = with_quantiles(df, cols, (0.25, 0.75), by, scope)
+        return select_replacing(x, {c: _clipped(q(c), F.col(f"__q{i}")[0], F.col(f"__q{i}")[1], k) for i, c in enumerate(cols)}).select(*[q(c) for c in df.columns])
     if exact:
         fn = lambda c: F.percentile(c, F.array(F.lit(0.25), F.lit(0.75)))
     else:
@@ -112,11 +120,15 @@ def winsorize_iqr(df: DataFrame, columns=None, by="entity_id", k: float = 3.0,
     for c in cols:
         q1 = qs[c].getItem(0).cast("double")
         q3 = qs[c].getItem(1).cast("double")
-        iqr = q3 - q1
-        rep[c] = F.least(F.greatest(q(c), q1 - F.lit(k) * iqr), q3 + F.lit(k) * iqr)
+        rep[c] = _clipped(q(c), q1, q3, k)
     return select_replacing(df, rep)
 
 
+def _clipped(x: Column, q1: Column, q3: Column, k: float) -> Column:
+    iqr = q3 - q1
+    return F.least(F.greatest(x, q1 - F.lit(k) * iqr), q3 + F.lit(k) * iqr)
+
+
 def standardize(df: DataFrame, columns=None, by=None, scope: Column | None = None) -> DataFrame:
     """(x - mean) / std_pop, NULLs ignored, std 0 -> 1 (sklearn ``StandardScaler``).
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorgrid.functions.exprs import weekday_mon0
+from sensorgrid.operators import splits
 from sensorgrid.operators.common import as_list, q, series_window
 from sensorgrid.operators.grid import GAP_COL
 
@@ -73,8 +74,10 @@ def calendar_features(df: DataFrame, ts="ts", gap_col: str | None = GAP_COL) ->
     return df.select("*", *calendar_exprs(ts, gap_col))
 
 
-def warmup_trim(df: DataFrame, warmup: int = max(LAGS), key="entity_id", ts="ts") -> DataFrame:
-    """Drop the first ``warmup`` rows of every series."""
+def warmup_trim(df: DataFrame, warmup: int = max(LAGS), key="entity_id", ts="ts", ranged: bool = False) -> DataFrame:
+    """Drop the first ``warmup`` rows of every series; ``ranged`` as in ``operators/splits.py``."""
+    if ranged:
+        return splits.with_positions(df, key, ts, True).where(F.col(splits.POS) >= warmup).select(*[q(c) for c in df.columns])
     rn = F.row_number().over(series_window(key, ts))
     return df.select("*", rn.alias("__rn")).where(F.col("__rn") > warmup).drop("__rn")
 

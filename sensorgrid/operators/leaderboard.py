@@ -117,6 +117,17 @@ def best_per_group(df: DataFrame, keys, order, keep=None) -> DataFrame:
     return agg.select(*[q(k) for k in keys], *[F.col("__b").getField(c).alias(c) for c in rest])
 
 
+def first_values_per_group(df: DataFrame, keys, order, keep=None) -> DataFrame:
+    """For each ``keys`` group and column the first value under ``order`` that is not null (or NaN),
+    which may come from another row than the first: ``groupby().first()`` of a sorted table."""
+    keys = as_list(keys)
+    kinds = dict(df.dtypes)
+    value = lambda c: null_if_nan(q(c)) if kinds[c] in ("double", "float") else q(c)
+    rest = [c for c in (keep or df.columns) if c not in keys]
+    return df.groupBy(*[q(k) for k in keys]).agg(
+        *[F.min_by(value(c), F.when(value(c).isNotNull(), _order_key(order))).alias(c) for c in rest])
+
+
 def dedup_keep_best(df: DataFrame, keys=("model", "pollutant", "horizon_h"), tiebreak="run_id") -> DataFrame:
     """One row per (model, pollutant, horizon_h): the highest R2 (ties: ``tiebreak`` asc)."""
     order = [("R2", "desc")] + [(t, "asc") for t in as_list(tiebreak)]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorgrid.operators.common import as_list, global_scalars, q
+from sensorgrid.operators.quantiles import exact_quantiles
 
 
 def _both(y: Column, p: Column) -> Column:
@@ -117,22 +118,28 @@ def class_distribution(df: DataFrame, cls: str = "target_cls", by="split", label
 def column_profile(df: DataFrame, columns, exact: bool = True) -> DataFrame:
     """``describe``: one row per column with count, mean, std, min, 25/50/75 %, max.
 
-    One aggregation pass over all columns, then a ``stack`` to long form.
+    One partially aggregated pass over all columns; the quartiles are selected by rank over
+    range partitions (``exact``) or come from the bounded sketch.
     """
-    cols = as_list(columns)
+    cols, probs = as_list(columns), (0.25, 0.5, 0.75)
     aggs = []
     for i, c in enumerate(cols):
         x = q(c).cast("double")
-        pct = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-               else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000).cast("array<double>"))
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), pct.alias("__q"),
-                             F.max(x).alias("max")).alias(f"__s{i}"))
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(f"__s{i}"))
+        if not exact:
+            aggs.append(F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), 10000).cast("array<double>").alias(f"__q{i}"))
     wide = df.agg(*aggs)
-    long = wide.select(F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("s"))
-    return long.select("s.column", "s.count", "s.mean", "s.std", "s.min",
-                       F.col("s.__q").getItem(0).alias("p25"), F.col("s.__q").getItem(1).alias("p50"),
-                       F.col("s.__q").getItem(2).alias("p75"), "s.max")
+    if exact:  # both sides are one row
+        wide = _beside(wide, exact_quantiles(df, cols, probs))
+    long = wide.select(F.explode(F.array(*[F.struct(F.col(f"__s{i}").alias("s"), F.col(f"__q{i}").alias("q")) for i in range(len(cols))])).alias("x"))
+    return long.select("x.s.column", "x.s.count", "x.s.mean", "x.s.std", "x.s.min",
+                       *[F.col("x.q").getItem(j).alias(n) for j, n in enumerate(("p25", "p50", "p75"))], "x.s.max")
+
+
+def _beside(one: DataFrame, other: DataFrame) -> DataFrame:
+    """The columns of two tables of one row (the other may have none) in one row."""
+    return one.select(F.lit(0).alias("__one"), "*").join(F.broadcast(other.select(F.lit(0).alias("__one"), "*")), "__one", "left").drop("__one")
 
 
 def rows_per_year(df: DataFrame, ts: str = "ts", by=None) -> DataFrame:
@@ -181,8 +188,11 @@ def residual_quantiles(df: DataFrame, y: str = "y_true", p: str = "y_pred", prob
     ok = df.where(_both(q(y).cast("double"), q(p).cast("double")))
     res = (q(y) - q(p)).cast("double")
     arr = F.array(*[F.lit(float(x)) for x in probs])
-    pct = F.percentile(res, arr) if exact else F.percentile_approx(res, arr, 10000).cast("array<double>")
-    agg = (ok.groupBy(*[q(c) for c in keys]) if keys else ok.groupBy()).agg(pct.alias("__q"))
+    if exact:
+        agg = exact_quantiles(ok.select(*[q(c) for c in keys], res.alias("__res")), "__res", probs, keys).withColumnRenamed("__q0", "__q")
+    else:
+        pct = F.percentile_approx(res, arr, 10000).cast("array<double>")
+        agg = (ok.groupBy(*[q(c) for c in keys]) if keys else ok.groupBy()).agg(pct.alias("__q"))
     normal = [NormalDist().inv_cdf(x) for x in probs]
     cells = F.arrays_zip(arr.alias("prob"), F.col("__q").alias("residual_q"),
                          F.array(*[F.lit(v) for v in normal]).alias("normal_q"))

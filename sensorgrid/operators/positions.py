@@ -53,3 +53,22 @@ def successors(ordered: DataFrame, columns: list[str], prefix: str = "next_", ci
                              "__to_place": F.when(ends, F.lit(0)).otherwise(F.col(PLACE) + 1)}).drop("__size", "__next")
     after = ordered.select(F.col(PART).alias("__to_part"), F.col(PLACE).alias("__to_place"), *[F.col(c).alias(prefix + c) for c in columns])
     return rows.join(after, ["__to_part", "__to_place"], "left").drop("__to_part", "__to_place")
+
+
+def group_parts(ordered: DataFrame, keys: list[str]) -> DataFrame:
+    """Of an order that starts with ``keys``, one row for each group in each range partition: its
+    rows there, the place of the first, and the group's rows before. A group of any size has
+    as many rows here as range partitions hold some of it."""
+    parts = ordered.groupBy(*[F.col(f"`{k}`") for k in keys], PART).agg(F.count("*").alias("__rows"), F.min(PLACE).alias("__start"))
+    by = Window.partitionBy(*[F.col(f"`{k}`") for k in keys])
+    before = by.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select("*", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"), F.sum("__rows").over(by).alias("__n"))
+
+
+def series_positions(df: DataFrame, keys: list[str], order: list[Column], path: str) -> DataFrame:
+    """``df`` with ``__pos``, the 0-based place of each row in its series, and ``__n``, the rows of
+    the series: a series of any length and spacing is never in one task. ``keys`` not null."""
+    ordered = ordered_positions(df, [F.col(f"`{k}`") for k in keys] + order, path)
+    parts = group_parts(ordered, keys).drop("__rows")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return ordered.join(parts, [*keys, PART]).select(*cols, (F.col("__before") + F.col(PLACE) - F.col("__start")).alias("__pos"), "__n")

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from sensorgrid.functions.exprs import family_of, model_family, parse_two_formats, threshold_class, to_hour
-from sensorgrid.operators import clean, features as fx, grid, leaderboard as lb, metrics, splits, targets
+from sensorgrid.functions.exprs import argmax_class, family_of, model_family, parse_two_formats, threshold_class, to_hour
+from sensorgrid.operators import blocked as bk, clean, features as fx, grid, leaderboard as lb, metrics, splits, targets
 from sensorgrid.operators.common import q
 from sensorgrid.plans import oracle as O
 from sensorgrid.plans.prepare import PrepareConfig, clean_readings, feature_pack
@@ -183,13 +183,13 @@ def q_missing_flags(spark, sf):
                                    O.final(KEYS + DBL + FLAGS, "imputed")))
 def q_median_impute(spark, sf):
     x = clean.missing_flags(clean.sentinel_to_null(readings(spark, sf), S), S)
-    return finish(clean.median_impute(x, S))
+    return finish(clean.median_impute(x, S, exact="ranks"))
 
 
 @register("winsorize_iqr", O.with_(CLEAN[:5], O.final(KEYS + DBL + FLAGS, "winsorized")))
 def q_winsorize(spark, sf):
     x = clean.missing_flags(clean.sentinel_to_null(readings(spark, sf), S), S)
-    return finish(clean.winsorize_iqr(clean.median_impute(x, S), S))
+    return finish(clean.winsorize_iqr(clean.median_impute(x, S, exact="ranks"), S, exact="ranks"))
 
 
 @register("dedup_first",
@@ -240,24 +240,24 @@ def _feat_sql(cols_sql: list[tuple[str, str]]) -> str:
     return O.with_(CLEAN + [f"f AS ({inner})"], f"SELECT entity_id, ts, {outer} FROM f")
 
 
-@register("lag_features", _feat_sql([(O.lag_sql(c, L), f"{c}__lag{L}") for c in ("v_mean", "n_events") for L in fx.LAGS]))
+@register("lag_features", _feat_sql([(O.lag_sql(c, L), f"{c}__lag{L}") for c in S for L in fx.LAGS]))
 def q_lag(spark, sf):
     c = cleaned(spark, sf)
-    return finish(c.select("entity_id", "ts", *fx.lag_exprs(["v_mean", "n_events"])))
+    return finish(c.select("entity_id", "ts", *fx.lag_exprs(S)))
 
 
 @register("rolling_mean", _feat_sql([(O.roll_sql(c, w, "avg", f"{c}__roll_mean{w}"), f"{c}__roll_mean{w}")
-                                     for c in ("v_mean", "v_std") for w in fx.ROLLS]))
+                                     for c in S for w in fx.ROLLS]))
 def q_rolling_mean(spark, sf):
     c = cleaned(spark, sf)
-    return finish(c.select("entity_id", "ts", *fx.rolling_mean_exprs(["v_mean", "v_std"])))
+    return finish(c.select("entity_id", "ts", *fx.rolling_mean_exprs(S)))
 
 
 @register("rolling_std", _feat_sql([(O.roll_sql(c, w, "stddev_samp", f"{c}__roll_std{w}"), f"{c}__roll_std{w}")
-                                    for c in ("v_mean", "v_std") for w in fx.ROLLS]))
+                                    for c in S for w in fx.ROLLS]))
 def q_rolling_std(spark, sf):
     c = cleaned(spark, sf)
-    return finish(c.select("entity_id", "ts", *fx.rolling_std_exprs(["v_mean", "v_std"])))
+    return finish(c.select("entity_id", "ts", *fx.rolling_std_exprs(S)))
 
 
 @register("calendar_features", O.with_(CLEAN, "SELECT entity_id, ts, " + ", ".join(s for s, _, _ in O.CALENDAR)
@@ -311,21 +311,20 @@ def _persist(spark, sf):
     return targets.persistence_forecast(cleaned(spark, sf), "v_mean")
 
 
-_MH_SQL = ("mh AS (SELECT entity_id, ts, t.target_name, CAST(t.horizon_h AS INTEGER) AS horizon_h, "
-           "CASE t.target_name WHEN 'v_mean' THEN lead(v_mean, t.horizon_h) OVER (PARTITION BY entity_id, t.target_name, t.horizon_h ORDER BY ts) "
-           "ELSE lead(v_max, t.horizon_h) OVER (PARTITION BY entity_id, t.target_name, t.horizon_h ORDER BY ts) END AS y "
-           "FROM cleaned, (SELECT unnest(['v_mean', 'v_mean', 'v_mean', 'v_mean', 'v_max', 'v_max', 'v_max', 'v_max']) AS target_name, "
-           "unnest([1, 6, 12, 24, 1, 6, 12, 24]) AS horizon_h) t)")
+_MH_PAIRS = [(c, h) for c in S for h in targets.HORIZONS]
+_MH_SQL = ("mh AS (SELECT entity_id, ts, t.target_name, CAST(t.horizon_h AS INTEGER) AS horizon_h, CASE t.target_name "
+           + " ".join(f"WHEN '{c}' THEN lead({c}, t.horizon_h) OVER (PARTITION BY entity_id, t.target_name, t.horizon_h ORDER BY ts)" for c in S)
+           + f" END AS y FROM cleaned, (SELECT unnest({[c for c, _ in _MH_PAIRS]}) AS target_name, unnest({[h for _, h in _MH_PAIRS]}) AS horizon_h) t)")
 
 
 @register("multi_horizon_targets", O.with_(CLEAN + [_MH_SQL], "SELECT entity_id, ts, target_name, horizon_h, "
                                            + O.r6("y") + " AS y FROM mh WHERE y IS NOT NULL"))
 def q_multi_horizon(spark, sf):
-    return finish(targets.multi_horizon_targets(cleaned(spark, sf), ["v_mean", "v_max"]))
+    return finish(targets.multi_horizon_targets(cleaned(spark, sf), S))
 
 
-# sequence windows: features (v_mean, n_events), 24-row windows
-_SEQ_FEATS = ["v_mean", "n_events"]
+# sequence windows: all sensors, 24-row windows
+_SEQ_FEATS = S
 
 
 WS = "PARTITION BY entity_id, split ORDER BY ts"
@@ -371,6 +370,37 @@ def q_rolling_error(spark, sf):
     return finish(out.select("entity_id", "ts", "horizon_h", "rolling_rmse24", "rolling_mae24"))
 
 
+# the same operators per (series, block): blocks of 6 and 72 hours, halos of up to 24
+
+def _register_blocked(name: str, hours: int, before: int, after: int, op):
+    def run(spark, sf):
+        return finish(bk.blockwise(cleaned(spark, sf), op, hours, before, after))
+    run.__name__ = f"q_{name}_blocked"
+    register(f"{name}_blocked", ORACLE[name])(run)
+
+
+_register_blocked("next_value_target", 6, 0, 1, lambda x, key: targets.next_value_target(x.select(*key, "ts", "n_events"), "n_events", key=key).drop("n_events"))
+_register_blocked("next_class_target", 6, 0, 1, lambda x, key: targets.next_class_target(x.select(*key, "ts", "n_events"), "n_events", key=key).drop("n_events"))
+_register_blocked("multi_horizon_targets", 6, 0, 24, lambda x, key: targets.multi_horizon_targets(x, S, key=key))
+_register_blocked("persistence_forecast", 6, 0, 24, lambda x, key: targets.persistence_forecast(x, "v_mean", key=key))
+_register_blocked("rolling_error", 6, 23, 24, lambda x, key: fx.rolling_error(
+    targets.persistence_forecast(x, "v_mean", key=key), "y_true", "y_pred", 24, key=[*key, "horizon_h"]).drop("y_true", "y_pred"))
+
+
+def _register_blocked_windows(name: str, hours: int, after: int, op):
+    def run(spark, sf):
+        c = splits.chrono_split(cleaned(spark, sf), test_start=TEST_START)
+        return finish(bk.blockwise(c, op, hours, 23, after, key=["entity_id", "split"]).withColumn("y", F.col("y").cast("double")))
+    run.__name__ = f"q_{name}_blocked"
+    register(f"{name}_blocked", ORACLE[name])(run)
+
+
+_register_blocked_windows("sequence_windows", 72, 1, lambda x, key: fx.sequence_windows(
+    targets.next_value_target(x, "n_events", key=key), _SEQ_FEATS, "target_reg", 24, key=key, places=6))
+_register_blocked_windows("sequence_windows_horizon", 6, 7, lambda x, key: fx.sequence_windows_horizon(
+    targets.next_class_target(x, "n_events", key=key), _SEQ_FEATS, "target_cls", 24, horizon=6, key=key, places=6))
+
+
 # ----------------------------------------------------------------------------- pack, targets, splits
 
 _PACK_CTES, _PACK_COLS = O.pack_ctes(list(td.SENSORS), "n_events", TEST_START)
@@ -391,11 +421,9 @@ _TGT_CTE = _MH_SQL
                                 "ON p.entity_id = t.entity_id AND p.ts = t.ts "
                                 "WHERE t.target_name = 'v_mean' AND t.horizon_h = 6 AND t.y IS NOT NULL AND p.split = 'train'"))
 def q_aligned_xy(spark, sf):
-    # targets and features come from one window pass, so nothing is joined; ``targets.aligned_xy`` is
-    # the keyed join for tables that were written apart (tests compare the two)
-    p = feature_pack(cleaned(spark, sf), CFG, label_tasks=[("v_mean", 6)])
-    p = p.where((F.col("split") == "train") & F.col("y__v_mean__h6").isNotNull())
-    return finish(p.select("entity_id", "ts", "split", "v_mean", "v_mean__lag1", "v_mean__roll_mean3", F.col("y__v_mean__h6").alias("y")))
+    c = cleaned(spark, sf)
+    xy = targets.aligned_xy(feature_pack(c, CFG), targets.multi_horizon_targets(c, S), "v_mean", 6, split="train")
+    return finish(xy.select("entity_id", "ts", "split", "v_mean", "v_mean__lag1", "v_mean__roll_mean3", "y"))
 
 
 @register("load_pack", O.with_(_PACK_CTES, O.final(_PACK_COLS, "pack", "split = 'val'")))
@@ -474,6 +502,28 @@ def q_folds(spark, sf):
     return splits.timeseries_folds(daily(spark, sf).select("entity_id", "ts"), 3)
 
 
+# the same rows from range partitions: no window over a whole series, any spacing
+
+@register("warmup_trim_ranged", ORACLE["warmup_trim"])
+def q_warmup_ranged(spark, sf):
+    return fx.warmup_trim(cleaned(spark, sf).select("entity_id", "ts"), ranged=True)
+
+
+@register("chrono_split_ranged", ORACLE["chrono_split"])
+def q_chrono_ranged(spark, sf):
+    return splits.chrono_split(daily(spark, sf).select("entity_id", "ts"), (FIT_YEAR,), (TEST_YEAR,), ranged=True)
+
+
+@register("ratio_split_ranged", ORACLE["ratio_split"])
+def q_ratio_ranged(spark, sf):
+    return splits.ratio_split(daily(spark, sf).select("entity_id", "ts"), ranged=True)
+
+
+@register("timeseries_folds_ranged", ORACLE["timeseries_folds"])
+def q_folds_ranged(spark, sf):
+    return splits.timeseries_folds(daily(spark, sf).select("entity_id", "ts"), 3, ranged=True)
+
+
 @register("rows_per_year", f"WITH {O.daily_cte()} SELECT entity_id, CAST(year(ts) AS INTEGER) AS year, count(*) AS n_rows "
           "FROM daily GROUP BY 1, 2")
 def q_rows_per_year(spark, sf):
@@ -668,6 +718,34 @@ def q_distinct_scores(spark, sf):
     return scores(spark, sf).dropDuplicates(["model", "pollutant", "horizon_h"]).select("model", "pollutant", "horizon_h")
 
 
+_GAPPED = ("gapped AS (SELECT model, pollutant, horizon_h, run_id, R2, CASE WHEN run_id % 2 = 0 THEN NULL ELSE RMSE END AS RMSE, "
+           "CASE WHEN run_id % 3 = 0 THEN NULL ELSE MAE END AS MAE FROM scores)")
+
+
+@register("first_scores_by_cell", f"WITH {SC}, {_GAPPED} SELECT pollutant, horizon_h, " + ", ".join(
+    f"{O.r6(c) if c != 'model' else c} AS {c}" for c in ("model", "R2", "RMSE", "MAE")) + " FROM (SELECT pollutant, horizon_h, " + ", ".join(
+    f"first({c} ORDER BY R2 DESC NULLS LAST, model, run_id) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ("model", "R2", "RMSE", "MAE"))
+    + " FROM gapped GROUP BY pollutant, horizon_h)")
+def q_first_scores(spark, sf):
+    """Best scores of each cell where a run's errors may be missing: the next run's then."""
+    x = scores(spark, sf).select("model", "pollutant", "horizon_h", "run_id", "R2", F.when(F.col("run_id") % 2 != 0, F.col("RMSE")).alias("RMSE"),
+                                 F.when(F.col("run_id") % 3 != 0, F.col("MAE")).alias("MAE"))
+    return finish(lb.first_values_per_group(x, ["pollutant", "horizon_h"], [("R2", "desc"), ("model", "asc"), ("run_id", "asc")],
+                                            keep=["model", "R2", "RMSE", "MAE"]))
+
+
+_CENTRES = (1.0, 2.0, 3.0)  # of the three status classes on the qty10 scale
+
+
+@register("argmax_class", O.with_(SUPPLIER + ["sc AS (SELECT entity_id, ts, qty10, [" + ", ".join(
+    f"CASE WHEN price > {20000 * (i + 1)} THEN NULL ELSE -abs(qty10 - {c}) END" for i, c in enumerate(_CENTRES))
+    + "] AS s FROM cleaned)"], "SELECT entity_id, ts, CASE WHEN list_max(s) IS NOT NULL THEN CAST(list_position(s, list_max(s)) - 1 AS INTEGER) END AS cls FROM sc"))
+def q_argmax_class(spark, sf):
+    """Predicted status class from three class scores, some of them missing."""
+    s = F.array(*[F.when(F.coalesce(F.col("price") <= 20000 * (i + 1), F.lit(True)), -F.abs(F.col("qty10") - c)) for i, c in enumerate(_CENTRES)])
+    return supplier_series(spark, sf).select("entity_id", "ts", argmax_class(s).alias("cls"))
+
+
 _WIN = O.best_rows("best", ["pollutant", "horizon_h"], "R2 DESC NULLS LAST, model, run_id", "win")
 
 
