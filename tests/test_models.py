@@ -65,3 +65,41 @@ def test_save_load_and_importance(spark, data):
     assert back.depth == m.depth
     imp = M.feature_importance(back, list("abcde"), "DecisionTree", "y", 1)
     assert len(imp) == 5 and abs(sum(r[4] for r in imp) - 1.0) < 1e-9
+
+
+def test_second_moments_solve_the_same_models(spark):
+    """Labels missing in several ways, unlike scales, a constant feature: one pass gives every label's
+    rows, the closed form, coordinate descent and the validation error."""
+    rng = np.random.default_rng(5)
+    n, d = 500, 4
+    X = np.c_[rng.normal(size=(n, d)) * np.array([1, 10, 0.1, 5]) + np.array([0, 1000, 0, -3]), np.full(n, 2.5)]
+    Y = np.c_[X[:, :d] @ rng.normal(size=(d, 2)) + rng.normal(size=(n, 2)) * 3 + 50]
+    split = np.where(np.arange(n) < 300, "train", np.where(np.arange(n) < 420, "val", "test"))
+    miss = rng.random((n, 2)) < [0.1, 0.3]
+    rows = [("a", str(split[i]), Vectors.dense(X[i].tolist()), *(None if miss[i, j] else float(Y[i, j]) for j in range(2))) for i in range(n)]
+    df = spark.createDataFrame(rows, ["entity_id", "split", "features", M.label_col("u", 1), M.label_col("v", 6)])
+    tf = M.TaskFrame(df.withColumn("__pos", M.F.lit(0)).cache(), list("abcde"), [("u", 1), ("v", 6)])
+    moments = M.second_moments(tf)
+    for j, (t, h) in enumerate(tf.tasks):
+        lab = M.label_col(t, h)
+        tr, va = ((split == s) & ~miss[:, j] for s in ("train", "val"))
+        assert moments.label_stats(lab, ("train", "val")) == (int((tr | va).sum()), pytest.approx(np.std(Y[tr | va, j], ddof=1)))
+        Xc, yc = X[tr] - X[tr].mean(0), Y[tr, j] - Y[tr, j].mean()
+        for name, alpha, r in (("Ridge", 10.0, None), ("Lasso", 0.1, None), ("ElasticNet", 0.5, 0.3)):
+            w, b = M.solve_linear(moments.of(lab, ("train",)), name, alpha, r)
+            want = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(d + 1), Xc.T @ yc) if r is None and name == "Ridge" else np.append(enet_cd(X[tr][:, :d], Y[tr, j], alpha, r or 1.0), 0)
+            assert np.max(np.abs(w - want)) < 1e-6
+            shift = X[split != "test"].mean(0)  # features were centred
+            error = np.mean((Y[va, j] - (X[va] - shift) @ w - b) ** 2)
+            assert moments.squared_error(lab, ("val",), w, b) == pytest.approx(error)
+        for name in ("Ridge", "Lasso", "ElasticNet"):
+            (row, model), (old, before) = M.fit_linear_task(tf, t, h, name, moments=moments), M.fit_linear_task(tf, t, h, name)
+            assert row[-1] == old[-1] and row[8] == old[8] and row[3] == pytest.approx(old[3], abs=1e-6)
+            assert np.max(np.abs(np.array(model.coefficients) - np.array(before.coefficients))) < 1e-6
+    M_most, M.MOST_PATTERNS = M.MOST_PATTERNS, 1
+    assert M.second_moments(tf) is None  # too many patterns: the tasks fit their grids themselves
+    M.MOST_PATTERNS = M_most
+
+
+def test_frame_partitions_follow_the_rows():
+    assert [M.frame_partitions(n) for n in (0, 1, 256, 257, 2085, 10 ** 5, 6_400_000, 10 ** 8)] == [1, 1, 1, 2, 9, 64, 64, 1000]
