@@ -14,7 +14,7 @@ a task sends nothing but its rows.
 
 Defined cases: null or empty text scores by its statistics, all zero; null labels or ids are
 not learned from; without both labels the score is the share of label 1, or 0.5; a null
-doc_id is not held out; repeated rows score alike; an empty table gives an empty result;
+doc_id is not held out; repeated rows score alike; very long texts are counted whole; an empty table gives an empty result;
 input columns named like an output are replaced.
 """
 

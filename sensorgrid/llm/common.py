@@ -75,11 +75,14 @@ def pack_hash(df: DataFrame) -> Column:
                         if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()])
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound what one Arrow batch of whole texts holds; texts of 100 kB then make 50 MB."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 32 << 20) -> None:
+    """Bound what one Arrow batch of whole texts holds, in rows and in bytes. For frames that are
+    returned and run later, so the session keeps the settings; tighter ones of its own stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        own = spark.conf.get(key)
+        now = int(own) if own.isdigit() else None
+        if now is None or not 0 < now <= most:
+            spark.conf.set(key, str(most))
 
 
 @contextmanager

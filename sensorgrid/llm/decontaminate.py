@@ -15,11 +15,11 @@ Words are ASCII-lower-cased runs of ``[0-9a-z]`` and characters from U+0080 on.
 
 Scale: postings are never grouped by term, so a word that makes up a third of the corpus is
 only counted (map-side combine) and joined if it is among the rarest of a window. Texts are
-shuffled once, by row key, to meet their alignments. The benchmark's vocabulary is broadcast
-only below :data:`BROADCAST_TERMS` rows; beyond it Spark joins by shuffle.
+shuffled once, by row key, to meet their alignments. The benchmark's vocabulary and items are
+broadcast only below :data:`BROADCAST_TERMS` rows and :data:`BROADCAST_BYTES`; beyond, Spark joins by shuffle.
 
-Defined cases: null, empty or word-less text has no words and no hit; repeated rows each get
-their own result; a null item_id reads as the empty string; items without words and an empty
+Defined cases: null, empty or word-less text has no words and no hit; very long texts are indexed
+and compared whole; repeated rows each get their own result; a null item_id reads as the empty string; items without words and an empty
 benchmark match nothing; input columns named like an output are replaced.
 """
 
@@ -35,6 +35,8 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WIDTH = 10
 #: At most so many benchmark terms or window anchors (of some 100 bytes) are broadcast.
 BROADCAST_TERMS = 500_000
+#: And whole items, or vocabularies of odd words, only of so many bytes together.
+BROADCAST_BYTES = 32 << 20
 LISTS = 2
 
 
@@ -43,9 +45,14 @@ def words_of(c: Column) -> Column:
     return F.array_remove(F.split(c, SEPARATORS), "")
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most :data:`BROADCAST_TERMS` rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else df
+def bounded(df: DataFrame, size: Column | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most :data:`BROADCAST_TERMS` rows and, where rows are
+    of any ``size``, :data:`BROADCAST_BYTES` bytes."""
+    if df.limit(BROADCAST_TERMS + 1).count() > BROADCAST_TERMS:
+        return df
+    if size is not None and (df.agg(F.sum(size)).head()[0] or 0) > BROADCAST_BYTES:
+        return df
+    return F.broadcast(df)
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -67,7 +74,7 @@ def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
         return stash(rows.select(*KEY, "pos", F.xxhash64(ascii_lower(F.col("__llm_w"))).alias("term")), "postings")
     # the equality is on the whole-Unicode lower case, which is fast; the ASCII rule decides
     vocab = bounded(terms.select(F.col("term").alias("__llm_t"), F.lower("term").alias("__llm_fold"),
-                                 F.xxhash64("term").alias("term")).distinct())
+                                 F.xxhash64("term").alias("term")).distinct(), F.octet_length("__llm_t"))
     hit = (F.col("__llm_w") == F.col("__llm_t")) | (ascii_lower(F.col("__llm_w")) == F.col("__llm_t"))
     return stash(rows.join(vocab, (F.lower("__llm_w") == F.col("__llm_fold")) & hit).select(*KEY, "pos", "term"), "postings")
 
@@ -119,7 +126,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, li
     terms = items.select(F.explode("words").alias("term"))
     index = build_index(docs, terms)
     phrase = F.transform(F.slice("words", F.col("start") + 1, F.col("len")), lambda x: x)
-    found = (alignments(index, items, width, lists).join(bounded(items), "item")
+    found = (alignments(index, items, width, lists).join(bounded(items, F.octet_length(F.array_join("words", " "))), "item")
              .groupBy(*KEY).agg(F.collect_set(F.struct((F.col("shift") + F.col("start")).alias("dpos"), F.col("len"),
                                                        F.col("item_id"), phrase.alias("phrase"))).alias("__llm_found")))
     k = [c + "f" for c in KEY]

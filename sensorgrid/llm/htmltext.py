@@ -34,7 +34,7 @@ level, in one task each over the branch's distinct nodes (not pages). Pages meet
 :data:`BROADCAST_NODES` nodes.
 
 Defined cases: null or empty html gives an empty text; a null or odd url is a host of its own
-name; repeated rows count as pages of their own; broken markup is read as far as it goes; an
+name; repeated rows count as pages of their own; broken markup is read as far as it goes; very long pages are read whole; an
 empty table gives an empty result; input columns named like an output are replaced.
 """
 

@@ -18,7 +18,7 @@ split too. Texts are shuffled once, by row key, to meet the digests they lose.
 
 Defined cases: null or empty text is one empty line; keys of fewer than ``min_chars`` code
 points are never dropped; repeated rows count as documents of their own and each lose their
-lines; an empty table gives an empty result; input columns named like an output are replaced.
+lines; very long texts are split whole; an empty table gives an empty result; input columns named like an output are replaced.
 """
 
 from __future__ import annotations

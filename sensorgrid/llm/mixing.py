@@ -15,7 +15,7 @@ numbered together, so a source holding a third of all rows, or a third of all ro
 one size, is dealt over 256 cells or more.
 
 Defined cases: null or empty text has size 0 and takes 0 words; a null source is a source of
-its own, after all others; identical rows are interchangeable; an empty table gives an empty
+its own, after all others; identical rows are interchangeable; a very long text is a document like others; an empty table gives an empty
 result; a source of size 0 has target 0; input columns named like an output are replaced.
 """
 

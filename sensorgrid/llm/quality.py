@@ -11,7 +11,7 @@ whose digest is below a bar set by the row count; each task measures its own, an
 a rule come together. It orders the rules and nothing else.
 
 Defined cases: null or empty text has no words and fails the base; repeated rows get the same
-verdict; an empty table gives an empty result; input columns named like an output are replaced.
+verdict; very long texts are counted whole; an empty table gives an empty result; input columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -119,9 +119,9 @@ def plan_order(docs: DataFrame, rules=RULES, sample: int = SAMPLE) -> tuple:
     n = docs.count()
     if not n:
         return tuple(rules)
-    # about ``sample`` rows by digest of the whole row, read where they lie
+    # about ``sample`` rows by digest of the id (of the whole row without one), read where they lie
     bar = (2 ** 63 - 1) * min(sample, n) // n
-    some = docs.withColumn("__llm_h", pack_hash(docs)).filter(F.shiftrightunsigned("__llm_h", 1) <= bar).select(text_of().alias("text"))
+    some = docs.withColumn("__llm_h", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(pack_hash(docs))).filter(F.shiftrightunsigned("__llm_h", 1) <= bar).select(text_of().alias("text"))
 
     def run(batches):
         docs = [d for b in batches for d in map(Doc, utf8(b.column(0))) if not d.base_failed]

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import KEY, small_batches, stash, utf8, with_row_key
+from sensorgrid.llm.common import KEY, pack_hash, small_batches, stash, utf8, with_row_key
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -241,5 +241,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, bits: int = MAX_BITS) ->
 def keep_one(docs: DataFrame, n: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each class: the one of the smallest doc_id, then row key."""
     firsts = classes(docs, n, bits).select("first").distinct().select(*[F.col(f"first.{k}").alias(k) for k in KEY])
-    rows = with_row_key(docs)
-    return rows.join(firsts, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns)
+    # of rows of equal id and text the one of the least digest over all columns
+    rows = with_row_key(docs).withColumn("__llm_row", pack_hash(docs)).join(firsts, KEY, "left_semi")
+    one = rows.groupBy(*KEY).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "__llm_row").alias("__llm_one"))
+    return one.select(*[F.col(f"__llm_one.`{c}`") for c in docs.columns])

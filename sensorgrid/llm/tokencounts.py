@@ -7,10 +7,11 @@ file. Only distinct misses are encoded, and their counts are appended to the cac
 
 Scale: misses shuffle their texts once, by digest; a group of copies, however large, is one
 row per task before the shuffle and one text after it. The last join carries ids and digests
-only. A task that is lost encodes its texts again; the append commits whole.
+only; the at most :data:`HOT` texts that hold a large share of the rows are broadcast to it, and
+their rows are spread. A task that is lost encodes its texts again; the append commits whole.
 
 Defined cases: null or empty text has 0 bytes and 0 tokens; repeated rows each get their
-count; an empty table gives an empty result; input columns named like an output are replaced.
+count; a very long text is encoded whole; an empty table gives an empty result; input columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import scratch_path, small_batches, text_of, utf8
+from sensorgrid.llm.common import pack_hash, scratch_path, small_batches, stash, text_of, utf8
 from sensorgrid.session import ensure_checkpoint_dir
 
 LIMIT = 4096
+#: A text with this share of all rows or more (one in so many) has its count broadcast.
+HOT = 2000
 #: Distinct segments whose counts a worker remembers.
 MEMO = 400_000
 #: Changes when counts do, so that older entries of a cache are no hits.
@@ -116,6 +119,15 @@ def fill_cache(docs: DataFrame, tokenizer: str, cache: str) -> str:
     return version
 
 
+def hot_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """(digest, count) of the texts that make up a :data:`HOT` th of all rows or more: at most so
+    many, whatever the corpus."""
+    copies = stash(rows.groupBy("__llm_digest").agg(F.count("*").alias("__llm_copies")), "copies")
+    total = copies.agg(F.sum("__llm_copies")).head()[0] or 0
+    hot = copies.filter(F.col("__llm_copies") * HOT >= total).filter("__llm_copies > 1").select("__llm_digest")
+    return hot.join(counts, "__llm_digest").select(F.col("__llm_digest").alias("__llm_hot"), F.col("n_tokens").alias("__llm_n"))
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limit: int = LIMIT) -> DataFrame:
     """``docs`` with n_bytes, n_tokens and over_limit. Without a cache folder a new one is made
     in the shared folder."""
@@ -126,5 +138,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     version = fill_cache(docs, tokenizer, cache)
     rows = docs.withColumns({"__llm_digest": digest_of(text_of()), "n_bytes": F.octet_length(text_of()).cast("long")})
-    out = rows.join(cached_counts(spark, cache, version), "__llm_digest").drop("__llm_digest")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    counts = cached_counts(spark, cache, version)
+    hot = hot_counts(rows.select("__llm_digest"), counts)
+    rows = rows.withColumn("__llm_spread", pack_hash(docs)).join(F.broadcast(hot), F.col("__llm_digest") == F.col("__llm_hot"), "left")
+    # rows that know their count are spread by their own hash, which is nobody's digest
+    key = F.when(F.col("__llm_hot").isNull(), F.col("__llm_digest")).otherwise(F.col("__llm_spread").cast("string").cast("binary"))
+    rows = rows.withColumn("__llm_key", key).drop("__llm_digest", "__llm_hot", "__llm_spread")
+    out = rows.join(counts.withColumnRenamed("__llm_digest", "__llm_key"), "__llm_key", "left").withColumn("n_tokens", F.coalesce("__llm_n", "n_tokens"))
+    return out.drop("__llm_key", "__llm_n").withColumn("over_limit", F.col("n_tokens") > limit)

@@ -109,6 +109,15 @@ def test_counts_small(small):
     assert rows_of(out) == brute.op8([tuple(r) for r in docs.select("doc_id", "text").collect()], 200)
 
 
+@pytest.mark.parametrize("share", [1, 4, 2000])
+def test_counts_of_hot_texts(edge, edge_rows, monkeypatch, share):
+    """Copies that hold much of the table get their count by broadcast, others by join."""
+    monkeypatch.setattr(tokencounts, "HOT", share)
+    copies = edge.unionByName(edge.filter("doc_id = 6").crossJoin(edge.sparkSession.range(40).select()))
+    rows = edge_rows + [r for r in edge_rows if r[0] == 6] * 40
+    assert rows_of(tokencounts.count_tokens(copies, PIECE).select("doc_id", "n_bytes", "n_tokens", "over_limit")) == brute.op8(rows)
+
+
 def test_cache_encodes_distinct_misses_once(spark, edge, edge_rows, tmp_path):
     cache = str(tmp_path / "cache")
     distinct = len({t or "" for _, t in edge_rows})
