@@ -459,6 +459,8 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         by_host = F.broadcast(by_host)
     work = ["__llm_path", "__llm_parent", "__llm_kind", "__llm_block", "__llm_text", "__llm_low"]
     rows = parsed.join(by_host, F.col("__llm_host") == F.col("__llm_h"), "left").drop("__llm_host", "__llm_h", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content")
+    # of the host's low nodes a page takes only its own to Python
+    rows = rows.withColumn("__llm_low", F.array_intersect("__llm_path", "__llm_low"))
     names = rows.columns
     at, kept = [names.index(c) for c in work], [i for i, c in enumerate(names) if c not in work]
 
