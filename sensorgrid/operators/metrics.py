@@ -130,18 +130,14 @@ def column_profile(df: DataFrame, columns, exact: bool = True) -> DataFrame:
         if not exact:
             aggs.append(F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), 10000).cast("array<double>").alias(f"__q{i}"))
     wide = df.agg(*aggs)
-    if exact:  # both sides are one row
-        wide = _beside(wide, exact_quantiles(df, cols, probs))
+    if exact:
+        found = exact_quantiles(df, cols, probs).first()  # one row: three numbers a column
+        wide = wide.select("*", *[F.array(*[F.lit(v).cast("double") for v in found[f"__q{i}"]]).alias(f"__q{i}") for i in range(len(cols))])
     long = wide.select(F.explode(F.array(*[F.struct(F.col(f"__s{i}").alias("s"), F.col(f"__q{i}").alias("q")) for i in range(len(cols))])).alias("x"))
     return long.select("x.s.column", "x.s.count", "x.s.mean", "x.s.std", "x.s.min",
                        *[F.col("x.q").getItem(j).alias(n) for j, n in enumerate(("p25", "p50", "p75"))], "x.s.max")
 
 
-def _beside(one: DataFrame, other: DataFrame) -> DataFrame:
-    """The columns of two tables of one row (the other may have none) in one row."""
-    return one.select(F.lit(0).alias("__one"), "*").join(F.broadcast(other.select(F.lit(0).alias("__one"), "*")), "__one", "left").drop("__one")
-
-
 def rows_per_year(df: DataFrame, ts: str = "ts", by=None) -> DataFrame:
     keys = as_list(by)
     return df.groupBy(*[q(c) for c in keys], F.year(q(ts)).alias("year")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -421,6 +421,15 @@ _TGT_CTE = _MH_SQL
                                 "ON p.entity_id = t.entity_id AND p.ts = t.ts "
                                 "WHERE t.target_name = 'v_mean' AND t.horizon_h = 6 AND t.y IS NOT NULL AND p.split = 'train'"))
 def q_aligned_xy(spark, sf):
+    # targets and features come from one window pass, so nothing is joined
+    p = feature_pack(cleaned(spark, sf), CFG, label_tasks=[("v_mean", 6)])
+    p = p.where((F.col("split") == "train") & F.col("y__v_mean__h6").isNotNull())
+    return finish(p.select("entity_id", "ts", "split", "v_mean", "v_mean__lag1", "v_mean__roll_mean3", F.col("y__v_mean__h6").alias("y")))
+
+
+@register("aligned_xy_joined", ORACLE["aligned_xy"])
+def q_aligned_xy_joined(spark, sf):
+    """The same rows for tables that were written apart: features and long targets joined by key."""
     c = cleaned(spark, sf)
     xy = targets.aligned_xy(feature_pack(c, CFG), targets.multi_horizon_targets(c, S), "v_mean", 6, split="train")
     return finish(xy.select("entity_id", "ts", "split", "v_mean", "v_mean__lag1", "v_mean__roll_mean3", "y"))
