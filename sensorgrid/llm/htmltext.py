@@ -5,8 +5,10 @@
    text has its white space folded.
 2. The trees of a host are merged by node path (:func:`style_tree`). A node that has children
    is a presentation node: with p_i the share of its m pages on which it has its i-th sequence
-   of children, its own importance is the entropy -sum p_i log_m p_i (1 if m = 1). A leaf is a
-   content node: 1 minus the mean of log_m of the number of pages that share a content. A
+   of children, its own importance is the entropy -sum p_i log_m p_i (1 if m = 1). A node with
+   text is a content node: 1 minus the mean of log_m of the number of pages that share a
+   content, times the share of its text on the host that is outside links. A link's label says what another page holds, so a list of links
+   is unimportant, however its labels change from page to page. A
    presentation node's composite importance adds its children's, weighted by how often they
    occur: (1 - g^l) * own + g^l * children, l being its number of child sequences.
 3. On each page, branches that are of low importance all through go (:func:`extract`): navigation that every page
@@ -143,7 +145,8 @@ class Page:
         self.keep: list[bool] = []
         self.named: list[tuple[str, ...]] = []
         self.article: list[bool] = []
-        self.prose: list[int] = []
+        self.prose: list[int] = []  # characters outside links, and in them
+        self.linked: list[int] = []
         self.children: list[list[int]] = []
         self.blocks: list[tuple[int, str]] = []
         self._known: dict[tuple, int] = {}
@@ -171,6 +174,7 @@ class Page:
             self.named.append(named)
             self.article.append(main)
             self.prose.append(0)
+            self.linked.append(0)
             self.children.append([])
         if parent >= 0 and (not self.children[parent] or self.children[parent][-1] != i):
             self.children[parent].append(i)
@@ -250,8 +254,8 @@ def parse_page(source: str) -> Page:
     def add(raw: str) -> None:
         if raw and not stack[-1][3]:
             text.append(entities.unescape(raw) if "&" in raw else raw)
-            if not stack[-1][4]:
-                page.prose[at] += len(raw.strip())
+            count = page.linked if stack[-1][4] else page.prose
+            count[at] += len(raw.strip())
 
     pos, end = 0, len(source)
     while pos < end:
@@ -336,6 +340,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
              ("__llm_parent", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), ("__llm_kind", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
              ("__llm_depth", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), ("__llm_branch", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
              ("__llm_style", T.ArrayType(T.LongType()), pa.list_(pa.int64())), ("__llm_content", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+             ("__llm_chars", T.ArrayType(T.LongType()), pa.list_(pa.int64())), ("__llm_linked", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
              ("__llm_block", T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), ("__llm_text", T.ArrayType(T.StringType()), pa.list_(pa.string()))]
     digest = lambda s: xxhash.xxh64_intdigest(s.encode("utf-8", "replace")) >> 1
 
@@ -350,6 +355,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                 rows.append((host_of(url), p.path, p.parent, p.kinds(), p.depth, p.branch,
                              [digest(repr([p.path[c] for c in k])) if k else 0 for k in p.children],
                              [digest("\n".join(content[i])) if i in content else 0 for i in range(len(p.path))],
+                             [a + b for a, b in zip(p.prose, p.linked)], p.linked,
                              [i for i, _ in p.blocks], [t for _, t in p.blocks]))
             cols = list(zip(*rows)) if rows else [()] * len(added)
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in kept], *[pa.array(c, k) for c, (_, _, k) in zip(cols, added)]],
@@ -359,25 +365,32 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, T.StructType(fields))
 
 
+#: What the host's statistics are made of, a list an entry of each node of a page.
+STATISTICS = ["__llm_path", "__llm_parent", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content", "__llm_chars", "__llm_linked"]
+
+
 def style_tree(parsed: DataFrame) -> DataFrame:
     """(host, node, parent, depth, branch, pages, presentation, content, styles): the merged
     nodes of each host with their own importance, before children are added. A path has one
     depth and one branch."""
     key = ["host", "node", "parent", "depth", "branch"]
-    nodes = parsed.select("__llm_host", F.posexplode(F.arrays_zip("__llm_path", "__llm_parent", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content")).alias("i", "n"), "__llm_path")
-    nodes = nodes.select(F.col("__llm_host").alias("host"), F.col("n.__llm_path").alias("node"),
-                         F.when(F.col("n.__llm_parent") >= 0, F.element_at("__llm_path", F.col("n.__llm_parent") + 1)).alias("parent"),
-                         F.col("n.__llm_depth").alias("depth"), F.col("n.__llm_branch").alias("branch"),
-                         F.col("n.__llm_style").alias("style"), F.col("n.__llm_content").alias("content"))
-    both = nodes.select(*key, F.explode(F.array(
-        F.struct(F.lit(True).alias("shape"), F.col("style").alias("what")), F.struct(F.lit(False).alias("shape"), F.col("content").alias("what")))).alias("x"))
-    each = both.filter("x.what != 0").groupBy(*key, "x.shape", "x.what").agg(F.count("*").alias("c"))
+    nodes = parsed.select("__llm_host", F.posexplode(F.arrays_zip(*STATISTICS)).alias("i", "n"), "__llm_path")
+    row = lambda shape, what, chars, linked: F.struct(
+        F.lit(shape).alias("shape"), what.alias("what"), chars.cast("long").alias("chars"), linked.cast("long").alias("linked"))
+    both = nodes.select(F.col("__llm_host").alias("host"), F.col("n.__llm_path").alias("node"),
+                        F.when(F.col("n.__llm_parent") >= 0, F.element_at("__llm_path", F.col("n.__llm_parent") + 1)).alias("parent"),
+                        F.col("n.__llm_depth").alias("depth"), F.col("n.__llm_branch").alias("branch"),
+                        F.explode(F.array(row(True, F.col("n.__llm_style"), F.lit(0), F.lit(0)),
+                                          row(False, F.col("n.__llm_content"), F.col("n.__llm_chars"), F.col("n.__llm_linked")))).alias("x"))
+    each = both.filter("x.what != 0").groupBy(*key, "x.shape", "x.what").agg(
+        F.count("*").alias("c"), F.sum("x.chars").alias("chars"), F.sum("x.linked").alias("linked"))
     kind = each.groupBy(*key, "shape").agg(
-        F.sum("c").alias("m"), F.count("*").alias("l"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.log("c")).alias("logc"))
+        F.sum("c").alias("m"), F.count("*").alias("l"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.log("c")).alias("logc"),
+        (1 - F.sum("linked") / F.greatest(F.sum("chars"), F.lit(1))).alias("unlinked"))
     log_m = F.log("m")
     own = F.when(F.col("m") == 1, 1.0).when(F.col("shape"), 1 - F.col("clogc") / F.col("m") / log_m).otherwise(1 - F.col("logc") / F.col("l") / log_m)
     shape = lambda c, s: F.max(F.when(F.col("shape") == s, F.col(c)))
-    return kind.withColumn("own", own).groupBy(*key).agg(
+    return kind.withColumn("own", own * F.when(F.col("shape"), 1.0).otherwise(F.col("unlinked"))).groupBy(*key).agg(
         F.max("m").alias("pages"), shape("own", True).alias("presentation"), shape("own", False).alias("content"),
         F.coalesce(shape("l", True), F.lit(0)).alias("styles"))
 
@@ -409,7 +422,7 @@ def solve_branch(rows):
 
 def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(host, node) of the nodes that, with all below them, have a composite importance below
-    ``threshold``. Importances are added bottom-up; one page alone says nothing about its host."""
+    ``threshold``. Importances are added bottom-up; on a host's only page nothing but links is low."""
     tree = stash(style_tree(parsed), "style-tree")
     lowest = tree.agg(F.max("depth")).first()[0]
     if lowest is None:
@@ -433,7 +446,7 @@ def low_nodes(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         below = stash(here.select("host", "node", "parent", "pages", importance.alias("importance"),
                                   F.greatest(importance, "kids_best").alias("best")), "importance")
         found = below if found is None else found.unionByName(below)
-    return found.filter((F.col("best") < threshold) & (F.col("pages") > 1)).select("host", "node")
+    return found.filter(F.col("best") < threshold).select("host", "node")
 
 
 def main_text(path, parent, kind, block, text, low) -> str:
@@ -453,12 +466,12 @@ def main_text(path, parent, kind, block, text, low) -> str:
 def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``pages`` (url, html, ...) without html, with text and n_chars."""
     parsed = stash(parse_pages(pages), "pages")
-    low = stash(low_nodes(parsed.select("__llm_host", "__llm_path", "__llm_parent", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content"), threshold), "low-nodes")
+    low = stash(low_nodes(parsed.select("__llm_host", *STATISTICS), threshold), "low-nodes")
     by_host = low.groupBy(F.col("host").alias("__llm_h")).agg(F.collect_set("node").alias("__llm_low"))
     if low.count() <= BROADCAST_NODES:
         by_host = F.broadcast(by_host)
     work = ["__llm_path", "__llm_parent", "__llm_kind", "__llm_block", "__llm_text", "__llm_low"]
-    rows = parsed.join(by_host, F.col("__llm_host") == F.col("__llm_h"), "left").drop("__llm_host", "__llm_h", "__llm_depth", "__llm_branch", "__llm_style", "__llm_content")
+    rows = parsed.join(by_host, F.col("__llm_host") == F.col("__llm_h"), "left").drop("__llm_host", "__llm_h", *[c for c in STATISTICS if c not in work])
     # of the host's low nodes a page takes only its own to Python
     rows = rows.withColumn("__llm_low", F.array_intersect("__llm_path", "__llm_low"))
     names = rows.columns

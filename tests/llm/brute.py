@@ -233,3 +233,47 @@ def op13(docs, items, k=10):
         rows.sort(key=lambda r: r[:3])
         out.update((item, rank, r[3], -r[0]) for rank, r in enumerate(rows[:k], 1))
     return out
+
+
+def low_paths(pages, threshold, decay):
+    """The style tree of a host, whole pages in memory: [(path, ...)] of branches of low importance all through.
+    ``pages``: per page its nodes as (path, child paths, [(block, characters in links, characters)])."""
+    from math import log
+    merged = {}
+    for nodes in pages:
+        for path, kids, blocks in nodes:
+            merged.setdefault(path, []).append((kids, blocks))
+    value, best = {}, {}
+
+    def importance(path):
+        seen = merged[path]
+        kids = {k for ks, _ in seen for k in ks}
+        for k in kids:
+            importance(k)
+        texts = [bs for _, bs in seen if bs]
+        content = None
+        if texts:
+            found = {}
+            for bs in texts:
+                whole = tuple(t for t, _, _ in bs)
+                found[whole] = found.get(whole, 0) + 1
+            fresh = 1 if len(texts) == 1 else 1 - sum(log(c) / log(len(texts)) for c in found.values()) / len(found)
+            content = fresh * (1 - sum(x for bs in texts for _, x, _ in bs) / sum(x for bs in texts for _, _, x in bs))
+        shapes = [ks for ks, _ in seen if ks]
+        if shapes:
+            counts = [shapes.count(s) for s in set(shapes)]
+            own = 1 if len(shapes) == 1 else -sum(c / len(shapes) * log(c / len(shapes), len(shapes)) for c in counts)
+            weigh = lambda k: max(sum(1 for ks, _ in merged[k] if ks), sum(1 for _, bs in merged[k] if bs))
+            below = [(value[k], weigh(k)) for k in kids if value[k] is not None]
+            mean = sum(v * w for v, w in below) / sum(w for _, w in below) if below else 0
+            fade = decay ** len(counts)
+            value[path] = max((1 - fade) * own + fade * mean, content or 0)
+        else:
+            value[path] = content
+        of = [value[path], *[best[k] for k in kids]]
+        best[path] = max((v for v in of if v is not None), default=None)
+
+    for path in merged:
+        if path not in value:
+            importance(path)
+    return {p for p, v in best.items() if v is not None and v < threshold}

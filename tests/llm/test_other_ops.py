@@ -232,6 +232,54 @@ def test_importance_is_the_entropy_of_presentations(spark):
     assert all(abs(r.content) < 1e-12 for r in tree if r.content is not None and r.pages == 8)
 
 
+def linked_pages(n, host):
+    """Lists of links whose labels differ from page to page, in elements whose names say nothing."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(9))
+    return [(i, f"http://{host}/{i}", "<div class=x><ul>" + "".join(f"<li><a href={word()}>{word()}</a></li>" for _ in range(6)) + "</ul></div>"
+             f"<div class=y><p>text {word()} with <a href=q>a {word()}</a> and words</p>" + f"<p>{word()}</p>" * r.randrange(4) + "</div>") for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 9])
+def test_lists_of_links_are_low_whatever_their_labels(spark, n):
+    """Fails without the tree: no name, tag or repeated text tells the list."""
+    rows = linked_pages(n, f"links{n}")
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: text_of("<div class=y>" + h.split("<div class=y>")[1]) for i, _, h in rows}
+    assert all(len(text_of(h).split()) == len(got[i].split()) + 6 for i, _, h in rows)
+
+
+def test_low_nodes_are_those_of_the_whole_tree_in_memory(spark):
+    import brute
+    hosts = {"h": host_pages(15), "one": host_pages(1, "one"), "links": linked_pages(6, "links"),
+             "mixed": [(i, f"http://mixed/{i}", h) for i, (_, _, h) in enumerate(linked_pages(4, "x") + host_pages(5))],
+             "empty": [(0, "http://empty/", "<div><p></p><nav></nav></div>"), (1, "http://empty/1", "")]}
+    rows = [(i, u.replace(u.split("/")[2], host), h) for host, pages in hosts.items() for i, u, h in pages]
+    parsed = htmltext.parse_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {}
+    for r in htmltext.low_nodes(parsed).collect():
+        got.setdefault(r.host, set()).add(r.node)
+    for host, pages in hosts.items():
+        trees = []
+        for _, _, source in pages:
+            p = htmltext.parse_page(source)
+            size = [[] for _ in p.path]
+            for i, t in p.blocks:
+                size[i].append((t, 0, 0))
+            for i, blocks in enumerate(size):  # the characters of a node go with its first block
+                if blocks:
+                    blocks[0] = (blocks[0][0], p.linked[i], p.prose[i] + p.linked[i])
+            trees.append([(p.path[i], tuple(p.path[c] for c in p.children[i]), size[i]) for i in range(len(p.path))])
+        assert got.get(host, set()) == brute.low_paths(trees, htmltext.THRESHOLD, htmltext.DECAY), host
+
+
+def test_a_very_long_page_is_read_whole(spark):
+    long = " ".join(f"word{i}" for i in range(300_000))
+    rows = [(i, f"http://long/{i}", f"<div class=top>Same</div><article><h1>T</h1><p>{i} {long}</p></article>") for i in range(3)]
+    got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"T {i} {long}" for i in range(3)} and all(r.n_chars == len(r.text) for r in got)
+
+
 def test_pages_table(small):
     import html
     import re
