@@ -75,6 +75,36 @@ def test_result_tables_roundtrip(spark):
     assert got == [("GBDT", 24, 12.0), ("Ridge", 1, 10.0)]
 
 
+def test_many_unlike_tables_are_one_scan(spark):
+    from sensorgrid.session import local_path, scratch_path
+    from sensorgrid.sources.results import read_result_tables, scan_tables
+    base = scratch_path(spark, "res-many")
+    folder = local_path(base)
+    os.makedirs(folder)
+
+    def table(name, text):
+        with open(f"{folder}/{name}.csv", "w", encoding="utf-8") as f:
+            f.write(text)
+    for i in range(300):
+        names = ["model", "R2", "pollutant", "horizon_h", *[f"x{j}" for j in range(i % 7)]]
+        names = names[i % 4:] + names[:i % 4]
+        value = {"model": f'"m,{i}"', "R2": str(i / 1000), "pollutant": "CO(GT)", "horizon_h": "6h"}
+        table(f"t{i:03d}", "\n" + ",".join(names) + "\n" + ",".join(value.get(n, "7") for n in names) + "\n")
+    table("bom", "\ufeffmodel,pollutant,horizon,R2,RMSE,MAE,MAPE,run_id\nA,CO(GT),24,0.5,1,2,3,9\nA,CO(GT),24,,1,2,3,9\nmy_tuned,CO(GT),24,1,1,2,3,9\n")
+    table("both", 'model,pollutant,horizon_h,R2,RMSE,MAE,MAPE(%),MAPE\n"B ""q""",CO(GT),1,nan,1,2,3,4\nB,CO(GT),1,0.25,1,2,3,4\nshort,CO(GT),1,0.75\n')
+    table("only_header", "model,pollutant\n")
+    table("nothing", "")
+    got = read_result_tables(spark, base)
+    rows = {r.model: r for r in got.collect()}
+    assert len(rows) == 303 and all(rows[f"m,{i}"].R2 == i / 1000 and rows[f"m,{i}"].horizon_h == 6 and rows[f"m,{i}"].RMSE is None for i in range(300))
+    assert (rows["A"]["MAPE(%)"], rows["A"].horizon_h, rows["A"].run_id) == (3.0, 24, 9)
+    assert rows["B"]["MAPE(%)"] == 3.0 and rows["short"].RMSE is None and rows["B"].run_id is None
+    assert {r.model for r in read_result_tables(spark, base, missing="skip").collect()} == {"A", "B", "short"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
+    assert [d.count() for d in scan_tables(spark, [base + "/nothing.csv"])] == [0, 0]
+
+
 def test_pack_write_load_prunes(spark):
     from sensorgrid.session import scratch_path
     from sensorgrid.sources.packs import load_pack, validate_pack, write_pack
@@ -90,6 +120,55 @@ def test_pack_write_load_prunes(spark):
     assert v == {"train": (1, 0), "test": (1, 1)}
 
 
+def test_checks_ride_on_the_write(spark):
+    import pytest
+    from sensorgrid.session import scratch_path
+    from sensorgrid.sources.packs import load_pack, validate_pack, write_checked_pack
+    rows = [("e", i, float("nan") if i == 3 else None if i == 5 else 1.0, 1.0, 7 if i == 40 else None if i == 41 else i % 3,
+             "train" if i < 50 else "val" if i < 60 else None) for i in range(90)]
+    df = spark.createDataFrame(rows, "entity_id string, ts long, a double, b double, target_cls int, split string")
+    report = write_checked_pack(df, scratch_path(spark, "checked"), ["a", "b"])
+    want = {r.split: tuple(r)[1:] for r in validate_pack(df, ["a", "b"]).collect()}
+    assert report.by_split == want == {"train": (50, 2, 2), "val": (10, 0, 0), None: (30, 0, 0)} and report.rows == 90
+    assert {tuple(r) for r in report.as_frame(spark).collect()} == {tuple(r) for r in validate_pack(df, ["a", "b"]).collect()}
+    with pytest.raises(RuntimeError, match="missing feature"):
+        report.require()
+    good = df.where("split = 'val'")
+    assert write_checked_pack(good, scratch_path(spark, "checked"), ["a"], label=None).require().rows == 10
+    with pytest.raises(RuntimeError, match="no rows"):
+        write_checked_pack(df.limit(0), scratch_path(spark, "checked"), ["a"]).require()
+    with pytest.raises(RuntimeError, match="50 rows of a split other"):
+        write_checked_pack(df, scratch_path(spark, "checked"), ["a"], splits=("val", None))
+
+
+def scanned_rows(df):
+    """Rows that the scan of an executed plan gave out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        total += leaf.metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_clustered_pack_skips_files_and_row_groups(spark):
+    from sensorgrid.session import scratch_path
+    from sensorgrid.sources.packs import load_pack, write_pack
+    n = 24 * 7 * 8
+    df = spark.range(40 * n).selectExpr("concat('e', lpad(id % 40, 2, '0')) entity_id", f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id div 40) ts",
+                                        "rand(1) a", "rand(2) b", "rand(3) c", "if(id % 5 = 0, 'val', 'train') split").repartition(8)
+    plain, base = scratch_path(spark, "plain"), scratch_path(spark, "clustered")
+    write_pack(df, plain, row_group_bytes=64 << 10)
+    write_pack(df, base, cluster_by=("entity_id", "ts"), row_group_bytes=64 << 10)
+    week = dict(split="train", entities=["e07"], start=ts("2024-01-15 00:00"), end=ts("2024-01-22 00:00"))
+    got, want = load_pack(spark, base, **week), load_pack(spark, plain, **week)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 24 * 7
+    assert "PushedFilters: [" in got._jdf.queryExecution().executedPlan().toString()
+    assert scanned_rows(load_pack(spark, base, **week)) < scanned_rows(load_pack(spark, plain, **week)) / 4
+
+
 def test_metadata_roundtrip(spark):
     from sensorgrid.session import scratch_path
     from sensorgrid.sources.metadata import _meta_frame, read_metadata, write_metadata
