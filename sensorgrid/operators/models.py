@@ -392,27 +392,60 @@ def _fold_masks(df: DataFrame, key: str, n_splits: int) -> DataFrame:
                      F.count(F.lit(1)).over(group_window(key)).alias("__fn"))
 
 
+def _nested(points: list[dict]) -> list[list[dict]]:
+    """Grid points that differ in their number of trees only, together, fewest trees first."""
+    groups: dict[str, list[dict]] = {}
+    for p in points:
+        groups.setdefault(repr(sorted((k, v) for k, v in p.items() if k != "n_estimators")), []).append(p)
+    return [sorted(g, key=lambda p: p["n_estimators"] or 0) if all(p.get("n_estimators") for p in g) else g for g in groups.values()]
+
+
+def _r2(squared_error: float, n: int, variance: float) -> float | None:
+    """As the regression metrics have it: of a constant label 1 if perfect, else 0."""
+    if not n:
+        return None
+    if variance * n == 0:
+        return 1.0 if squared_error == 0 else 0.0
+    return 1 - squared_error / variance
+
+
+def fold_scores(name: str, points: list[dict], train: DataFrame, test: DataFrame) -> list[float | None]:
+    """R2 on ``test`` of each of ``points``, which differ in their number of trees only.
+
+    Boosting adds tree after tree, so the largest model's first k trees are the model of k rounds:
+    one fit and one pass over the test rows score all of them. A forest's bootstraps depend on how many trees
+    are drawn together, so its sizes are fitted one by one."""
+    if name != "GBDT" or len(points) == 1:
+        return [score(tree_estimator(name, **p).fit(train), test)["R2"] for p in points]
+    n, variance = test.agg(F.count("label"), F.var_pop("label")).first()
+    if not n:
+        return [None] * len(points)
+    errors = tree_estimator(name, **points[-1]).fit(train).evaluateEachIteration(test, "squared")
+    return [_r2(errors[min(int(p["n_estimators"]), len(errors)) - 1], n, variance) for p in points]
+
+
 def fit_tuned_tree_task(tf: TaskFrame, target: str, h: int, name: str, grid: dict, n_splits: int = 3) -> tuple:
-    """Grid search over expanding time folds (mean R2), refit best on train+val, score on test."""
+    """Grid search over expanding time folds (mean R2; ties: the earlier grid point), refit best on
+    train+val, score on test."""
     lab = label_col(target, h)
     fit_rows = _fold_masks(_fit_rows(tf, lab, ("train", "val")), tf.key, n_splits).persist()
     test = _fit_rows(tf, lab, ("test",))
     size = F.floor(F.col("__fn") / F.lit(n_splits + 1))
     t0 = time.time()
-    best, best_r2 = None, None
-    for p in _grid(grid):
-        r2s = []
+    points = _grid(grid)
+    scores = {}
+    for group in _nested(points):
+        folds = []
         for i in range(n_splits):
             start = F.col("__fn") - (F.lit(n_splits - i)) * size
             tr = fit_rows.where(F.col("__fpos") < start)
             te = fit_rows.where((F.col("__fpos") >= start) & (F.col("__fpos") < start + size))
-            m = tree_estimator(name, **p).fit(tr)
-            r2s.append(score(m, te)["R2"])
-        vals = [r for r in r2s if r is not None]
-        mean = sum(vals) / len(vals) if vals else None
-        if mean is not None and (best_r2 is None or mean > best_r2):
-            best, best_r2 = p, mean
-    best = best or _grid(grid)[0]
+            folds.append(fold_scores(name, group, tr, te))
+        for p, got in zip(group, zip(*folds)):
+            vals = [r for r in got if r is not None]
+            if vals:
+                scores[repr(p)] = sum(vals) / len(vals)
+    best = max((p for p in points if repr(p) in scores), key=lambda p: scores[repr(p)], default=points[0])
     model = tree_estimator(name, **best).fit(fit_rows)
     fit_time = time.time() - t0
     n = fit_rows.count()
@@ -489,28 +522,33 @@ def window_summary_frame(df: DataFrame, features, label: str, seq_len: int, hori
 
 
 def fit_status_classifier(spark: SparkSession, summary: DataFrame, feature_names, horizons, max_iter: int = 100,
-                          reg: float = 0.0, key="entity_id") -> DataFrame:
+                          reg: float = 0.0, key="entity_id", save_to: str | None = None, workers: int = 4) -> DataFrame:
     """Multinomial logistic regression per horizon on window summaries; metrics on test. Rows
-    with a missing feature raise."""
+    with a missing feature raise. Horizons are fitted at the same time; with ``save_to`` their
+    models are kept as ``<save_to>/status/h<h>/LogisticRegression``."""
     asm = VectorAssembler(inputCols=list(feature_names), outputCol="features", handleInvalid="keep")
     base = asm.transform(summary).select(q(key), "split", "features", *[f"cls__h{h}" for h in horizons])
     base = base.checkpoint(eager=True)
     require_complete(base, feature_names, key)
-    rows = []
-    for h in horizons:
+
+    def one(h):
         lab = f"cls__h{h}"
         d = base.where(F.col(lab).isNotNull()).select("split", "features", F.col(lab).cast("double").alias("label"))
         t0 = time.time()
         m = LogisticRegression(family="multinomial", maxIter=max_iter, regParam=reg, standardization=True,
                                featuresCol="features", labelCol="label").fit(d.where(F.col("split") == "train"))
         ft = time.time() - t0
+        if save_to:
+            save_model(m, f"{save_to}/status/h{int(h)}/LogisticRegression")
         pr = m.transform(d.where(F.col("split") == "test")).select(
             F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
         r = metrics.classification_metrics(pr).first()
         if r is None or r["n"] is None:
-            continue
-        rows.append(("LogisticRegression", int(h), r["accuracy"], r["precision_macro"], r["recall_macro"],
-                     r["f1_macro"], r["precision_weighted"], r["recall_weighted"], r["f1_weighted"], int(r["n"]), ft))
+            return None
+        return ("LogisticRegression", int(h), r["accuracy"], r["precision_macro"], r["recall_macro"],
+                r["f1_macro"], r["precision_weighted"], r["recall_weighted"], r["f1_weighted"], int(r["n"]), ft)
+    with ThreadPoolExecutor(max_workers=task_workers(workers)) as ex:
+        rows = [r for r in ex.map(one, horizons) if r is not None]
     return spark.createDataFrame(rows, CLS_SCHEMA)
 
 
@@ -528,5 +566,5 @@ def load_model(kind: str, path: str):
     cls = {"LinearRegression": LinearRegressionModel, "Ridge": LinearRegressionModel, "Lasso": LinearRegressionModel,
            "ElasticNet": LinearRegressionModel, "LinearSVR": LinearRegressionModel,
            "DecisionTree": DecisionTreeRegressionModel, "RandomForest": RandomForestRegressionModel,
-           "GBDT": GBTRegressionModel, "LogisticRegression": LogisticRegressionModel}[kind]
+           "GBDT": GBTRegressionModel, "LogisticRegression": LogisticRegressionModel}[kind.removesuffix("_TUNED")]
     return cls.load(path)

@@ -7,10 +7,12 @@
 ``prepare`` writes ``cleaned`` (parquet), ``features/trees`` and ``features/nn``
 (parquet partitioned by split) and ``artifacts`` (JSON metadata). ``regress``
 scores the persistence forecast, fits every (pollutant x horizon) task, saves the
-fitted models, writes one results CSV per model family, then the merged
+fitted models and enters each finished task in a ledger (a rerun fits only what is
+missing there), writes one results CSV per model family, then the merged
 leaderboard, winners, family winners and averages; ``--models tuned`` adds the grid
 searches of both tree families over the full grids. ``classify``
-writes the naive and classifier scores as a comparison CSV and nested JSON.
+writes the naive and classifier scores as a comparison CSV and nested JSON and saves the
+classifiers.
 Paths may be any Hadoop filesystem URI; intermediate state goes to
 ``spark.checkpoint.dir``.
 """
@@ -30,7 +32,7 @@ from sensorgrid.plans.prepare import (PrepareConfig, clean_readings, clean_readi
                                       feature_pack_blocked, pack_columns, scaled_pack)
 from sensorgrid.sources.csv_eu import read_eu_csv
 from sensorgrid.sources.metadata import pack_metadata, write_metadata
-from sensorgrid.sources.packs import load_pack, write_pack, write_table
+from sensorgrid.sources.packs import load_pack, write_checked_pack, write_table
 from sensorgrid.sources.results import read_result_tables, write_result_table
 
 HORIZONS = (1, 6, 12, 24)
@@ -72,16 +74,19 @@ def prepare_job(spark: SparkSession, csv: str, out: str, cfg: PrepareConfig | No
         write_table(clean_readings(raw, cfg), f"{base}/cleaned")
         cleaned_r = spark.read.parquet(f"{base}/cleaned")
         pk = feature_pack(cleaned_r, cfg)
-    write_pack(pk, base, "trees")
+    # rows, missing features and bad labels are counted by the writes themselves
+    feats = pack_columns(pk)
+    written = write_checked_pack(pk, base, feats, "trees")
     trees = spark.read.parquet(f"{base}/features/trees")
-    write_pack(scaled_pack(trees, scope=scale_scope), base, "nn")
-    n_feat = len(pack_columns(trees))
-    meta = pack_metadata(cleaned_r, trees, cfg.target, cfg.features, cfg.lags, cfg.rolls, cfg.thresholds,
-                         n_features=n_feat, rule=split_rule(cfg))
+    scaled = write_checked_pack(scaled_pack(trees, scope=scale_scope), base, feats, "nn")
+    if scaled.rows != written.rows:
+        raise RuntimeError(f"{base}: {written.rows} rows in the raw pack, {scaled.rows} in the scaled one")
+    meta = pack_metadata(cleaned_r, written.rows, cfg.target, cfg.features, cfg.lags, cfg.rolls, cfg.thresholds,
+                         n_features=len(feats), rule=split_rule(cfg))
     write_metadata(meta, f"{base}/artifacts")
     r = meta.first().asDict()
     return {"co_column": r["co_column"], "features": r["priority_features"], "rows_total": r["rows_total"],
-            "rows_after_warmup": r["rows_after_warmup"], "X_shape": r["X_trees_shape"]}
+            "rows_after_warmup": r["rows_after_warmup"], "X_shape": r["X_trees_shape"], "packs": {"trees": written.by_split, "nn": scaled.by_split}}
 
 
 def split_rule(cfg: PrepareConfig) -> str:
@@ -102,6 +107,7 @@ def regression_job(spark: SparkSession, pack_dir: str, out: str, pollutants=None
                    trees=("DecisionTree", "RandomForest", "GBDT"), workers: int = 4, models=MODELS,
                    tuned_grids: dict | None = None) -> dict:
     from sensorgrid.operators import models as M
+    from sensorgrid.plans.ledger import Ledger
     from sensorgrid.plans.regression import linear_suite, linear_svr_equiv, persistence_suite, tree_suite, tuned_tree_suite
     base = pack_dir.rstrip("/")
     cleaned = spark.read.parquet(f"{base}/cleaned")
@@ -120,19 +126,22 @@ def regression_job(spark: SparkSession, pack_dir: str, out: str, pollutants=None
     tf_nn = M.build_task_frame(nn_pack.select("entity_id", "ts", "split", *feats), feats, tasks, labels=labels)
     res = out.rstrip("/")
     saved = f"{res}/models"
+    # a rerun of a job that was stopped fits only what its ledger lacks
+    book = Ledger(spark, f"{res}/ledger")
+    ledger, ledger_nn = book.of(tf), book.of(tf_nn)
     written = {}
     if "persistence" in models:
         written["persistence"] = persistence_suite(cleaned, trees_pack, tasks)
     if "linear" in models and linear:
-        written["linear"] = linear_suite(spark, tf, names=linear, workers=workers, save_to=saved)
+        written["linear"] = linear_suite(spark, tf, names=linear, workers=workers, save_to=saved, ledger=ledger)
     if "trees" in models and trees:
-        written["trees"] = tree_suite(spark, tf, names=trees, workers=workers, save_to=saved)
+        written["trees"] = tree_suite(spark, tf, names=trees, workers=workers, save_to=saved, ledger=ledger)
     if "svr" in models:
-        written["svr"] = linear_svr_equiv(spark, tf_nn, workers=workers)
+        written["svr"] = linear_svr_equiv(spark, tf_nn, workers=workers, save_to=saved, ledger=ledger_nn)
     if "tuned" in models:
         grids = tuned_grids or {"RandomForest": M.RF_GRID, "GBDT": M.GBDT_GRID}
         # kept beside the results under the name the merge skips, as the reference does
-        tuned = tuned_tree_suite(spark, tf, grids, workers=workers, save_to=saved)
+        tuned = tuned_tree_suite(spark, tf, grids, workers=workers, save_to=saved, ledger=ledger)
         write_result_table(tuned.withColumn("params", F.to_json("params")), f"{res}/results/tuned_tree_results.csv")
     for fam, df in written.items():
         write_result_table(df.drop("params"), f"{res}/results/{fam}_results.csv")
@@ -178,7 +187,7 @@ def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: in
     feats = [c for c in pack_columns(nn) if "__lag" not in c and "__roll" not in c]
     naive = naive_class_scores(nn, horizons)
     summary, names = M.window_summary_frame(nn, feats, "target_cls", seq_len, horizons, key=["entity_id", "split"])
-    clf = M.fit_status_classifier(spark, summary, names, horizons)
+    clf = M.fit_status_classifier(spark, summary, names, horizons, save_to=f"{out.rstrip('/')}/models")
     cols = ["model", "horizon_h", "accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
             "recall_weighted", "f1_weighted"]
     scores = naive.select(*cols).unionByName(clf.select(*cols)).persist()

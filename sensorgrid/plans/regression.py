@@ -37,67 +37,78 @@ def task_frame(cleaned: DataFrame, cfg: PrepareConfig, tasks, scaled: bool = Fal
     return M.build_task_frame(pk, feats, tasks, key=cfg.key, ts=cfg.ts)
 
 
-def _kept(result: tuple, folder: str | None) -> tuple:
-    """The score row of a fit, its model saved under ``folder`` if given."""
-    row, model = result
-    if folder:
-        M.save_model(model, f"{folder}/{row[1]}/h{row[2]}/{row[0]}")
-    return row
+def _once(what: dict, fit, save_to: str | None = None, ledger=None) -> tuple:
+    """The score row of ``fit()`` (row, model), its model saved under ``save_to`` if given. With a
+    ``ledger`` (:class:`sensorgrid.plans.ledger.TaskLedger`) a task entered there isn't fitted again."""
+    def work():
+        row, model = fit()
+        path = M.save_model(model, f"{save_to}/{row[1]}/h{row[2]}/{row[0]}") if save_to else None
+        return row, path
+    return ledger.once(what, work) if ledger else work()[0]
 
 
 def linear_suite(spark: SparkSession, tf: M.TaskFrame, names=tuple(M.LINEAR_GRIDS), grids: dict | None = None,
-                 workers: int = 4, save_to: str | None = None) -> DataFrame:
+                 workers: int = 4, save_to: str | None = None, ledger=None) -> DataFrame:
     """Every linear model on every task. One pass over the fit rows serves all grids: its time is
     shared out evenly over the fits' ``fit_time_s``."""
+    grid_of = lambda n: M.LINEAR_GRIDS.get(n, {}) if grids is None else grids.get(n, {})
+    what = lambda t, h, n: {"model": n, "target": t, "horizon": h, "grid": grid_of(n)}
     jobs = [(t, h, n) for (t, h) in tf.tasks for n in names]
+    left = [j for j in jobs if not (ledger and ledger.has(what(*j)))]
     t0 = time.time()
-    moments = M.second_moments(tf) if any((M.LINEAR_GRIDS if grids is None else grids).get(n) for n in names) else None
-    share = (time.time() - t0) / max(1, len(jobs))
+    moments = M.second_moments(tf) if any(grid_of(n) for _, _, n in left) else None
+    share = (time.time() - t0) / max(1, len(left))
 
     def one(job):
         t, h, n = job
-        g = None if grids is None else grids.get(n, {})
-        row, model = M.fit_linear_task(tf, t, h, n, g, moments)
-        at = M.SCORE_SCHEMA.names.index("fit_time_s")
-        return _kept(((*row[:at], row[at] + share, *row[at + 1:]), model), save_to)
+
+        def fit():
+            row, model = M.fit_linear_task(tf, t, h, n, grid_of(n), moments)
+            at = M.SCORE_SCHEMA.names.index("fit_time_s")
+            return (*row[:at], row[at] + share, *row[at + 1:]), model
+        return _once(what(*job), fit, save_to, ledger)
     return M.run_tasks(spark, one, jobs, workers)
 
 
 def tree_suite(spark: SparkSession, tf: M.TaskFrame, names=tuple(M.TREE_SPECS), params: dict | None = None,
-               workers: int = 4, save_to: str | None = None) -> DataFrame:
+               workers: int = 4, save_to: str | None = None, ledger=None) -> DataFrame:
     jobs = [(t, h, n) for (t, h) in tf.tasks for n in names]
 
     def one(job):
         t, h, n = job
-        p = None if params is None else params.get(n)
-        return _kept(M.fit_tree_task(tf, t, h, n, p), save_to)
+        p = dict(M.TREE_SPECS.get(n, {}) if params is None or params.get(n) is None else params[n])
+        return _once({"model": n, "target": t, "horizon": h, "params": p}, lambda: M.fit_tree_task(tf, t, h, n, p), save_to, ledger)
     return M.run_tasks(spark, one, jobs, workers)
 
 
 def linear_svr_equiv(spark: SparkSession, tf_scaled: M.TaskFrame, C: float = M.LINEAR_SVR["C"],
-                     workers: int = 4) -> DataFrame:
+                     workers: int = 4, save_to: str | None = None, ledger=None) -> DataFrame:
     """LinearSVR(eps=0, squared loss, C) = ridge with alpha = 1 / (2C) on standardised features."""
     alpha = 1.0 / (2.0 * C)
 
     def one(job):
         t, h = job
-        lab = M.label_col(t, h)
-        train = M._fit_rows(tf_scaled, lab, ("train",))
-        test = M._fit_rows(tf_scaled, lab, ("test",))
-        n, s = M._label_stats(train)
-        t0 = time.time()
-        model = M.linear_estimator("LinearSVR", n, s, alpha=alpha).fit(train)
-        return M._row("LinearSVR", t, h, M.score(model, test), time.time() - t0, n, {"C": C, "epsilon": 0.0})
+
+        def fit():
+            lab = M.label_col(t, h)
+            train = M._fit_rows(tf_scaled, lab, ("train",))
+            test = M._fit_rows(tf_scaled, lab, ("test",))
+            n, s = M._label_stats(train)
+            t0 = time.time()
+            model = M.linear_estimator("LinearSVR", n, s, alpha=alpha).fit(train)
+            return M._row("LinearSVR", t, h, M.score(model, test), time.time() - t0, n, {"C": C, "epsilon": 0.0}), model
+        return _once({"model": "LinearSVR", "target": t, "horizon": h, "C": C}, fit, save_to, ledger)
     return M.run_tasks(spark, one, list(tf_scaled.tasks), workers)
 
 
 def tuned_tree_suite(spark: SparkSession, tf: M.TaskFrame, grids: dict, n_splits: int = 3,
-                     workers: int = 2, save_to: str | None = None) -> DataFrame:
+                     workers: int = 2, save_to: str | None = None, ledger=None) -> DataFrame:
     jobs = [(t, h, n) for (t, h) in tf.tasks for n in grids]
 
     def one(job):
         t, h, n = job
-        return _kept(M.fit_tuned_tree_task(tf, t, h, n, grids[n], n_splits), save_to)
+        return _once({"model": n, "target": t, "horizon": h, "grid": grids[n], "folds": n_splits},
+                     lambda: M.fit_tuned_tree_task(tf, t, h, n, grids[n], n_splits), save_to, ledger)
     return M.run_tasks(spark, one, jobs, workers)
 
 

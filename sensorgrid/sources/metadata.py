@@ -21,11 +21,12 @@ META_SCHEMA = StructType([
 ])
 
 
-def pack_metadata(cleaned: DataFrame, pack: DataFrame, target: str, features, lags, rolls,
+def pack_metadata(cleaned: DataFrame, pack: DataFrame | int, target: str, features, lags, rolls,
                   thresholds=(1.5, 2.5), n_features: int | None = None, rule: str = "") -> DataFrame:
-    """One-row metadata frame. Pass the written tables: their two counts then read file footers only."""
+    """One-row metadata frame. Pass the written tables: their two counts then read file footers only.
+    In place of the pack its number of rows will do, with ``n_features``."""
     n_feat = n_features if n_features is not None else len(pack.columns)
-    rows_total, rows_after = cleaned.count(), pack.count()
+    rows_total, rows_after = cleaned.count(), pack if isinstance(pack, int) else pack.count()
     return _meta_frame(cleaned.sparkSession, target, features, lags, rolls, thresholds, n_feat, rule,
                        rows_total, rows_after)
 

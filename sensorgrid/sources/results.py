@@ -17,6 +17,11 @@ from sensorgrid.session import cut_lineage
 SKIP_NAME = "tuned_tree_results"  # fixed value: file-name marker of tuned tables, skipped by the merge
 
 
+def path_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def list_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
     """Sorted paths of entries under ``folder`` whose name ends with ``suffix``."""
     jvm = spark.sparkContext._jvm

@@ -59,6 +59,7 @@ def test_prepare_regress_classify(spark, raw_csv):
     assert info["features"] == EXPECTED_FEATURES
     assert info["rows_total"] == 24 * 62 and info["rows_after_warmup"] == 24 * 62 - 24
     assert info["X_shape"] == [24 * 62 - 24, 185]
+    assert info["packs"]["trees"]["test"][0] == 24 * 31 and sum(c[1] for p in info["packs"].values() for c in p.values()) == 0
     cleaned = spark.read.parquet(f"{out}/cleaned")
     assert cleaned.where("__gap = 1").count() == 5
     splits = {r.split: r["count"] for r in spark.read.parquet(f"{out}/features/trees").groupBy("split").count().collect()}
@@ -79,7 +80,15 @@ def test_prepare_regress_classify(spark, raw_csv):
     assert M.load_model("Ridge", f"{res}/models/CO(GT)/h6/Ridge").numFeatures == 185
     again = jobs.leaderboard_job(spark, f"{res}/results", scratch_path(spark, "uci-again"))
     assert again == {k: v for k, v in counts.items()}
-    acc = jobs.classification_job(spark, out, scratch_path(spark, "uci-cls"), horizons=(1, 6))
+    # a second run of the job fits nothing: its ledger has every task
+    before = {r.task for r in spark.read.option("recursiveFileLookup", True).parquet(f"{res}/ledger").collect()}
+    assert len(before) == 4 * 4
+    rerun = jobs.regression_job(spark, out, res, pollutants=["CO(GT)", "NO2(GT)"], horizons=(1, 6),
+                                linear=("LinearRegression", "Ridge"), trees=("DecisionTree",))
+    assert rerun == counts and {r.task for r in spark.read.option("recursiveFileLookup", True).parquet(f"{res}/ledger").collect()} == before
+    cls = scratch_path(spark, "uci-cls")
+    acc = jobs.classification_job(spark, out, cls, horizons=(1, 6))
+    assert M.load_model("LogisticRegression", f"{cls}/models/status/h6/LogisticRegression").numClasses >= 2
     assert set(acc) == {"Naive@1h", "Naive@6h", "LogisticRegression@1h", "LogisticRegression@6h"}
     assert all(0.0 <= v <= 1.0 for v in acc.values())
 

@@ -103,3 +103,84 @@ def test_second_moments_solve_the_same_models(spark):
 
 def test_frame_partitions_follow_the_rows():
     assert [M.frame_partitions(n) for n in (0, 1, 256, 257, 2085, 10 ** 5, 6_400_000, 10 ** 8)] == [1, 1, 1, 2, 9, 64, 64, 1000]
+
+
+def small_frame(spark, n=240, seed=2):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 3))
+    y = np.sin(x[:, 0]) * 3 + x[:, 1] ** 2 + rng.normal(size=n) * 0.3
+    rows = [("s", i, "train" if i < 140 else "val" if i < 180 else "test", i, Vectors.dense(x[i].tolist()), float(y[i]), float(-y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, ["entity_id", "ts", "split", "__pos", "features", "y__a__h1", "y__b__h1"])
+    return M.TaskFrame(df.coalesce(2).cache(), ["f0", "f1", "f2"], [("a", 1), ("b", 1)])
+
+
+def test_prefixes_of_a_boosting_are_the_smaller_models(spark):
+    tf = small_frame(spark)
+    fit, test = M._fit_rows(tf, "y__a__h1", ("train",)), M._fit_rows(tf, "y__a__h1", ("val",))
+    points = [{"n_estimators": n, "learning_rate": 0.3, "max_depth": 2, "subsample": 0.8} for n in (2, 5, 9)]
+    each = [M.score(M.tree_estimator("GBDT", **p).fit(fit), test)["R2"] for p in points]
+    assert np.allclose(M.fold_scores("GBDT", points, fit, test), each, rtol=0, atol=1e-6)
+    assert len(set(np.round(each, 6))) == 3
+    nothing = test.where("label is null")
+    assert M.fold_scores("GBDT", points, fit, nothing) == [None] * 3
+    flat = test.selectExpr("entity_id", "__pos", "features", "1.0 label")
+    assert M.fold_scores("GBDT", points, fit, flat) == [0.0] * 3
+
+
+def test_tuning_groups_points_by_their_trees(spark, monkeypatch):
+    grid = {"n_estimators": [6, 2], "max_depth": [1, 2], "learning_rate": [0.3]}
+    assert [[p["n_estimators"] for p in g] for g in M._nested(M._grid(grid))] == [[2, 6], [2, 6]]
+    assert M._nested([{}]) == [[{}]]
+    tf, fits = small_frame(spark), []
+    real = M.tree_estimator
+
+    def counting(name, **p):
+        fits.append(p)
+        return real(name, **p)
+    monkeypatch.setattr(M, "tree_estimator", counting)
+    row, model = M.fit_tuned_tree_task(tf, "a", 1, "GBDT", grid, n_splits=2)
+    assert len(fits) == 2 * 2 + 1 and row[0] == "GBDT_TUNED" and model.getNumTrees == int(row[-1]["n_estimators"])
+    monkeypatch.setattr(M, "_nested", lambda points: [[p] for p in points])
+    again, _ = M.fit_tuned_tree_task(tf, "a", 1, "GBDT", grid, n_splits=2)
+    assert again[-1] == row[-1] and len(fits) == 5 + 4 * 2 + 1
+
+
+def test_a_stopped_suite_goes_on_where_it_was(spark, monkeypatch):
+    from sensorgrid.plans.ledger import Ledger
+    from sensorgrid.plans.regression import linear_suite, tree_suite
+    from sensorgrid.session import scratch_path
+    tf, base = small_frame(spark), scratch_path(spark, "ledger")
+    table = lambda df: sorted((tuple(r)[:7], tuple(r)[8:10], tuple(r.params.items())) for r in df.collect())
+    names, specs = ("LinearRegression", "Ridge"), {"DecisionTree": {"max_depth": 3}}
+    suites = lambda book=None, frame=tf: (
+        table(linear_suite(spark, frame, names, workers=1, save_to=f"{base}/models", ledger=book)),
+        table(tree_suite(spark, frame, ("DecisionTree",), specs, workers=1, save_to=f"{base}/models", ledger=book)))
+    want = suites()
+    saved, real = [], M.save_model
+
+    def stops(model, path):
+        if len(saved) == 3:
+            raise RuntimeError("stopped")
+        saved.append(path)
+        return real(model, path)
+    monkeypatch.setattr(M, "save_model", stops)
+    with pytest.raises(RuntimeError, match="stopped"):
+        suites(Ledger(spark, f"{base}/ledger").of(tf))
+    assert len(Ledger(spark, f"{base}/ledger").done) == 3
+
+    def goes_on(model, path):
+        saved.append(path)
+        return real(model, path)
+    monkeypatch.setattr(M, "save_model", goes_on)
+    assert suites(Ledger(spark, f"{base}/ledger").of(tf)) == want
+    assert len(saved) == 6 and len(set(saved)) == 6  # nothing was fitted twice
+    book = Ledger(spark, f"{base}/ledger")
+    monkeypatch.setattr(M, "second_moments", lambda _: pytest.fail("nothing is left to fit"))
+    assert suites(book.of(tf)) == want and len(saved) == 6
+    monkeypatch.undo()
+    paths = {r.model_path for r in book.entries().collect()}
+    assert paths == set(saved) and M.load_model("Ridge", f"{base}/models/a/h1/Ridge").numFeatures == 3
+    # other rows or settings are other tasks
+    other = small_frame(spark, seed=3)
+    assert book.of(other).data != book.of(tf).data and book.of(small_frame(spark)).data == book.of(tf).data
+    assert not book.of(tf).has({"model": "Ridge", "target": "a", "horizon": 1, "grid": {"alpha": [5.0]}})
