@@ -42,6 +42,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, MapType, Strin
                                StructType)
 
 from sensorgrid.operators import metrics
+from sensorgrid.operators.blocked import blockwise
 from sensorgrid.operators.common import as_list, group_window, q, series_window
 
 SEED = 42  # fixed value: the reference's random seed
@@ -503,10 +504,19 @@ CLS_SCHEMA = StructType([
 
 
 def window_summary_frame(df: DataFrame, features, label: str, seq_len: int, horizons, key="entity_id",
-                         ts="ts") -> tuple[DataFrame, list[str]]:
+                         ts="ts", block_hours: int | None = None) -> tuple[DataFrame, list[str]]:
     """Summary of each full ``seq_len`` window: last value, mean, sample std per feature, plus
     the label ``h`` rows after the window end for each horizon (``cls__h<h>``). With ``split``
-    among the keys windows and labels stay inside their split."""
+    among the keys windows and labels stay inside their split. ``block_hours``: the same rows
+    from blocks of that many hours of a series on the hourly grid, so that no task holds a series."""
+    if block_hours:
+        names: list[str] = []
+
+        def summary(block: DataFrame, keys) -> DataFrame:
+            out, found = window_summary_frame(block, features, label, seq_len, horizons, keys, ts)
+            names[:] = found
+            return out
+        return blockwise(df, summary, block_hours, seq_len - 1, max(horizons), key, ts), names
     w = series_window(key, ts)
     fr = w.rowsBetween(-(seq_len - 1), 0)
     cols, names = [], []

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sensorgrid.operators import metrics
 from sensorgrid.operators import models as M
 from sensorgrid.operators.targets import persistence_forecast
-from sensorgrid.plans.prepare import PrepareConfig, feature_pack
+from sensorgrid.plans.prepare import PrepareConfig, feature_pack, feature_pack_blocked
 
 HORIZONS = (1, 6, 12, 24)
 
@@ -32,9 +32,10 @@ def naive_class_scores(pack: DataFrame, horizons=HORIZONS, split: str | None = "
 
 def status_classifier(spark: SparkSession, cleaned: DataFrame, cfg: PrepareConfig, features, seq_len: int = 24,
                       horizons=HORIZONS, max_iter: int = 100) -> DataFrame:
-    """Fit + score the multinomial classifier for every horizon (one row per horizon)."""
-    pk = feature_pack(cleaned, cfg)
-    summary, names = M.window_summary_frame(pk, features, "target_cls", seq_len, horizons, [cfg.key, "split"], cfg.ts)
+    """Fit + score the multinomial classifier for every horizon (one row per horizon); pack and
+    summaries in blocks of ``cfg.block_hours`` if set."""
+    pk = feature_pack_blocked(cleaned, cfg) if cfg.block_hours else feature_pack(cleaned, cfg)
+    summary, names = M.window_summary_frame(pk, features, "target_cls", seq_len, horizons, [cfg.key, "split"], cfg.ts, cfg.block_hours)
     return M.fit_status_classifier(spark, summary, names, horizons, max_iter=max_iter)
 
 

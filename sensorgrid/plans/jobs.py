@@ -2,7 +2,7 @@
 
   python -m sensorgrid.plans.jobs prepare  --csv RAW.csv --out PACK_DIR [--entity station_1] [--block-hours N]
   python -m sensorgrid.plans.jobs regress  --pack PACK_DIR --out RESULTS_DIR [--models persistence linear trees svr tuned] [--horizons 1 6 12 24]
-  python -m sensorgrid.plans.jobs classify --pack PACK_DIR --out RESULTS_DIR [--seq-len 24]
+  python -m sensorgrid.plans.jobs classify --pack PACK_DIR --out RESULTS_DIR [--seq-len 24] [--block-hours N]
 
 ``prepare`` writes ``cleaned`` (parquet), ``features/trees`` and ``features/nn``
 (parquet partitioned by split) and ``artifacts`` (JSON metadata). ``regress``
@@ -178,7 +178,8 @@ def leaderboard_job(spark: SparkSession, results_dir: str, out: str) -> dict:
     return counts
 
 
-def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: int = 24, horizons=HORIZONS) -> dict:
+def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: int = 24, horizons=HORIZONS,
+                       block_hours: int | None = None) -> dict:
     from sensorgrid.operators import models as M
     from sensorgrid.plans.classification import comparison_table, naive_class_scores, write_results_json
     base = pack_dir.rstrip("/")
@@ -186,7 +187,7 @@ def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: in
     # base features + calendar (lags / rolling columns are window summaries already)
     feats = [c for c in pack_columns(nn) if "__lag" not in c and "__roll" not in c]
     naive = naive_class_scores(nn, horizons)
-    summary, names = M.window_summary_frame(nn, feats, "target_cls", seq_len, horizons, key=["entity_id", "split"])
+    summary, names = M.window_summary_frame(nn, feats, "target_cls", seq_len, horizons, key=["entity_id", "split"], block_hours=block_hours)
     clf = M.fit_status_classifier(spark, summary, names, horizons, save_to=f"{out.rstrip('/')}/models")
     cols = ["model", "horizon_h", "accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
             "recall_weighted", "f1_weighted"]
@@ -215,6 +216,7 @@ def main(argv=None) -> None:
     c.add_argument("--pack", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--seq-len", type=int, default=24)
+    c.add_argument("--block-hours", type=int, default=None)
     for s in (p, r, c):
         s.add_argument("--master", default=None)
     a = ap.parse_args(argv)
@@ -225,7 +227,7 @@ def main(argv=None) -> None:
     elif a.cmd == "regress":
         print(regression_job(spark, a.pack, a.out, horizons=tuple(a.horizons), models=tuple(a.models)))
     else:
-        print(classification_job(spark, a.pack, a.out, a.seq_len))
+        print(classification_job(spark, a.pack, a.out, a.seq_len, block_hours=a.block_hours))
 
 
 if __name__ == "__main__":

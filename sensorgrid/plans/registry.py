@@ -456,6 +456,30 @@ def q_validate_pack(spark, sf):
     return validate_pack(p, feats)
 
 
+@register("validate_pack_on_write", ORACLE["validate_pack"])
+def q_validate_on_write(spark, sf):
+    """The same counts as metrics of the job that writes the pack: nothing is read again."""
+    from sensorgrid.session import scratch_path
+    from sensorgrid.sources.packs import write_checked_pack
+    feats = [c for c, d in _PACK_COLS if d and c != "target_reg"]
+    return write_checked_pack(pack(spark, sf), scratch_path(spark, "checked-pack"), feats).as_frame(spark)
+
+
+@register("load_pack_week", O.with_(_PACK_CTES, O.final(_PACK_COLS, "pack", "split = 'train' AND entity_id = 'click' AND "
+                                    "ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'")))
+def q_load_pack_week(spark, sf):
+    """One series and week of a pack clustered by (series, time): the comparisons reach the scan."""
+    import datetime as dt
+    from sensorgrid.session import scratch_path
+    from sensorgrid.sources.packs import load_pack, write_pack
+    plain, base = scratch_path(spark, "pack"), scratch_path(spark, "clustered-pack")
+    write_pack(pack(spark, sf), plain, "trees")
+    written = load_pack(spark, plain, "trees", split=None)
+    write_pack(written, base, "trees", cluster_by=("entity_id", "ts"))
+    out = load_pack(spark, base, "trees", "train", entities=["click"], start=dt.datetime(2024, 1, 8), end=dt.datetime(2024, 1, 15))
+    return finish(out.select(*[c for c, _ in _PACK_COLS]))
+
+
 _SPLIT_PRE, _SPLIT_EXPR = O.split_sql(TEST_START)
 
 
@@ -1079,6 +1103,27 @@ def q_status_classifier(spark, sf):
     return status_classifier(spark, supplier_series(spark, sf), CFG_SUPPLIER, CFG_SUPPLIER.features)
 
 
+_IN_SPLIT = "OVER (PARTITION BY entity_id, split ORDER BY ts"
+_LAST_DAY = _IN_SPLIT + " ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)"
+
+
+def _window_summaries(spark, sf, block_hours=None):
+    from sensorgrid.operators import models as M
+    out, names = M.window_summary_frame(pack(spark, sf), S, "target_cls", 24, (1, 24), ["entity_id", "split"], block_hours=block_hours)
+    return finish(out.select("entity_id", "split", "ts", *names, "cls__h1", "cls__h24"))
+
+
+@register("window_summaries", O.with_(_PACK_CTES, "SELECT entity_id, split, ts, " + ", ".join(
+    f"{O.r6(c)} AS {c}__last, " + O.r6(f"avg({c}) {_LAST_DAY}") + f" AS {c}__wmean, "
+    + O.r6(f"coalesce(stddev_samp({c}) {_LAST_DAY}, 0)") + f" AS {c}__wstd" for c in S)
+    + "".join(f", lead(target_cls, {h}) {_IN_SPLIT}) AS cls__h{h}" for h in (1, 24))
+    + f" FROM pack QUALIFY count(*) {_LAST_DAY} = 24"))
+def q_window_summaries(spark, sf):
+    """What the status classifier is fitted on: last value, mean and standard deviation of each full
+    day's window of every sensor, and the class 1 and 24 hours on, all inside one split."""
+    return _window_summaries(spark, sf)
+
+
 # ----------------------------------------------------------------------------- time-blocked execution
 
 BLOCK_HOURS = 72  # ten blocks per month-long series: every block boundary is exercised
@@ -1086,6 +1131,12 @@ CFG_BLOCKED = PrepareConfig(sensors=list(td.SENSORS), target="n_events", feature
                             fit_years=(), test_years=(), test_start=TEST_START, block_hours=BLOCK_HOURS)
 
 
+@register("window_summaries_blocked", ORACLE["window_summaries"])
+def q_window_summaries_blocked(spark, sf):
+    """The same rows by (series, block): no task holds a series."""
+    return _window_summaries(spark, sf, BLOCK_HOURS)
+
+
 @register("forward_fill_blocked", ORACLE["forward_fill"])
 def q_ffill_blocked(spark, sf):
     """``forward_fill`` with per-(series, block) windows: same rows as the whole-series plan."""

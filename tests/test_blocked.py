@@ -72,3 +72,19 @@ def test_non_constant_columns(spark):
     df = spark.createDataFrame([("e", dt.datetime(2004, 1, 1), 1.0, 5.0), ("e", dt.datetime(2004, 1, 2), 2.0, 5.0)], SCHEMA)
     got = {r.column: r.varying for r in clean.non_constant_columns(df, ["a", "b"]).collect()}
     assert got == {"a": True, "b": False}
+
+
+def test_window_summaries_in_blocks_equal_plain(spark):
+    from sensorgrid.operators.models import window_summary_frame
+    t0 = dt.datetime(2004, 3, 1)
+    rows = [(e, t0 + pd.Timedelta(hours=i), "train" if i < 61 else "val" if i < 75 else "test", None if i % 11 == 3 else float((i * 7) % 13), i % 3)
+            for e, n in (("hot", 150), ("cold", 30), ("one", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "entity_id string, ts timestamp_ntz, split string, a double, cls int")
+    plain, names = window_summary_frame(df, ["a"], "cls", 6, (1, 24), ["entity_id", "split"])
+    cols = ["entity_id", "split", "ts", *names, "cls__h1", "cls__h24"]
+    key = lambda d: sorted((tuple(r) for r in d.select(*cols).collect()), key=str)
+    want = key(plain)
+    assert len(want) == 56 + 9 + 70 + 25
+    for width in (4, 16, 500):
+        got, found = window_summary_frame(df, ["a"], "cls", 6, (1, 24), ["entity_id", "split"], block_hours=width)
+        assert found == names and key(got) == want
