@@ -173,6 +173,16 @@ def residual_histogram(df: DataFrame, y: str = "y_true", p: str = "y_pred", bins
                     (F.lit(lo) + F.col("bin") * F.lit(width)).alias("hi"), "n")
 
 
+def value_spans(df: DataFrame, y: str = "y_true", p: str = "y_pred", by=None) -> DataFrame:
+    """Least and greatest truth and prediction of the pairs that have both, and the span of the two
+    together (the diagonal of a truth / prediction plot), one row per ``by`` group."""
+    a, b = q(y).cast("double"), q(p).cast("double")
+    keys = [q(k) for k in as_list(by)]
+    spans = df.where(_both(a, b)).groupBy(*keys).agg(
+        F.min(a).alias("y_true_min"), F.max(a).alias("y_true_max"), F.min(b).alias("y_pred_min"), F.max(b).alias("y_pred_max"), F.count(F.lit(1)).alias("n"))
+    return spans.withColumns({"lo": F.least("y_true_min", "y_pred_min"), "hi": F.greatest("y_true_max", "y_pred_max")})
+
+
 # Fixed probabilities for the residual Q-Q table.
 QQ_PROBS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 

@@ -694,6 +694,14 @@ def q_hist_by_horizon(spark, sf):
     return finish(metrics.residual_histogram(_persist(spark, sf), by="horizon_h"))
 
 
+@register("value_spans", O.with_(CLEAN + [_PERSIST_SQL], "SELECT CAST(horizon_h AS INTEGER) AS horizon_h, " + ", ".join(
+    O.r6(f"{f}({c})") + f" AS {c}_{f}" for c in ("y_true", "y_pred") for f in ("min", "max")) + ", count(*) AS n, "
+    + O.r6("least(min(y_true), min(y_pred))") + " AS lo, " + O.r6("greatest(max(y_true), max(y_pred))") + " AS hi FROM persist_ok GROUP BY 1"))
+def q_value_spans(spark, sf):
+    """Least and greatest truth and forecast of every horizon, beside the residual histograms."""
+    return finish(metrics.value_spans(_persist(spark, sf), by="horizon_h"))
+
+
 @register("residual_quantiles", O.with_(CLEAN + [_PERSIST_SQL,
                                                  "qq AS (SELECT CAST(horizon_h AS INTEGER) AS horizon_h, quantile_cont(y_true - y_pred, "
                                                  + O.sql_list(list(O.QQ_PROBS)) + ") AS q FROM persist_ok GROUP BY 1)"],

@@ -136,3 +136,11 @@ def test_family_r2_pivot(spark):
             ("Ridge", "CO(GT)", 1, 0.7, 1.0, 1.0, 1.0, 3), ("Naive", "CO(GT)", 1, 0.95, 1.0, 1.0, 1.0, 4)]
     r = lb.family_r2_pivot(_scores(spark, rows)).first()
     assert (r.r2_tree, r.r2_linear_kernel, r.r2_rnn) == (0.85, 0.7, None)
+
+
+def test_value_spans_skip_pairs_with_a_missing_value(mkdf):
+    from sensorgrid.operators.metrics import value_spans
+    nan = float("nan")
+    df = mkdf([(1, 2.0, 5.0), (1, 3.0, -1.0), (1, 99.0, None), (1, nan, 99.0), (2, 4.0, 4.0), (3, None, 1.0)], "h int, y_true double, y_pred double")
+    got = {r.h: (r.y_true_min, r.y_true_max, r.y_pred_min, r.y_pred_max, r.n, r.lo, r.hi) for r in value_spans(df, by="h").collect()}
+    assert got == {1: (2.0, 3.0, -1.0, 5.0, 2, -1.0, 5.0), 2: (4.0, 4.0, 4.0, 4.0, 1, 4.0, 4.0)}

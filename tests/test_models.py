@@ -102,7 +102,7 @@ def test_second_moments_solve_the_same_models(spark):
 
 
 def test_frame_partitions_follow_the_rows():
-    assert [M.frame_partitions(n) for n in (0, 1, 256, 257, 2085, 10 ** 5, 6_400_000, 10 ** 8)] == [1, 1, 1, 2, 9, 64, 64, 1000]
+    assert [M.frame_partitions(n) for n in (0, 1, 1024, 1025, 2085, 10 ** 5, 6_400_000, 10 ** 8)] == [1, 1, 1, 2, 3, 64, 64, 1000]
 
 
 def small_frame(spark, n=240, seed=2):
