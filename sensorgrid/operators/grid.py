@@ -16,6 +16,20 @@ from sensorgrid.operators.common import as_list, group_window, q, series_window
 
 GAP_COL = "__gap"
 
+#: Grid rows of a partition: a task sorts them a few times, at some 200 bytes a row and pass.
+GRID_ROWS_PER_PARTITION = 250_000
+
+
+def grid_partitions(df: DataFrame, key="entity_id", ts="ts", step_hours: int = 1) -> int:
+    """Partitions that hold :data:`GRID_ROWS_PER_PARTITION` rows each of the grid of ``df``: one aggregate of
+    first and last times, one number to the driver.
+
+    Partitions merged by the bytes of the readings do not know how many rows the grid adds to them."""
+    b = df.groupBy(*[q(k) for k in as_list(key)]).agg(F.min(q(ts)).alias("__lo"), F.max(q(ts)).alias("__hi"))
+    rows = F.floor(F.timestamp_diff("MICROSECOND", F.col("__lo"), F.col("__hi")) / F.lit(step_hours * 3_600_000_000)) + 1
+    n = b.agg(F.sum(rows)).first()[0] or 0
+    return max(1, -(-int(n) // GRID_ROWS_PER_PARTITION))
+
 
 def hourly_grid(df: DataFrame, key="entity_id", ts="ts", step_hours: int = 1,
                 gap_col: str = GAP_COL, flag_suffix: str = MISSING_SUFFIX,

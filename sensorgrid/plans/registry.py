@@ -92,9 +92,11 @@ def daily(spark, sf):
 
 
 def supplier_series(spark, sf):
-    """One series per supplier on a daily grid, forward filled: the series count grows with the table."""
-    r = td.supplier_readings(td.read_table(spark, sf, "lineitem"))
-    return grid.forward_fill(grid.hourly_grid(r, step_hours=24), ["qty10", "price"])
+    """One series per supplier on a daily grid, forward filled: the series count grows with the table,
+    and with it the number of partitions, each of as many grid rows at any size."""
+    lines = td.read_table(spark, sf, "lineitem")
+    n = grid.grid_partitions(td.supplier_days(lines), step_hours=24)
+    return grid.forward_fill(grid.hourly_grid(td.supplier_readings(lines, n), step_hours=24), ["qty10", "price"])
 
 
 SUPPLIER_TEST_START = "2000-01-01 00:00:00"  # ship days span 1995 to 2001

@@ -112,3 +112,24 @@ def test_checked_broadcast_respects_bound(spark):
     plain = checked_broadcast(small, max_rows=1)
     assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
+
+
+def test_partitions_follow_the_rows_of_the_grid(spark, monkeypatch):
+    """Few readings far apart make many grid rows: the supplier series are dealt by those, once."""
+    from pyspark.sql import functions as F
+    from sensorgrid.operators import grid
+    from sensorgrid.plans import registry
+    from sensorgrid.sources import testdata as td
+    lines = spark.range(400).select((F.col("id") % 40).alias("l_suppkey"), (F.col("id") % 7).cast("double").alias("l_quantity"), F.lit(1.0).alias("l_extendedprice"),
+                                    F.expr("timestamp'1995-01-01' + make_interval(0, 0, 0, cast(floor(id / 40) * 100 as int))").alias("l_shipdate"))
+    assert grid.grid_partitions(td.supplier_days(lines), step_hours=24) == 1
+    assert grid.grid_partitions(td.supplier_days(lines).where("false"), step_hours=24) == 1
+    monkeypatch.setattr(grid, "GRID_ROWS_PER_PARTITION", 1000)
+    assert grid.grid_partitions(td.supplier_days(lines), step_hours=24) == 37  # 40 series of 901 days
+    monkeypatch.setattr(td, "read_table", lambda *_: lines)
+    got = registry.supplier_series(spark, "")
+    assert got.count() == 40 * 901
+    rows = got.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in rows) <= 5 * 901  # a few series each, where one partition held them all
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
