@@ -184,3 +184,15 @@ def test_a_stopped_suite_goes_on_where_it_was(spark, monkeypatch):
     other = small_frame(spark, seed=3)
     assert book.of(other).data != book.of(tf).data and book.of(small_frame(spark)).data == book.of(tf).data
     assert not book.of(tf).has({"model": "Ridge", "target": "a", "horizon": 1, "grid": {"alpha": [5.0]}})
+
+
+def test_tuned_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """Not by the session's shuffle partitions: each partition sends statistics of every tree node."""
+    tf, seen = small_frame(spark), []
+
+    def scores(name, points, train, test):
+        seen.append((train.rdd.getNumPartitions(), train.count(), test.count()))
+        return [0.5] * len(points)
+    monkeypatch.setattr(M, "fold_scores", scores)
+    row, _ = M.fit_tuned_tree_task(tf, "a", 1, "RandomForest", {"n_estimators": [2], "max_depth": [2]}, n_splits=3)
+    assert sorted(seen) == [(1, 45, 45), (1, 90, 45), (1, 135, 45)] and row[8] == 180
