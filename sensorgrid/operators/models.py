@@ -121,6 +121,13 @@ def frame_partitions(rows: int) -> int:
     return max(1, min(64, -(-rows // 1024)), -(-rows // 100_000))
 
 
+def forest_partitions(rows: int) -> int:
+    """Partitions of a forest's rows: deep trees have almost as many nodes as rows, and every partition sends
+    its statistics of every node, so partitions that grow with the rows make the shuffle grow with their
+    square. 30 trees on 2,085 rows here: 265 MB on 4 partitions, 151 MB on one, in the same time."""
+    return min(frame_partitions(rows), max(1, -(-rows // 16_384)))
+
+
 def require_complete(df: DataFrame, feature_names, key="entity_id", show: int = 5) -> None:
     """Raise if a ``features`` vector holds a missing value, naming series, column and count."""
     x = vector_to_array(F.col("features"))
@@ -381,10 +388,12 @@ def fit_tree_task(tf: TaskFrame, target: str, h: int, name: str, params: dict |
     lab = label_col(target, h)
     train, test = _fit_rows(tf, lab, ("train",)), _fit_rows(tf, lab, ("test",))
     p = dict(TREE_SPECS.get(name, {}) if params is None else params)
+    n = train.count()
+    if name == "RandomForest":
+        train = train.repartition(forest_partitions(n), q(tf.key), "__pos").sortWithinPartitions(q(tf.key), "__pos")
     t0 = time.time()
     model = tree_estimator(name, **p).fit(train)
     fit_time = time.time() - t0
-    n = train.count()
     return _row(name, target, h, score(model, test), fit_time, n, p), model
 
 

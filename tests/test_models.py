@@ -196,3 +196,22 @@ def test_tuned_rows_are_dealt_by_their_number(spark, monkeypatch):
     monkeypatch.setattr(M, "fold_scores", scores)
     row, _ = M.fit_tuned_tree_task(tf, "a", 1, "RandomForest", {"n_estimators": [2], "max_depth": [2]}, n_splits=3)
     assert sorted(seen) == [(1, 45, 45), (1, 90, 45), (1, 135, 45)] and row[8] == 180
+
+
+def test_forests_have_few_partitions(spark, monkeypatch):
+    """Every partition sends statistics of every node."""
+    assert [M.forest_partitions(n) for n in (0, 2085, 16_384, 16_385, 10 ** 6, 10 ** 8)] == [1, 1, 1, 2, 62, 1000]
+    tf, seen, real = small_frame(spark), [], M.tree_estimator
+
+    class Seen:
+        def __init__(self, est):
+            self.est = est
+
+        def fit(self, df):
+            seen.append(df.rdd.getNumPartitions())
+            return self.est.fit(df)
+    monkeypatch.setattr(M, "tree_estimator", lambda name, **p: Seen(real(name, **p)))
+    row, model = M.fit_tree_task(tf, "a", 1, "RandomForest", {"n_estimators": 3, "max_depth": 3})
+    assert seen == [1] and row[8] == 140 and model.getNumTrees == 3
+    again, _ = M.fit_tree_task(M.TaskFrame(tf.df.repartition(5), tf.feature_names, tf.tasks), "a", 1, "RandomForest", {"n_estimators": 3, "max_depth": 3})
+    assert again[3] == pytest.approx(row[3], rel=1e-12)  # the same forest however the frame lies
