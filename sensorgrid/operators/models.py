@@ -25,15 +25,19 @@ from __future__ import annotations
 
 import itertools
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
@@ -41,9 +45,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, MapType, StringType, StructField,
                                StructType)
 
-from sensorgrid.operators import metrics
+from sensorgrid.operators import metrics, softmax, windows
 from sensorgrid.operators.blocked import blockwise
 from sensorgrid.operators.common import as_list, group_window, q, series_window
+from sensorgrid.session import scratch_path
 
 SEED = 42  # fixed value: the reference's random seed
 
@@ -533,51 +538,80 @@ def window_summary_frame(df: DataFrame, features, label: str, seq_len: int, hori
             names[:] = found
             return out
         return blockwise(df, summary, block_hours, seq_len - 1, max(horizons), key, ts), names
-    w = series_window(key, ts)
-    fr = w.rowsBetween(-(seq_len - 1), 0)
-    cols, names = [], []
-    for c in as_list(features):
-        x = q(c).cast("double")
-        cols += [x.alias(f"{c}__last"), F.avg(x).over(fr).alias(f"{c}__wmean"),
-                 F.coalesce(F.stddev_samp(x).over(fr), F.lit(0.0)).alias(f"{c}__wstd")]
-        names += [f"{c}__last", f"{c}__wmean", f"{c}__wstd"]
-    labs = [F.lead(q(label), h).over(w).alias(f"cls__h{h}") for h in horizons]
+    keys, times = as_list(key), as_list(ts)
+    names, labs = _summary_names(features, horizons)
+    src = _placed_rows(df, features, label, key, ts)
+    carried = [*keys, *times, *([] if "split" in keys else ["split"])]
+    schema = StructType([src.schema[c] for c in carried] + [StructField(c, DoubleType()) for c in names]
+                        + [StructField(c, src.schema["__label"].dataType) for c in labs])
+    steps, fields = tuple(horizons), schema.names
+    n_features = len(as_list(features))
+    return src.mapInArrow(lambda rows: windows.summaries(rows, carried, n_features, seq_len, steps, fields), schema), names
+
+
+def _summary_names(features, horizons) -> tuple[list[str], list[str]]:
+    return [f"{c}__{s}" for c in as_list(features) for s in ("last", "wmean", "wstd")], [f"cls__h{h}" for h in horizons]
+
+
+def _placed_rows(df: DataFrame, features, label: str, key, ts) -> DataFrame:
+    """Keys, times, split, ``__label`` and ``__x<i>`` of every row and its place ``__pos`` in its series. The window
+    of ``__pos`` leaves each series whole and in order in one partition; tasks check it by ``__pos``."""
     keys = as_list(key)
-    out = df.select(*[q(k) for k in keys], q(ts), *([] if "split" in keys else ["split"]), F.count(F.lit(1)).over(fr).alias("__n"), *cols, *labs)
-    return out.where(F.col("__n") == seq_len).drop("__n"), names
+    return df.select(*[q(k) for k in keys], *[q(t) for t in as_list(ts)], *([] if "split" in keys else ["split"]),
+                     F.row_number().over(series_window(key, ts)).alias("__pos"), q(label).alias("__label"),
+                     *[q(c).cast("double").alias(f"__x{i}") for i, c in enumerate(as_list(features))])
+
+
+def window_blocks(df: DataFrame, features, label: str, seq_len: int, horizons, key="entity_id", ts="ts",
+                  block_hours: int | None = None) -> DataFrame:
+    """The rows of :func:`window_summary_frame` as the blocks that the classifier is fitted on: made and packed by the
+    same task, so that no summary becomes a Spark row on the way."""
+    names, labs = _summary_names(features, horizons)
+    if block_hours:
+        return softmax.to_blocks(window_summary_frame(df, features, label, seq_len, horizons, key, ts, block_hours)[0], names, labs)
+    src = _placed_rows(df, features, label, key, ts)
+    src = src.select("split", "__pos", F.col("__label").cast("int").alias("__label"), *[c for c in src.columns if c.startswith("__x")])
+    n_features, steps, fields = len(as_list(features)), tuple(horizons), ["split", *names, *labs]
+    return src.mapInArrow(lambda rows: softmax.pack(windows.summaries(rows, ["split"], n_features, seq_len, steps, fields), names, labs),
+                          softmax.BLOCK_SCHEMA)
 
 
 def fit_status_classifier(spark: SparkSession, summary: DataFrame, feature_names, horizons, max_iter: int = 100,
-                          reg: float = 0.0, key="entity_id", save_to: str | None = None, workers: int = 4) -> DataFrame:
+                          reg: float = 0.0, key="entity_id", save_to: str | None = None,
+                          blocks: DataFrame | None = None) -> DataFrame:
     """Multinomial logistic regression per horizon on window summaries; metrics on test. Rows
-    with a missing feature raise. Horizons are fitted at the same time; with ``save_to`` their
+    with a missing feature raise. The summaries (or the same as :func:`window_blocks`) are made once, as blocks
+    in the shared folder, and every pass over them serves all horizons (:mod:`sensorgrid.operators.softmax`); with ``save_to`` the
     models are kept as ``<save_to>/status/h<h>/LogisticRegression``."""
-    asm = VectorAssembler(inputCols=list(feature_names), outputCol="features", handleInvalid="keep")
-    base = asm.transform(summary).select(q(key), "split", "features", *[f"cls__h{h}" for h in horizons])
-    base = base.checkpoint(eager=True)
-    require_complete(base, feature_names, key)
-
-    def one(h):
-        lab = f"cls__h{h}"
-        d = base.where(F.col(lab).isNotNull()).select("split", "features", F.col(lab).cast("double").alias("label"))
-        t0 = time.time()
-        m = LogisticRegression(family="multinomial", maxIter=max_iter, regParam=reg, standardization=True,
-                               featuresCol="features", labelCol="label").fit(d.where(F.col("split") == "train"))
-        ft = time.time() - t0
-        if save_to:
-            save_model(m, f"{save_to}/status/h{int(h)}/LogisticRegression")
-        pr = m.transform(d.where(F.col("split") == "test")).select(
-            F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
-        r = metrics.classification_metrics(pr).first()
-        if r is None or r["n"] is None:
-            return None
-        return ("LogisticRegression", int(h), r["accuracy"], r["precision_macro"], r["recall_macro"],
-                r["f1_macro"], r["precision_weighted"], r["recall_weighted"], r["f1_weighted"], int(r["n"]), ft)
-    with ThreadPoolExecutor(max_workers=task_workers(workers)) as ex:
-        rows = [r for r in ex.map(one, horizons) if r is not None]
+    names, labs = list(feature_names), [f"cls__h{h}" for h in horizons]
+    path = scratch_path(spark, "window_blocks")
+    made = softmax.to_blocks(summary, names, labs) if blocks is None else blocks
+    made.write.partitionBy("split").parquet(path)
+    blocks = spark.read.schema(softmax.BLOCK_SCHEMA).parquet(path)
+    if blocks.agg(F.sum("incomplete")).first()[0]:
+        asm = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+        require_complete(asm.transform(summary), names, key)
+    t0 = time.time()
+    models = softmax.fit(blocks.where(F.col("split") == "train"), len(labs), max_iter, reg)
+    ft = time.time() - t0
+    if save_to:
+        for h, (coef, intercept) in zip(horizons, models):
+            save_model(logistic_model(coef, intercept), f"{save_to}/status/h{int(h)}/LogisticRegression")
+    counts = softmax.confusion_counts(blocks.where(F.col("split") == "test"), models)
+    found = {r["label"]: r for r in metrics.classification_metrics(counts, by="label", weight="n").collect()}
+    rows = [("LogisticRegression", int(h), r["accuracy"], r["precision_macro"], r["recall_macro"],
+             r["f1_macro"], r["precision_weighted"], r["recall_weighted"], r["f1_weighted"], int(r["n"]), ft)
+            for i, h in enumerate(horizons) if (r := found.get(i)) is not None]
     return spark.createDataFrame(rows, CLS_SCHEMA)
 
 
+def logistic_model(coef: np.ndarray, intercept: np.ndarray) -> LogisticRegressionModel:
+    """MLlib's model with these coefficients (classes x features)."""
+    return LogisticRegressionModel(JavaWrapper._new_java_obj(
+        "org.apache.spark.ml.classification.LogisticRegressionModel", "status_" + uuid.uuid4().hex[:12],
+        DenseMatrix(*coef.shape, coef.ravel(order="F").tolist()), DenseVector(intercept), len(intercept), True))
+
+
 # ----------------------------------------------------------------------------- persistence of models
 
 def save_model(model, path: str) -> str:
@@ -586,7 +620,6 @@ def save_model(model, path: str) -> str:
 
 
 def load_model(kind: str, path: str):
-    from pyspark.ml.classification import LogisticRegressionModel
     from pyspark.ml.regression import (DecisionTreeRegressionModel, GBTRegressionModel, LinearRegressionModel,
                                        RandomForestRegressionModel)
     cls = {"LinearRegression": LinearRegressionModel, "Ridge": LinearRegressionModel, "Lasso": LinearRegressionModel,

@@ -35,8 +35,9 @@ def status_classifier(spark: SparkSession, cleaned: DataFrame, cfg: PrepareConfi
     """Fit + score the multinomial classifier for every horizon (one row per horizon); pack and
     summaries in blocks of ``cfg.block_hours`` if set."""
     pk = feature_pack_blocked(cleaned, cfg) if cfg.block_hours else feature_pack(cleaned, cfg)
-    summary, names = M.window_summary_frame(pk, features, "target_cls", seq_len, horizons, [cfg.key, "split"], cfg.ts, cfg.block_hours)
-    return M.fit_status_classifier(spark, summary, names, horizons, max_iter=max_iter)
+    windows = (pk, features, "target_cls", seq_len, horizons, [cfg.key, "split"], cfg.ts, cfg.block_hours)
+    summary, names = M.window_summary_frame(*windows)
+    return M.fit_status_classifier(spark, summary, names, horizons, max_iter=max_iter, blocks=M.window_blocks(*windows))
 
 
 def comparison_table(scores: DataFrame) -> DataFrame:

@@ -187,8 +187,9 @@ def classification_job(spark: SparkSession, pack_dir: str, out: str, seq_len: in
     # base features + calendar (lags / rolling columns are window summaries already)
     feats = [c for c in pack_columns(nn) if "__lag" not in c and "__roll" not in c]
     naive = naive_class_scores(nn, horizons)
-    summary, names = M.window_summary_frame(nn, feats, "target_cls", seq_len, horizons, key=["entity_id", "split"], block_hours=block_hours)
-    clf = M.fit_status_classifier(spark, summary, names, horizons, save_to=f"{out.rstrip('/')}/models")
+    windows = (nn, feats, "target_cls", seq_len, horizons, ["entity_id", "split"], "ts", block_hours)
+    summary, names = M.window_summary_frame(*windows)
+    clf = M.fit_status_classifier(spark, summary, names, horizons, save_to=f"{out.rstrip('/')}/models", blocks=M.window_blocks(*windows))
     cols = ["model", "horizon_h", "accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
             "recall_weighted", "f1_weighted"]
     scores = naive.select(*cols).unionByName(clf.select(*cols)).persist()
