@@ -90,3 +90,17 @@ def test_status_classifier_scores_all_classes_of_the_supplier_series(spark):
     # a window of 24 days inside the test split, and a label h days after it, lead null at the end of a series
     rows = registry.supplier_pack(spark, SF).where("split = 'test'").groupBy("entity_id").agg({"*": "count"}).collect()
     assert {r.horizon_h: r.n for r in scores} == {h: sum(r[1] - 23 - h - 1 for r in rows) for h in (1, 6, 12, 24)}
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_tuned_trees_search_the_whole_grids_on_every_task(spark, monkeypatch):
+    from sensorgrid.operators import models as M
+    from sensorgrid.plans import registry, regression
+    seen = []
+    monkeypatch.setattr(regression, "tuned_tree_suite", lambda spark, tf, grids, **_: seen.append((tf, grids)))
+    registry.QUERIES["grid_search_trees"](spark, SF)
+    (tf, grids), = seen
+    assert sorted(tf.tasks) == sorted(registry.ML_TASKS) and len(tf.tasks) == 16
+    assert {n: len(M._grid(g)) for n, g in grids.items()} == {"RandomForest": 36, "GBDT": 72}
+    assert all(set(g["n_estimators"]) == {300, 600} for g in grids.values())
+    assert set(grids["RandomForest"]["max_depth"]) == {None, 12, 20} and set(grids["GBDT"]["max_depth"]) == {2, 3, 4}
