@@ -1,5 +1,7 @@
 """MLlib estimators reproduce the scikit-learn objectives (closed form / coordinate descent)."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -127,6 +129,47 @@ def test_prefixes_of_a_boosting_are_the_smaller_models(spark):
     assert M.fold_scores("GBDT", points, fit, flat) == [0.0] * 3
 
 
+def test_prefixes_of_a_forest_are_the_smaller_models(spark, monkeypatch):
+    tf, fits, real = small_frame(spark), [], M.tree_estimator
+
+    def counting(name, **p):
+        fits.append(p["n_estimators"])
+        return real(name, **p)
+    monkeypatch.setattr(M, "tree_estimator", counting)
+    fit, test = M._fit_rows(tf, "y__a__h1", ("train",)), M._fit_rows(tf, "y__a__h1", ("val",))
+    points = [{"n_estimators": n, "max_depth": None, "min_samples_leaf": 2, "max_features": 0.6} for n in (2, 9, 5)]
+    got = M.fold_scores("RandomForest", points, fit, test)
+    assert fits == [9]
+    model = real("RandomForest", **points[1]).fit(fit)
+    rows = test.collect()
+    y = np.array([r.label for r in rows])
+    each = np.array([[t.predict(r.features) for t in model.trees] for r in rows])
+    want = [1 - ((y - each[:, :n].mean(axis=1)) ** 2).mean() / y.var() for n in (2, 9, 5)]
+    assert np.allclose(got, want, rtol=0, atol=1e-9) and len(set(np.round(want, 6))) == 3
+    assert M.forest_prefix(model, 5).getNumTrees == 5 == len(M.forest_prefix(model, 5).trees) and M.forest_prefix(model, 9) is model
+    assert got[1] == pytest.approx(M.fold_scores("RandomForest", points[1:2], fit, test)[0], abs=1e-9)
+    assert M.fold_scores("RandomForest", points, fit, test.where("label is null")) == [None] * 3
+
+
+def test_fits_of_a_grid_run_at_once_and_are_all_scored(spark, monkeypatch):
+    """No fit waits for the other folds of its point; each point keeps its own mean."""
+    tf, seen = small_frame(spark), []
+    together = threading.Barrier(4, timeout=60)
+    worth = {(d, leaf, n): d + leaf / 10 + n / 1000 for d in (1, 2) for leaf in (1, 5) for n in (3, 6)}
+
+    def scores(name, points, train, test):
+        at = [(p["max_depth"], p["min_samples_leaf"], p["n_estimators"]) for p in points]
+        seen.extend((train.count(), a) for a in at)
+        together.wait()
+        return [-worth[a] for a in at]
+    monkeypatch.setattr(M, "fold_scores", scores)
+    grid = {"n_estimators": [6, 3], "max_depth": [2, 1], "min_samples_leaf": [5, 1]}
+    row, model = M.fit_tuned_tree_task(tf, "a", 1, "GBDT", grid, n_splits=3)
+    assert sorted(seen) == sorted((n, a) for n in (45, 90, 135) for a in worth)
+    assert row[-1] == {"n_estimators": "3", "max_depth": "1", "min_samples_leaf": "1"} and model.getNumTrees == 3
+    assert [M.fits_at_once("GBDT", p, 8, 3) for p in (1, 2, 64)] == [8, 4, 3] and M.fits_at_once("GBDT", 1, 1000, 3) == M.FITS_AT_ONCE
+
+
 def test_tuning_groups_points_by_their_trees(spark, monkeypatch):
     grid = {"n_estimators": [6, 2], "max_depth": [1, 2], "learning_rate": [0.3]}
     assert [[p["n_estimators"] for p in g] for g in M._nested(M._grid(grid))] == [[2, 6], [2, 6]]
