@@ -104,3 +104,10 @@ def test_tuned_trees_search_the_whole_grids_on_every_task(spark, monkeypatch):
     assert {n: len(M._grid(g)) for n, g in grids.items()} == {"RandomForest": 36, "GBDT": 72}
     assert all(set(g["n_estimators"]) == {300, 600} for g in grids.values())
     assert set(grids["RandomForest"]["max_depth"]) == {None, 12, 20} and set(grids["GBDT"]["max_depth"]) == {2, 3, 4}
+
+
+def test_the_hours_long_search_holds_up_no_other_query():
+    import __spark_entry__ as E
+    names = list(E.queries())
+    assert names[-1] == "grid_search_trees" and set(names[-3:]) == SLOW
+    assert set(names) >= set(E.registry.QUERIES) and len(names) == len(set(names))
